@@ -209,6 +209,26 @@ def attach_sentiment(
     )
 
 
+def trend_view(candles: DataFrame, tail: int, n: int = 7) -> DataFrame:
+    """Close, its rolling mean and its one-row change for each symbol's newest rows."""
+    out = over_series(
+        candles.select("symbol", "timestamp", "close"),
+        lambda w: {
+            "_row": F.first("_before").over(w.rowsBetween(Window.unboundedPreceding, 0))
+            + F.row_number().over(w),
+            **_averages(w, "close", (n,), "sma"),
+            "_filled": ind.carried("close", w, "_carry"),
+        },
+        lambda w: {
+            "momentum_1": ind.change_since("_filled", 1, w),
+            "rows_left": F.col("_total") - F.col("_row"),
+        },
+        back=n,
+        carry="close",
+    )
+    return out.where(F.col("rows_left") < tail).drop("rows_left")
+
+
 def engineer_features(
     candles: DataFrame,
     sentiment: DataFrame,
