@@ -365,6 +365,15 @@ TABLES = {
         SELECT 'symbol', symbol, avg(correct), count(*) FROM outcomes GROUP BY symbol
         UNION ALL
         SELECT 'signal', signal, avg(correct), count(*) FROM outcomes GROUP BY signal""",
+    "late": f"""
+        SELECT symbol, arg_max(close, timestamp) AS price FROM candles
+        WHERE timestamp >= {AS_OF} - INTERVAL 2 HOUR GROUP BY 1""",
+    "met": f"""
+        SELECT p.symbol, p.signal, CASE WHEN predicted_direction =
+               CASE WHEN price > current_price THEN 1 ELSE 0 END THEN 1 ELSE 0 END AS correct
+        FROM predictions p JOIN late USING (symbol)
+        WHERE prediction_timestamp BETWEEN {AS_OF} - INTERVAL 20 HOUR
+              AND {AS_OF} - INTERVAL 2 HOUR""",
     "wild": """
         SELECT d, string_agg(symbol, ', ' ORDER BY symbol) FILTER (WHERE top > 20.0 * bottom)
                AS names
@@ -471,7 +480,7 @@ SQL: dict[str, str] = {
                 WHERE a.symbol = s.symbol AND a.timestamp = s.timestamp))"""),
     "appended_table": sql(f"""
         SELECT CAST(prediction_timestamp AS DATE) AS date, signal, count(*) AS predictions,
-               {r('avg(confidence)')} AS avg_confidence FROM predictions GROUP BY 1, 2"""),
+               {r('sum(confidence)')} AS confidence_sum FROM predictions GROUP BY 1, 2"""),
     "dedupe_backfill": sql(f"""
         SELECT user_id, date, ts, event_id, {rc('value')} FROM (
             SELECT *, CAST(ts AS DATE) AS date, row_number() OVER (
@@ -552,9 +561,9 @@ SQL: dict[str, str] = {
                {r('avg(volatility_7)')} AS avg_volatility,
                {r('avg(fear_greed_value)')} AS avg_sentiment
         FROM core WHERE timestamp > {AS_OF} - INTERVAL 7 DAY GROUP BY 1"""),
-    "stale_series": sql("""
-        SELECT symbol, max(timestamp) AS last_update FROM market_data GROUP BY 1
-        HAVING max(timestamp) < TIMESTAMP '2024-01-30 23:40:00' - INTERVAL 40 MINUTE"""),
+    "stale_series": """
+        SELECT event_type, max(ts) AS last_update FROM events GROUP BY 1
+        HAVING max(ts) < TIMESTAMP '2024-01-31 00:10:00' - INTERVAL 30 MINUTE""",
     "missing_prices": sql(f"""
         SELECT count(*) FILTER (WHERE price_usd IS NULL) AS null_count FROM market_data
         WHERE timestamp > {AS_OF} - INTERVAL 10 DAY"""),
@@ -705,13 +714,6 @@ SQL: dict[str, str] = {
                     AS ensemble_confidence
               FROM predictions)"""),
     "recent_accuracy": sql(f"""
-        WITH late AS (SELECT symbol, arg_max(close, timestamp) AS price FROM candles
-                      WHERE timestamp >= {AS_OF} - INTERVAL 2 HOUR GROUP BY 1),
-        met AS (SELECT p.symbol, p.signal, CASE WHEN predicted_direction =
-                    CASE WHEN price > current_price THEN 1 ELSE 0 END THEN 1 ELSE 0 END AS correct
-                FROM predictions p JOIN late USING (symbol)
-                WHERE prediction_timestamp BETWEEN {AS_OF} - INTERVAL 20 HOUR
-                    AND {AS_OF} - INTERVAL 2 HOUR)
         SELECT symbol, NULL AS signal, {r('avg(correct)')} AS accuracy, count(*) AS predictions
         FROM met GROUP BY symbol
         UNION ALL

@@ -179,7 +179,7 @@ def appended_table(spark, sf):
     rows = stored.read_table(spark, path)
     return tidy(
         rows.groupBy("date", "signal").agg(
-            F.count(F.lit(1)).alias("predictions"), F.avg("confidence").alias("avg_confidence")
+            F.count(F.lit(1)).alias("predictions"), F.sum("confidence").alias("confidence_sum")
         )
     )
 
@@ -353,7 +353,8 @@ def feature_summary(spark, sf):
 
 
 def stale_series(spark, sf):
-    return quality.stale(t.market_data(spark, sf), "2024-01-30 23:40:00", "40 minutes")
+    ticks = t.events(spark, sf)
+    return quality.stale(ticks, "2024-01-31 00:10:00", "30 minutes", "event_type", "ts")
 
 
 def missing_prices(spark, sf):

@@ -1,85 +1,95 @@
-"""Column expressions over an ordered series window ``w``.
+"""SQL expressions over an ordered series window ``w``.
 
-Every function counts rows, not hours, and accepts partial frames at the start
-of a series. Division by zero gives NULL.
+``w`` is a window clause without its frame, such as ``PARTITION BY symbol ORDER
+BY timestamp``. Every expression counts rows, not hours, and accepts partial
+frames at the start of a series. Division by zero gives NULL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
-from pyspark.sql import functions as F
+from collections.abc import Mapping
 
+from pyspark.sql import DataFrame
 
-def _trailing(w: WindowSpec, n: int) -> WindowSpec:
-    return w.rowsBetween(-(n - 1), Window.currentRow)
 
+def add(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add columns given as SQL expressions, all in one projection."""
+    return df.selectExpr("*", *[f"{sql} AS `{name}`" for name, sql in columns.items()])
 
-def rolling_mean(col: str, n: int, w: WindowSpec) -> Column:
-    return F.avg(col).over(_trailing(w, n))
 
+def _trailing(fn: str, col: str, n: int, w: str) -> str:
+    return f"{fn}({col}) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
-def rolling_std(col: str, n: int, w: WindowSpec) -> Column:
+
+def rolling_mean(col: str, n: int, w: str) -> str:
+    return _trailing("avg", col, n, w)
+
+
+def rolling_std(col: str, n: int, w: str) -> str:
     """Sample deviation; NULL for a one-row frame."""
-    return F.stddev_samp(col).over(_trailing(w, n))
+    return _trailing("stddev_samp", col, n, w)
+
+
+def rolling_max(col: str, n: int, w: str) -> str:
+    return _trailing("max", col, n, w)
 
 
-def rolling_max(col: str, n: int, w: WindowSpec) -> Column:
-    return F.max(col).over(_trailing(w, n))
+def rolling_min(col: str, n: int, w: str) -> str:
+    return _trailing("min", col, n, w)
 
 
-def rolling_min(col: str, n: int, w: WindowSpec) -> Column:
-    return F.min(col).over(_trailing(w, n))
+def lagged(col: str, n: int, w: str) -> str:
+    return f"lag({col}, {n}) OVER ({w})"
 
 
-def step(col: str, w: WindowSpec) -> Column:
+def step(col: str, w: str) -> str:
     """Change from the previous row."""
-    return F.col(col) - F.lag(col, 1).over(w)
+    return f"{col} - {lagged(col, 1, w)}"
 
 
-def rise(delta: str) -> Column:
+def rise(delta: str) -> str:
     """Upward part of a change; a missing change counts as none."""
-    return F.when(F.col(delta) > 0, F.col(delta)).otherwise(F.lit(0.0))
+    return f"CASE WHEN {delta} > 0 THEN {delta} ELSE 0D END"
 
 
-def fall(delta: str) -> Column:
+def fall(delta: str) -> str:
     """Downward part of a change, as a positive number."""
-    return F.when(F.col(delta) < 0, -F.col(delta)).otherwise(F.lit(0.0))
+    return f"CASE WHEN {delta} < 0 THEN -{delta} ELSE 0D END"
 
 
-def rsi(mean_rise: Column, mean_fall: Column) -> Column:
+def rsi(mean_rise: str, mean_fall: str) -> str:
     """Relative strength from simple means; NULL where nothing fell."""
-    strength = mean_rise / F.nullif(mean_fall, F.lit(0.0))
-    return F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + strength)
+    return f"100D - 100D / (1D + ({mean_rise}) / nullif({mean_fall}, 0D))"
 
 
-def carried(col: str, w: WindowSpec, carry: str | None = None) -> Column:
+def carried(col: str, w: str, carry: str | None = None) -> str:
     """Last known value up to the row; ``carry`` holds one from earlier chunks."""
-    known = F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return F.coalesce(known, F.col(carry)) if carry else known
+    known = f"last({col}, true) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"coalesce({known}, {carry})" if carry else known
 
 
-def change_since(filled: str, n: int, w: WindowSpec) -> Column:
+def change_since(filled: str, n: int, w: str) -> str:
     """Relative change against the value ``n`` rows earlier."""
-    return F.try_divide(F.col(filled), F.lag(filled, n).over(w)) - F.lit(1.0)
+    return f"try_divide({filled}, {lagged(filled, n, w)}) - 1D"
 
 
-def change_until(filled: str, n: int, w: WindowSpec) -> Column:
+def change_until(filled: str, n: int, w: str) -> str:
     """Relative change to the value ``n`` rows later."""
-    return F.try_divide(F.lead(filled, n).over(w), F.col(filled)) - F.lit(1.0)
+    return f"try_divide(lead({filled}, {n}) OVER ({w}), {filled}) - 1D"
 
 
-def ratio(top: Column, bottom: Column) -> Column:
-    return top / F.nullif(bottom, F.lit(0.0))
+def ratio(top: str, bottom: str) -> str:
+    return f"{top} / nullif({bottom}, 0D)"
 
 
-def distance_from(col: str, extreme: str) -> Column:
-    return F.try_divide(F.col(col) - F.col(extreme), F.col(extreme))
+def distance_from(col: str, extreme: str) -> str:
+    return f"try_divide({col} - {extreme}, {extreme})"
 
 
-def direction(change: str, strict: bool = False) -> Column:
+def direction(change: str, strict: bool = False) -> str:
     """1 for a rise, else 0; unknown stays unknown unless ``strict``."""
-    up = F.when(F.col(change) > 0, 1).when(F.col(change).isNotNull(), 0)
-    return F.coalesce(up, F.lit(0)) if strict else up
+    known = "true" if strict else f"{change} IS NOT NULL"
+    return f"CASE WHEN {change} > 0 THEN 1 WHEN {known} THEN 0 END"
 
 
 # Right-closed cut points of the return categories.
@@ -87,22 +97,17 @@ CATEGORY_CUTS = ((-0.02, "strong_down"), (-0.005, "down"), (0.005, "neutral"), (
 CATEGORY_TOP = "strong_up"
 
 
-def category(change: str) -> Column:
-    value = F.col(change)
-    (cut, name), *rest = CATEGORY_CUTS
-    chain = F.when(value <= cut, name)
-    for cut, name in rest:
-        chain = chain.when(value <= cut, name)
-    return chain.when(value.isNotNull(), CATEGORY_TOP)
+def category(change: str) -> str:
+    cuts = " ".join(f"WHEN {change} <= {cut}D THEN '{name}'" for cut, name in CATEGORY_CUTS)
+    return f"CASE {cuts} WHEN {change} IS NOT NULL THEN '{CATEGORY_TOP}' END"
 
 
-def calendar(time: str) -> dict[str, Column]:
+def calendar(time: str) -> dict[str, str]:
     """Clock and calendar parts; weeks start on Monday as 0."""
-    at = F.col(time)
     return {
-        "hour": F.hour(at),
-        "day_of_week": F.weekday(at),
-        "day_of_month": F.dayofmonth(at),
-        "month": F.month(at),
-        "quarter": F.quarter(at),
+        "hour": f"hour({time})",
+        "day_of_week": f"weekday({time})",
+        "day_of_month": f"dayofmonth({time})",
+        "month": f"month({time})",
+        "quarter": f"quarter({time})",
     }

@@ -10,11 +10,12 @@ dependence on the carries also has a closed form and needs no second pass.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.indicators import add
 from tidemark.operators.series import BUCKET, CHUNK_ROWS, chunk_series, chunk_window
 
 MACD_COLUMNS = ("macd", "macd_signal", "macd_histogram")
@@ -25,38 +26,46 @@ def _weights(span: int) -> tuple[float, float]:
     return a, 1.0 - a
 
 
-def _power(r: float, n: Column) -> Column:
-    return F.pow(F.lit(r), n)
+def _power(span: int, n: str) -> str:
+    return f"pow({_weights(span)[1]!r}D, {n})"
 
 
-def _response(span: int, signal: int, n: Column) -> Column:
+def _response(span: int, signal: int, n: str) -> str:
     """What a unit carry of one average adds to the signal after ``n`` rows."""
     a, r = _weights(signal)
     _, q = _weights(span)
     if math.isclose(q, r):
-        return F.lit(a) * n * _power(q, n)
-    return F.lit(a * q / (q - r)) * (_power(q, n) - _power(r, n))
+        return f"({a!r}D * ({n}) * {_power(span, n)})"
+    return f"({a * q / (q - r)!r}D * ({_power(span, n)} - {_power(signal, n)}))"
 
 
-def _reach(span: int, rows: int) -> int:
-    """Chunks after which a carry's weight is zero in double precision.
+def _reach(spans: Iterable[int], rows: int) -> int:
+    """Chunks after which every carry's weight is zero in double precision.
 
     Doubled, so that the bound also holds where half of the values are missing.
     """
-    _, r = _weights(span)
-    return 2 * math.ceil(745.0 / (-math.log(r) * rows)) + 2
-
-
-def _carry_in(ends: DataFrame, last: str, span: int, rows: int, key: str, out: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-_reach(span, rows), -1)
-    earlier = F.collect_list(F.struct(F.col("_seen").alias("n"), F.col(last).alias("v"))).over(w)
-    _, r = _weights(span)
-    total = F.aggregate(
-        "_earlier",
-        F.lit(0.0),
-        lambda acc, e: acc + e["v"] * _power(r, F.col("_seen") - F.col("_n") - e["n"]),
+    slowest = _weights(max(spans))[1]
+    return 2 * math.ceil(745.0 / (-math.log(slowest) * rows)) + 2
+
+
+def _carries(
+    ends: DataFrame, ended: Mapping[int, str], reach: int, w: str, out: Mapping[int, str]
+) -> DataFrame:
+    """What the chunks before each chunk hand on to it, per span.
+
+    ``ended`` names the column with the part each chunk adds by itself.
+    """
+    fields = ", ".join(f"{col} AS v{span}" for span, col in ended.items())
+    earlier = (
+        f"collect_list(struct(_seen AS n, {fields})) "
+        f"OVER ({w} ROWS BETWEEN {reach} PRECEDING AND 1 PRECEDING)"
     )
-    return ends.withColumn("_earlier", earlier).withColumn(out, total).drop("_earlier")
+    totals = {
+        out[span]: "aggregate(_earlier, 0D, (acc, e) -> "
+        f"acc + e.v{span} * {_power(span, '_prior - e.n')})"
+        for span in ended
+    }
+    return add(add(ends, {"_earlier": earlier}), totals).drop("_earlier")
 
 
 def add_averages(
@@ -73,99 +82,88 @@ def add_averages(
     Missing values leave the average where it was. ``core`` has ``_chunk``.
     """
     wanted = sorted(set(spans.values()) | set(macd[:2] if macd else ()))
-    if any(s < 2 for s in wanted):
+    every = wanted + ([macd[2]] if macd else [])
+    if min(every) < 2:
         raise ValueError("spans start at 2")
-    smallest = min(wanted + ([macd[2]] if macd else []))
     # beyond this many rows the weights inside one chunk leave the double range
-    limit = int(700 / -math.log(_weights(smallest)[1]))
-    run = chunk_window(key, time).rowsBetween(Window.unboundedPreceding, 0)
-    pos = F.col("_pos")
-    known = F.col(col).isNotNull()
-
-    local = core.withColumn("_pos", F.count(col).over(run))
-    local = local.withColumns(
-        {
-            f"_sum_{s}": F.coalesce(
-                F.sum(F.lit(_weights(s)[0]) * F.col(col) * _power(_weights(s)[1], -pos)).over(run),
-                F.lit(0.0),
-            )
-            for s in wanted
-        }
-    )
-    local = local.withColumns(
-        {f"_local_{s}": F.col(f"_sum_{s}") * _power(_weights(s)[1], pos) for s in wanted}
-    ).drop(*[f"_sum_{s}" for s in wanted])
-    ends_of = {f"_local_{s}": F.col(f"_local_{s}") for s in wanted}
+    limit = int(700 / -math.log(_weights(min(every))[1]))
+    w = chunk_window(key, time)
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+    def weighted_sum(span: int, value: str) -> str:
+        """Average of the values inside the chunk, from a start of zero."""
+        a, _ = _weights(span)
+        terms = f"sum({a!r}D * {value} * {_power(span, '-_pos')}) OVER ({w} {so_far})"
+        return f"coalesce({terms}, 0D) * {_power(span, '_pos')}"
+
+    local = add(core, {"_pos": f"count({col}) OVER ({w} {so_far})"})
+    local = add(local, {f"_local_{s}": weighted_sum(s, col) for s in wanted})
+    parts = [f"_local_{s}" for s in wanted]
     if macd:
         fast, slow, signal = macd
-        a, r = _weights(signal)
-        line = F.col(f"_local_{fast}") - F.col(f"_local_{slow}")
-        weighted = F.when(known, F.lit(a) * line * _power(r, -pos))
-        local = local.withColumn("_sum_signal", F.coalesce(F.sum(weighted).over(run), F.lit(0.0)))
-        local = local.withColumn(
-            "_local_signal", F.col("_sum_signal") * _power(r, pos)
-        ).drop("_sum_signal")
-        ends_of["_local_signal"] = F.col("_local_signal")
-
-    ends = local.groupBy(key, "_chunk").agg(
-        F.max("_pos").alias("_len"),
-        F.min_by(col, F.when(known, F.col(time))).alias("_first"),
-        *[F.max_by(c, pos).alias(f"_end{name}") for name, c in ends_of.items()],
+        line = f"CASE WHEN {col} IS NOT NULL THEN _local_{fast} - _local_{slow} END"
+        local = add(local, {"_local_signal": weighted_sum(signal, line)})
+        parts.append("_local_signal")
+
+    ends = add(
+        local.selectExpr(f"`{key}`", "_chunk", "_pos", f"`{time}`", col, *parts)
+        .groupBy(key, "_chunk")
+        .agg(F.expr(f"min_by({col}, CASE WHEN {col} IS NOT NULL THEN `{time}` END)").alias("_first"),
+             F.max("_pos").alias("_len"),
+             *[F.max_by(c, "_pos").alias(f"_end{c}") for c in parts]),
+        {
+            "_n": f"CASE WHEN _len <= {limit} THEN _len ELSE CAST(raise_error("
+            f"'a chunk holds more than {limit} rows; use a shorter bucket') AS BIGINT) END"
+        },
     )
-    too_long = F.raise_error(F.lit(f"a chunk holds more than {limit} rows; use a shorter bucket"))
-    wk = Window.partitionBy(key).orderBy("_chunk")
-    whole = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.withColumn(
-        "_n", F.when(F.col("_len") <= limit, F.col("_len")).otherwise(too_long.cast("long"))
-    ).withColumns(
+    wk = f"PARTITION BY `{key}` ORDER BY _chunk"
+    ends = add(
+        ends,
         {
-            "_seen": F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, 0)),
-            "_seed": F.first("_first", ignorenulls=True).over(whole),
-        }
+            "_seen": f"sum(_n) OVER ({wk} {so_far})",
+            "_seed": f"first(_first, true) OVER ({wk} ROWS BETWEEN UNBOUNDED PRECEDING "
+            "AND UNBOUNDED FOLLOWING)",
+        },
+    )
+    ends = add(ends, {"_prior": "_seen - _n"})
+    ends = _carries(
+        ends, {s: f"_end_local_{s}" for s in wanted}, _reach(wanted, rows), wk,
+        {s: f"_from_{s}" for s in wanted},
+    )
+    ends = add(
+        ends, {f"_in_{s}": f"_from_{s} + _seed * {_power(s, '_prior')}" for s in wanted}
     )
-    prior = F.col("_seen") - F.col("_n")
-    for s in wanted:
-        ends = _carry_in(ends, f"_end_local_{s}", s, rows, key, f"_in_{s}")
-        ends = ends.withColumn(
-            f"_in_{s}", F.col(f"_in_{s}") + F.col("_seed") * _power(_weights(s)[1], prior)
-        )
     carries = [f"_in_{s}" for s in wanted]
     if macd:
         driven = (
-            F.col("_end_local_signal")
-            + F.col(f"_in_{fast}") * _response(fast, signal, F.col("_n"))
-            - F.col(f"_in_{slow}") * _response(slow, signal, F.col("_n"))
+            f"_end_local_signal + _in_{fast} * {_response(fast, signal, '_n')} "
+            f"- _in_{slow} * {_response(slow, signal, '_n')}"
+        )
+        ends = add(ends, {"_driven": driven})
+        ends = _carries(
+            ends, {signal: "_driven"}, _reach([signal], rows), wk, {signal: "_in_signal"}
         )
-        ends = ends.withColumn("_end_signal", driven)
-        ends = _carry_in(ends, "_end_signal", signal, rows, key, "_in_signal")
         carries.append("_in_signal")
-    ends = ends.select(key, "_chunk", prior.alias("_prior"), *carries)
+    ends = ends.select(key, "_chunk", "_prior", *carries)
 
-    out = local.join(ends, [key, "_chunk"])
-    started = F.col("_prior") + pos > 0
-    results = {
-        name: F.when(
-            started, F.col(f"_local_{s}") + F.col(f"_in_{s}") * _power(_weights(s)[1], pos)
-        )
-        for name, s in spans.items()
-    }
+    def value(span: int) -> str:
+        return f"(_local_{span} + _in_{span} * {_power(span, '_pos')})"
+
+    def known(sql: str) -> str:
+        return f"CASE WHEN _prior + _pos > 0 THEN {sql} END"
+
+    results = {name: known(value(s)) for name, s in spans.items()}
     if macd:
-        value = {
-            s: F.col(f"_local_{s}") + F.col(f"_in_{s}") * _power(_weights(s)[1], pos)
-            for s in (fast, slow)
-        }
-        line = value[fast] - value[slow]
+        gap = f"({value(fast)} - {value(slow)})"
         smooth = (
-            F.col("_local_signal")
-            + F.col("_in_signal") * _power(r, pos)
-            + F.col(f"_in_{fast}") * _response(fast, signal, pos)
-            - F.col(f"_in_{slow}") * _response(slow, signal, pos)
+            f"(_local_signal + _in_signal * {_power(signal, '_pos')} "
+            f"+ _in_{fast} * {_response(fast, signal, '_pos')} "
+            f"- _in_{slow} * {_response(slow, signal, '_pos')})"
         )
-        results["macd"] = F.when(started, line)
-        results["macd_signal"] = F.when(started, smooth)
-        results["macd_histogram"] = F.when(started, line - smooth)
-    helpers = [f"_local_{s}" for s in wanted] + ["_local_signal", "_pos", "_prior", *carries]
-    return out.withColumns(results).drop(*helpers)
+        lines = (gap, smooth, f"{gap} - {smooth}")
+        results |= {name: known(sql) for name, sql in zip(MACD_COLUMNS, lines, strict=True)}
+    out = add(local.join(ends, [key, "_chunk"]), results)
+    return out.drop(*parts, "_pos", "_prior", *carries)
 
 
 def ema(

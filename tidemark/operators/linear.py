@@ -8,7 +8,7 @@ depend on the number of keys.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,26 +22,24 @@ from tidemark.session import shared_dir
 HELD_KEYS = 2000
 
 
-def _cross_products(
-    df: DataFrame, left: Sequence[str], key: str, weight: str | None = None
+def _additive(
+    df: DataFrame, used: Sequence[str], key: str, measure: Callable[[np.ndarray], np.ndarray]
 ) -> DataFrame:
-    """``sum(weight * left' left)`` per key, as rows (key, cell, total)."""
-    left = list(left)
-    used = [*left, *([weight] if weight else [])]
+    """Sums of ``measure`` over the rows of each key, as rows (key, cell, total).
+
+    ``measure`` maps a block of rows to a flat array of sums over the block.
+    """
+    used = list(used)
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
 
         def flush():
-            return pd.DataFrame(
-                {key: list(held), "cells": [m.ravel() for m in held.values()]}
-            )
+            return pd.DataFrame({key: list(held), "cells": list(held.values())})
 
         for pdf in batches:
             for k, rows in pdf.groupby(key, sort=False):
-                z = rows[left].to_numpy(dtype=float)
-                wz = z * rows[[weight]].to_numpy(dtype=float) if weight else z
-                held[k] = held.get(k, 0.0) + z.T @ wz
+                held[k] = held.get(k, 0.0) + measure(rows[used].to_numpy(dtype=float))
             if len(held) > HELD_KEYS:
                 yield flush()
                 held.clear()
@@ -59,13 +57,18 @@ def _cross_products(
     )
 
 
+def _squares() -> Callable[[np.ndarray], np.ndarray]:
+    # made inside a function so that it is sent to the workers by value
+    return lambda rows: (rows.T @ rows).ravel()
+
+
 def gram(
     df: DataFrame, cols: Sequence[str], target: str, key: str = "symbol"
 ) -> DataFrame:
     """Cross products of (1, cols, target) per key, one row per pair of names."""
     names = ["one", *cols, target]
     size = len(names)
-    cells = _cross_products(df.withColumn("one", F.lit(1.0)), names, key)
+    cells = _additive(df.withColumn("one", F.lit(1.0)), names, key, _squares())
     label = F.array(*[F.lit(n) for n in names])
     return cells.select(
         key,
@@ -104,7 +107,7 @@ def fit_ridge(
         return pd.DataFrame(rows, columns=["intercept", "coefficients"])
 
     labelled = train.where(F.col(target).isNotNull()).withColumn("one", F.lit(1.0))
-    cells = _cross_products(labelled, ["one", *cols, target], key)
+    cells = _additive(labelled, ["one", *cols, target], key, _squares())
     return _as_arrays(cells, key).select(key, solve("cells").alias("_m")).select(key, "_m.*")
 
 
@@ -175,23 +178,29 @@ def fit_logistic(
         F.lit(float("inf")).alias("objective"), F.lit(float("inf")).alias("moved"),
     )
 
+    def measure(rows: np.ndarray) -> np.ndarray:
+        """Curvature, slope and loss at the margin in the last column."""
+        x, y, z = rows[:, :k], rows[:, k], rows[:, k + 1]
+        p = np.where(z >= 0, 1.0, np.exp(-np.abs(z))) / (1.0 + np.exp(-np.abs(z)))
+        curvature = x.T @ (x * (p * (1.0 - p))[:, None])
+        loss = np.sum(np.logaddexp(0.0, z) - y * z)
+        return np.concatenate([curvature.ravel(), x.T @ (p - y), [loss]])
+
     def advance(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        free = np.r_[0.0, np.ones(k - 1)]
+        penalty = np.r_[0.0, np.ones(k - 1)]
         for pdf in batches:
             rows = []
             for row in pdf.itertuples(index=False):
-                at, held = np.asarray(row.at), np.asarray(row.held)
-                m = np.asarray(row.hessian).reshape(k, k)
-                objective = c * row.loss + 0.5 * float(free @ (at * at))
+                at, held, sums = (np.asarray(v) for v in (row.at, row.held, row.cells))
+                objective = c * sums[-1] + 0.5 * float(penalty @ (at * at))
                 if objective > row.objective * (1 + 1e-12):
-                    step = (held - at) / 2
-                    rows.append((row[0], at + step, held, row.objective, np.abs(step).max()))
-                    continue
-                slope = c * np.asarray(row.gradient) + free * at
-                step = -np.linalg.solve(c * m + np.diag(free), slope)
-                rows.append((row[0], at + step, at, objective, np.abs(step).max()))
-            columns = [key, "at", "held", "objective", "moved"]
-            yield pd.DataFrame(rows, columns=columns)
+                    step, held, objective = (held - at) / 2, held, row.objective
+                else:
+                    curvature = c * sums[: k * k].reshape(k, k) + np.diag(penalty)
+                    slope = c * sums[k * k : -1] + penalty * at
+                    step, held = -np.linalg.solve(curvature, slope), at
+                rows.append((row[0], at + step, held, objective, np.abs(step).max()))
+            yield pd.DataFrame(rows, columns=[key, "at", "held", "objective", "moved"])
 
     for _ in range(max_iter):
         coefficients = state.select(
@@ -199,27 +208,8 @@ def fit_logistic(
             F.slice("at", 2, k - 1).alias("coefficients"),
         )
         seen = spread_join(labelled, coefficients, [key]).withColumn("_z", margin(cols))
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z")))
-        y = F.col(target).cast("double")
-        # log(1 + exp(z)) - y z, without overflow
-        loss = (
-            F.greatest(F.col("_z"), F.lit(0.0))
-            + F.log1p(F.exp(-F.abs(F.col("_z"))))
-            - y * F.col("_z")
-        )
-        seen = seen.select(
-            key, *inputs, (p - y).alias("_residual"), (p * (1 - p)).alias("_weight"),
-            loss.alias("_loss"),
-        )
-        curvature = _as_arrays(_cross_products(seen, inputs, key, "_weight"), key)
-        slopes = seen.groupBy(key).agg(
-            F.array(*[F.sum(F.col(i) * F.col("_residual")) for i in inputs]).alias("gradient"),
-            F.sum("_loss").alias("loss"),
-        )
-        joined = (
-            state.join(slopes, key).join(curvature.withColumnRenamed("cells", "hessian"), key)
-        )
-        state = joined.mapInPandas(advance, state_type).checkpoint()
+        sums = _as_arrays(_additive(seen, [*inputs, target, "_z"], key, measure), key)
+        state = state.join(sums, key).mapInPandas(advance, state_type).checkpoint()
         if state.agg(F.max("moved")).first()[0] <= tolerance:
             break
     return state.select(

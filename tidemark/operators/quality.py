@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.indicators import lagged
 from tidemark.operators.series import over_series
 from tidemark.session import before, moment, seconds_between
 
@@ -58,7 +59,7 @@ def jumps(
     recent = df.where(_newer(as_of, window, time, closed)).select(key, time, col)
     moved = over_series(
         recent,
-        lambda w: {f"prev_{col}": F.lag(col, 1).over(w)},
+        lambda w: {f"prev_{col}": lagged(col, 1, w)},
         back=1,
         key=key,
         time=time,

@@ -17,12 +17,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.indicators import add
+
 CHUNK_ROWS = 1024
 BUCKET = "1 day"
-Stage = Callable[[WindowSpec], Mapping[str, Column]]
+Stage = Callable[[str], Mapping[str, str]]
 
 
 def bucket_of(time: str, bucket: str = BUCKET) -> Column:
@@ -130,48 +132,37 @@ def chunk_series(
     places = bucket_counts(df, key, time, bucket, carry)
     if enrich:
         places = enrich(places)
-    own = F.floor(F.col("_before") / F.lit(rows)).cast("long")
-    places = places.withColumns({"_own": own, "_end": F.col("_before") + F.col("_count")})
-
-    w = Window.partitionBy(key).orderBy("_bucket")
-    near = F.struct("_own", "_before", "_end")
-    others = []
+    w = f"PARTITION BY `{key}` ORDER BY _bucket"
+    near = "collect_list(struct(_own AS own, _before AS start, _end AS stop))"
+    places = add(
+        places, {"_own": f"_before div {rows}", "_end": "_before + _count"}
+    )
+    frames, others = {}, []
     if back:
-        following = F.collect_list(near).over(w.rowsBetween(1, back))
-        places = places.withColumn("_following", following)
-        others.append(
-            F.transform(
-                F.filter("_following", lambda b: b["_before"] < F.col("_end") + back),
-                lambda b: b["_own"],
-            )
-        )
+        frames["_following"] = f"{near} OVER ({w} ROWS BETWEEN 1 FOLLOWING AND {back} FOLLOWING)"
+        others.append(f"transform(filter(_following, b -> b.start < _end + {back}), b -> b.own)")
     if ahead:
-        preceding = F.collect_list(near).over(w.rowsBetween(-ahead, -1))
-        places = places.withColumn("_preceding", preceding)
-        others.append(
-            F.transform(
-                F.filter("_preceding", lambda b: b["_end"] + ahead > F.col("_before")),
-                lambda b: b["_own"],
-            )
-        )
-    chunks = F.array_distinct(F.concat(F.array("_own"), *others))
-    places = places.withColumn("_chunks", chunks).drop(
-        "_following", "_preceding", "_end", "_count"
-    )
-    return (
-        df.withColumn("_bucket", bucket_of(time, bucket))
-        .join(places, [key, "_bucket"])
-        .withColumn("_chunk", F.explode("_chunks"))
-        .withColumn("_core", F.col("_chunk") == F.col("_own"))
-        .drop("_chunks", "_own", "_bucket")
-    )
+        frames["_preceding"] = f"{near} OVER ({w} ROWS BETWEEN {ahead} PRECEDING AND 1 PRECEDING)"
+        others.append(f"transform(filter(_preceding, b -> b.stop + {ahead} > _before), b -> b.own)")
+    chunks = f"array_distinct(concat({', '.join(['array(_own)', *others])}))"
+    places = add(add(places, frames), {"_chunks": chunks}).drop(*frames, "_end", "_count")
+    joined = df.withColumn("_bucket", bucket_of(time, bucket)).join(places, [key, "_bucket"])
+    spread = add(joined, {"_chunk": "explode(_chunks)"})
+    return add(spread, {"_core": "_chunk = _own"}).drop("_chunks", "_own", "_bucket")
 
 
-def chunk_window(key: str = "symbol", time: str = "timestamp") -> WindowSpec:
-    return Window.partitionBy(key, "_chunk").orderBy(time)
+def chunk_window(key: str = "symbol", time: str = "timestamp") -> str:
+    """Window clause over one chunk, for use without a frame or with one added."""
+    return f"PARTITION BY `{key}`, _chunk ORDER BY `{time}`"
 
 
-HELPERS = ("_chunk", "_core", "_before", "_total", "_carry")
+def place_in_series(w: str) -> str:
+    """1-based place of a row in its whole series, from inside its chunk.
+
+    A chunk holds whole buckets, so its first row opens a bucket.
+    """
+    first = f"first(_before) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return f"{first} + row_number() OVER ({w})"
 
 
 def over_series(
@@ -187,14 +178,14 @@ def over_series(
 ) -> DataFrame:
     """Add window columns to every row of every series.
 
-    Each stage maps the series window to named columns and may use the columns
-    of the stages before it. ``back`` and ``ahead`` are the rows that all stages
+    Each stage maps the window clause to named SQL expressions and may use the
+    columns of the stages before it. ``back`` and ``ahead`` are the rows that all stages
     together reach back and ahead. Columns whose name starts with an underscore
     are dropped at the end.
     """
     w = chunk_window(key, time)
     out = chunk_series(df, back, ahead, key, time, rows, bucket, carry)
     for stage in stages:
-        out = out.withColumns(dict(stage(w)))
+        out = add(out, stage(w))
     out = out.where("_core")
     return out.drop(*[c for c in out.columns if c.startswith("_")])

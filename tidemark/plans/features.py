@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import indicators as ind
 from tidemark.operators.ema import add_averages
-from tidemark.operators.series import CHUNK_ROWS, chunk_series, chunk_window, over_series
+from tidemark.operators.series import (
+    CHUNK_ROWS,
+    chunk_series,
+    chunk_window,
+    over_series,
+    place_in_series,
+)
 from tidemark.session import before
 from tidemark.sources.scans import scan_candles, scan_sentiment
 
@@ -38,14 +44,13 @@ def _distances(col, windows):
     return far | {f"dist_from_min_{n}": ind.distance_from(col, f"{col}_min_{n}") for n in windows}
 
 
-def _band(w, col, n, width):
+def _band(w, col, n):
     return {"bb_middle": ind.rolling_mean(col, n, w), "_bb_std": ind.rolling_std(col, n, w)}
 
 
 def _band_edges(width):
-    middle, spread = F.col("bb_middle"), F.col("_bb_std") * width
-    upper, lower = middle + spread, middle - spread
-    return {"bb_upper": upper, "bb_lower": lower, "bb_width": upper - lower}
+    upper, lower = (f"(bb_middle {sign} _bb_std * {width}D)" for sign in "+-")
+    return {"bb_upper": upper, "bb_lower": lower, "bb_width": f"{upper} - {lower}"}
 
 
 def sma(df: DataFrame, col: str = "close", windows: Sequence[int] = WINDOWS) -> DataFrame:
@@ -63,9 +68,11 @@ def rsi(df: DataFrame, col: str = "close", n: int = 14) -> DataFrame:
     return over_series(
         df,
         lambda w: {"_delta": ind.step(col, w)},
-        lambda w: {"_rise": ind.rise("_delta"), "_fall": ind.fall("_delta")},
         lambda w: {
-            f"rsi_{n}": ind.rsi(ind.rolling_mean("_rise", n, w), ind.rolling_mean("_fall", n, w))
+            f"rsi_{n}": ind.rsi(
+                ind.rolling_mean(ind.rise("_delta"), n, w),
+                ind.rolling_mean(ind.fall("_delta"), n, w),
+            )
         },
         back=n,
     )
@@ -73,7 +80,7 @@ def rsi(df: DataFrame, col: str = "close", n: int = 14) -> DataFrame:
 
 def bollinger(df: DataFrame, col: str = "close", n: int = 20, width: float = 2.0) -> DataFrame:
     return over_series(
-        df, lambda w: _band(w, col, n, width), lambda w: _band_edges(width), back=n - 1
+        df, lambda w: _band(w, col, n), lambda w: _band_edges(width), back=n - 1
     )
 
 
@@ -92,22 +99,19 @@ def volume_ratio(df: DataFrame, n: int = 7) -> DataFrame:
     return over_series(
         df,
         lambda w: _averages(w, "volume", (n,), "volume_sma"),
-        lambda w: {"volume_ratio": ind.ratio(F.col("volume"), F.col(f"volume_sma_{n}"))},
+        lambda w: {"volume_ratio": ind.ratio("volume", f"volume_sma_{n}")},
         back=n - 1,
     )
 
 
 def price_range(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "high_low_range": F.col("high") - F.col("low"),
-            "high_low_ratio": ind.ratio(F.col("high"), F.col("low")),
-        }
+    return ind.add(
+        df, {"high_low_range": "high - low", "high_low_ratio": ind.ratio("high", "low")}
     )
 
 
 def _lags(w, cols, lags):
-    return {f"{c}_lag_{n}": F.lag(c, n).over(w) for n in lags for c in cols}
+    return {f"{c}_lag_{n}": ind.lagged(c, n, w) for n in lags for c in cols}
 
 
 def lags(df: DataFrame, cols: Sequence[str] = LAGGED, ns: Sequence[int] = LAGS) -> DataFrame:
@@ -166,7 +170,7 @@ def targets(
 
 
 def calendar(df: DataFrame, time: str = "timestamp") -> DataFrame:
-    return df.withColumns(ind.calendar(time))
+    return ind.add(df, ind.calendar(time))
 
 
 def daily_first(
@@ -182,14 +186,11 @@ def daily_first(
 
 def _filled_readings(days: DataFrame, date, readings: DataFrame, value: str) -> DataFrame:
     """Join readings by date to one row per (symbol, day) and carry them on."""
-    w = Window.partitionBy("symbol").orderBy("_bucket")
-    return (
-        days.withColumn("date", date)
-        .join(readings, "date", "left")
-        .withColumn(value, F.last(value, ignorenulls=True).over(w.rowsBetween(
-            Window.unboundedPreceding, 0)))
-        .drop("date")
-    )
+    dated = days.withColumn("date", date).join(
+        readings.withColumnRenamed(value, "_reading"), "date", "left"
+    )
+    filled = ind.carried("_reading", "PARTITION BY symbol ORDER BY _bucket")
+    return ind.add(dated, {value: filled}).drop("date", "_reading")
 
 
 def attach_sentiment(
@@ -214,14 +215,13 @@ def trend_view(candles: DataFrame, tail: int, n: int = 7) -> DataFrame:
     out = over_series(
         candles.select("symbol", "timestamp", "close"),
         lambda w: {
-            "_row": F.first("_before").over(w.rowsBetween(Window.unboundedPreceding, 0))
-            + F.row_number().over(w),
+            "_row": place_in_series(w),
             **_averages(w, "close", (n,), "sma"),
             "_filled": ind.carried("close", w, "_carry"),
         },
         lambda w: {
             "momentum_1": ind.change_since("_filled", 1, w),
-            "rows_left": F.col("_total") - F.col("_row"),
+            "rows_left": "_total - _row",
         },
         back=n,
         carry="close",
@@ -257,48 +257,45 @@ def engineer_features(
         ),
     )
     w = chunk_window()
-    place = F.first("_before").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    out = chunked.withColumns(
+    out = ind.add(
+        chunked,
         {
-            "_row": place + F.row_number().over(w),
-            **_averages(w, "close", WINDOWS, "sma"),
+            "_row": place_in_series(w),
             "_delta": ind.step("close", w),
-            **_band(w, "close", 20, 2.0),
-            **_deviations(w, "close", WINDOWS, "volatility"),
             "_filled": ind.carried("close", w, "_carry"),
+            **_averages(w, "close", WINDOWS, "sma"),
+            **_band(w, "close", 20),
+            **_deviations(w, "close", WINDOWS, "volatility"),
             **_averages(w, "volume", (7,), "volume_sma"),
             **_lags(w, LAGGED, LAGS),
             **_extremes(w, "close", WINDOWS),
-        }
+        },
     )
-    out = out.withColumns(
+    rise, fall = ind.rise("_delta"), ind.fall("_delta")
+    out = ind.add(
+        out,
         {
-            "_rise": ind.rise("_delta"),
-            "_fall": ind.fall("_delta"),
+            "rsi_14": ind.rsi(ind.rolling_mean(rise, 14, w), ind.rolling_mean(fall, 14, w)),
             **{f"momentum_{n}": ind.change_since("_filled", n, w) for n in HORIZONS},
             **{f"target_return_{h}": ind.change_until("_filled", h, w) for h in HORIZONS},
-        }
-    )
-    out = out.withColumn(
-        "rsi_14", ind.rsi(ind.rolling_mean("_rise", 14, w), ind.rolling_mean("_fall", 14, w))
+        },
     ).where("_core")
-    out = add_averages(
-        out, "close", {f"ema_{n}": n for n in WINDOWS}, (12, 26, 9), rows=rows
-    )
+    out = add_averages(out, "close", {f"ema_{n}": n for n in WINDOWS}, (12, 26, 9), rows=rows)
     if tail is not None:
         out = out.where(F.col("_total") - F.col("_row") < tail)
-    same = {f"close_mean_{n}": F.col(f"sma_{n}") for n in WINDOWS}
-    same |= {f"close_std_{n}": F.col(f"volatility_{n}") for n in WINDOWS}
-    out = price_range(
-        out.withColumns(
-            _band_edges(2.0)
-            | {"volume_ratio": ind.ratio(F.col("volume"), F.col("volume_sma_7"))}
-            | same
-            | _distances("close", WINDOWS)
-            | _targets(HORIZONS, strict)
-            | ind.calendar("timestamp")
-        )
+    out = ind.add(
+        out,
+        {
+            **_band_edges(2.0),
+            "volume_ratio": ind.ratio("volume", "volume_sma_7"),
+            **{f"close_mean_{n}": f"sma_{n}" for n in WINDOWS},
+            **{f"close_std_{n}": f"volatility_{n}" for n in WINDOWS},
+            **_distances("close", WINDOWS),
+            **_targets(HORIZONS, strict),
+            **ind.calendar("timestamp"),
+        },
     )
+    out = price_range(out)
     return out.select(*candles.columns, *feature_columns())
 
 

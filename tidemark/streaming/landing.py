@@ -30,14 +30,21 @@ def distinct_records(
 
     State is dropped once the watermark has passed a key.
     """
-    return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
+    once = _event_time(stream, time, late).dropDuplicatesWithinWatermark(list(keys))
+    return once.withColumn(time, F.col(time).cast("timestamp_ntz"))
+
+
+def _event_time(stream: DataFrame, time: str, late: str) -> DataFrame:
+    """Watermarks need a zoned timestamp; sessions run in UTC."""
+    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
 
 
 def stream_candles(
     ticks: DataFrame, width: str = "1 hour", late: str = "2 hours", time: str = "ts", **columns
 ) -> DataFrame:
     """Candles of a tick stream; run it in update mode so that open hours show."""
-    return build_candles(ticks.withWatermark(time, late), width, time=time, **columns)
+    bars = build_candles(_event_time(ticks, time, late), width, time=time, **columns)
+    return bars.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
 def upsert_stream(
