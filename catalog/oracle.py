@@ -10,7 +10,8 @@ S = "PARTITION BY symbol ORDER BY timestamp"
 
 
 def r(expr: str) -> str:
-    return f"round({expr}, 6) + 0.0"
+    """Rounded as the queries round: half way always up, no negative zero."""
+    return f"round(({expr}) + 1e-9, 6) + 0.0"
 
 
 def rc(*cols: str, table: str = "") -> str:

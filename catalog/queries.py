@@ -24,11 +24,15 @@ SYMBOLS = ("click", "error", "purchase", "signup", "view")
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Doubles to six places, without negative zeros, for comparison."""
+    """Doubles to six places for comparison.
+
+    Two-digit prices give many values exactly half way between two roundings;
+    a nudge far below the last place rounds them up whatever their last bit.
+    """
     kinds = dict(df.dtypes)
     return df.select(
         *[
-            (F.round(c, 6) + F.lit(0.0)).alias(c) if kinds[c] in ("double", "float") else F.col(c)
+            (F.round(F.col(c) + 1e-9, 6) + F.lit(0.0)).alias(c) if kinds[c] in ("double", "float") else F.col(c)
             for c in df.columns
         ]
     )
@@ -441,18 +445,20 @@ def time_split(spark, sf):
     return prepare.time_split(_training_rows(spark, sf)).select(*KEY, "split")
 
 
+def _preparation(spark, sf):
+    return training.prepare_training(t.features(spark, sf), AS_OF, t.folder(spark, sf, "preparing"))
+
+
 def _prepared(spark, sf):
-    return t.settle(
-        spark, sf, "prepared", lambda: training.prepare_training(t.features(spark, sf), AS_OF)[0]
-    )
+    return t.settle(spark, sf, "prepared", lambda: _preparation(spark, sf)[0])
 
 
 def scaler_params(spark, sf):
-    return tidy(training.prepare_training(t.features(spark, sf), AS_OF)[1])
+    return tidy(_preparation(spark, sf)[1])
 
 
 def scaled_rows(spark, sf):
-    rows = training.prepare_training(t.features(spark, sf), AS_OF)[0]
+    rows, _ = _preparation(spark, sf)
     return tidy(rows.select(*KEY, "split", *schema.MODEL_INPUTS))
 
 
@@ -531,6 +537,9 @@ def best_model(spark, sf):
     return tidy(metrics.best_model(metrics.latest_run(t.model_metrics(spark, sf))))
 
 
+# Settings other than the defaults (100 trees, 100 rounds) of the tree models.
+FOREST: dict = {}
+BOOSTING: dict = {}
 _trained: dict = {}
 
 
@@ -540,7 +549,7 @@ def _all_models(spark, sf):
     if place not in _trained:
         _trained[place] = training.train(
             t.features(spark, sf), AS_OF, SYMBOLS, t.folder(spark, sf, "training"),
-            {"trees": 20}, {"rounds": 10},
+            FOREST, BOOSTING,
         )
     return _trained[place]
 
@@ -582,7 +591,7 @@ def filled_features(spark, sf):
 
 
 def latest_scaled(spark, sf):
-    _, params = training.prepare_training(t.features(spark, sf), AS_OF)
+    _, params = _preparation(spark, sf)
     rows = inference.fill(inference.latest_features(t.features(spark, sf)))
     return tidy(prepare.apply_scaler(rows, params))
 
@@ -593,12 +602,20 @@ def predicted_prices(spark, sf):
     return tidy(scored.select(*KEY, "predicted_return", "predicted_price"))
 
 
+def _live_rows(spark, sf, models):
+    """The newest row of each symbol, scaled, stored for the scoring passes."""
+
+    def build():
+        rows = inference.fill(inference.latest_features(t.features(spark, sf)))
+        return prepare.apply_scaler(rows, models.scaler)
+
+    return t.settle(spark, sf, "live_rows", build)
+
+
 def _scored(spark, sf, models):
-    rows = inference.fill(inference.latest_features(t.features(spark, sf)))
-    scaled = prepare.apply_scaler(rows, models.scaler)
-    out = inference.score_clf(models.random_forest, scaled, prefix="rf")
-    out = inference.score_clf(models.gradient_boosting, out, prefix="gb")
-    out = inference.score_reg(models.ridge, out)
+    scaled = _live_rows(spark, sf, models)
+    trees = {"rf": models.random_forest, "gb": models.gradient_boosting}
+    out = inference.score_reg(models.ridge, inference.score_clf(trees, scaled))
     out = inference.ensemble(
         out, ["rf_prediction", "gb_prediction"], ["rf_confidence", "gb_confidence"]
     )
@@ -666,8 +683,7 @@ def variants(spark, sf):
 def ab_predictions(spark, sf):
     """Latest rows scored by the model their variant names."""
     models, _ = _all_models(spark, sf)
-    rows = inference.fill(inference.latest_features(t.features(spark, sf)))
-    scaled = prepare.apply_scaler(rows, models.scaler)
+    scaled = _live_rows(spark, sf, models)
     drawn = abtest.assign_variant(scaled, abtest.active_test(t.ab_config(spark, sf)), "timestamp")
     out = abtest.ab_score(drawn, models.trees())
     return out.drop(*schema.MODEL_INPUTS)

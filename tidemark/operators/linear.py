@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import spread_join
@@ -111,12 +111,10 @@ def fit_ridge(
     return _as_arrays(cells, key).select(key, solve("cells").alias("_m")).select(key, "_m.*")
 
 
-def margin(cols: Sequence[str]):
+def margin(cols: Sequence[str]) -> Column:
     """Intercept plus dot product with the joined coefficients."""
-    total = F.col("intercept")
-    for i, c in enumerate(cols):
-        total = total + F.col(c) * F.col("coefficients")[i]
-    return total
+    terms = [f"`{c}` * coefficients[{i}]" for i, c in enumerate(cols)]
+    return F.expr(" + ".join(["intercept", *terms]))
 
 
 def predict_linear(
@@ -210,7 +208,7 @@ def fit_logistic(
         seen = spread_join(labelled, coefficients, [key]).withColumn("_z", margin(cols))
         sums = _as_arrays(_additive(seen, [*inputs, target, "_z"], key, measure), key)
         state = state.join(sums, key).mapInPandas(advance, state_type).checkpoint()
-        if state.agg(F.max("moved")).first()[0] <= tolerance:
+        if state.where(F.col("moved") > tolerance).isEmpty():
             break
     return state.select(
         key, F.col("at")[0].alias("intercept"), F.slice("at", 2, k - 1).alias("coefficients")

@@ -98,9 +98,13 @@ def time_split(
     validation: float = 0.85,
     key: str = "symbol",
     time: str = "timestamp",
+    min_rows: int = 0,
 ) -> DataFrame:
-    """Add ``split``: oldest rows train, then validation, then test."""
-    numbered = number_rows(df, key, time)
+    """Add ``split``: oldest rows train, then validation, then test.
+
+    Keys with fewer than ``min_rows`` rows are left out.
+    """
+    numbered = number_rows(df, key, time).where(F.col("_total") >= min_rows)
     total, row = F.col("_total").cast("double"), F.col("_row")
     part = (
         F.when(row <= F.floor(total * F.lit(train)), "train")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import nearest_outcome
@@ -40,14 +41,16 @@ def draw(test, symbol, time):
 
 def assign_variant(df: DataFrame, test: DataFrame, time: str = "prediction_timestamp") -> DataFrame:
     """Add the test's name and variant A or B; ``test`` is one row."""
-    # the one-row test is read as scalar subqueries, so nothing is joined
-    name, split = (test.select(c).scalar() for c in ("test_name", "traffic_split"))
-    a, b = (test.select(c).scalar() for c in ("model_a_name", "model_b_name"))
-    chosen = df.withColumn("test_name", name).withColumn(
-        "model_version",
-        F.when(draw(F.col("test_name"), F.col("symbol"), F.col(time)) < split, "A").otherwise("B"),
+    # the one-row test is read as a scalar subquery, so nothing is joined
+    one = test.select(F.struct(*DEFAULT_TEST).alias("t")).scalar()
+    taken = draw(one["test_name"], F.col("symbol"), F.col(time)) < one["traffic_split"]
+    return df.withColumns(
+        {
+            "test_name": one["test_name"],
+            "model_version": F.when(taken, "A").otherwise("B"),
+            "model_name": F.when(taken, one["model_a_name"]).otherwise(one["model_b_name"]),
+        }
     )
-    return chosen.withColumn("model_name", F.when(F.col("model_version") == "A", a).otherwise(b))
 
 
 def ab_score(
@@ -57,13 +60,11 @@ def ab_score(
 ) -> DataFrame:
     """Score each row with the classifier its ``model_name`` names."""
     parts = [
-        score_clf(by_symbol, scaled.where(F.col("model_name") == name), cols, "ab")
+        score_clf({"ab": by_symbol}, scaled.where(F.col("model_name") == name), cols)
         for name, by_symbol in models.items()
+        if by_symbol
     ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.withColumnsRenamed(
+    return reduce(DataFrame.unionByName, parts).withColumnsRenamed(
         {"ab_prediction": "predicted_direction", "ab_confidence": "confidence"}
     ).drop("ab_prob_up", "ab_prob_down")
 
@@ -98,18 +99,24 @@ def ab_winner(metrics: DataFrame, tie: float = 0.02, clear: float = 0.05) -> Dat
         accuracy("B").alias("accuracy_b"),
         F.count(F.lit(1)).alias("_variants"),
     )
-    gap = F.col("accuracy_a") - F.col("accuracy_b")
-    even = F.abs(gap) < tie
-    sure = F.when(even, "low").when(F.abs(gap) > clear, "high").otherwise("medium")
+    winner, sure = verdict(F.col("accuracy_a"), F.col("accuracy_b"), tie, clear)
     some = F.col("_variants") > 0
     return both.select(
         "accuracy_a",
         "accuracy_b",
-        F.when(some, F.when(even, "tie").when(gap > 0, "A").otherwise("B")).alias("winner"),
+        F.when(some, winner).alias("winner"),
         F.when(some, sure).alias("confidence"),
     )
 
 
+def verdict(a: Column, b: Column, tie: float = 0.02, clear: float = 0.05) -> tuple[Column, Column]:
+    """Winner and confidence from two accuracies."""
+    gap = a - b
+    even = F.abs(gap) < tie
+    winner = F.when(even, "tie").when(gap > 0, "A").otherwise("B")
+    return winner, F.when(even, "low").when(F.abs(gap) > clear, "high").otherwise("medium")
+
+
 def ab_by_symbol(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("symbol", "model_version").agg(
         F.count(F.lit(1)).alias("predictions"), F.avg("correct").alias("accuracy")
@@ -149,17 +156,20 @@ def ab_report(test: DataFrame, outcomes: DataFrame, as_of) -> DataFrame:
         variant("B").alias("model_b_metrics"),
         F.array_sort(F.collect_list(entry)).alias("per_symbol"),
     )
-    by_version = outcomes.groupBy("model_version").agg(F.avg("correct").alias("accuracy"))
-    verdict = ab_winner(by_version)
-    pick = lambda df, c: df.select(c).scalar()
+    a, b = (
+        F.coalesce(F.col(f"model_{v}_metrics.accuracy"), F.lit(0.0)) for v in ("a", "b")
+    )
+    winner, sure = verdict(a, b)
+    some = F.size("per_symbol") > 0
+    named = test.select(F.struct("test_name", "model_a_name", "model_b_name")).scalar()
     return body.select(
-        pick(test, "test_name").alias("test_name"),
-        pick(test, "model_a_name").alias("model_a"),
-        pick(test, "model_b_name").alias("model_b"),
+        named["test_name"].alias("test_name"),
+        named["model_a_name"].alias("model_a"),
+        named["model_b_name"].alias("model_b"),
         "model_a_metrics",
         "model_b_metrics",
-        pick(verdict, "winner").alias("winner"),
-        pick(verdict, "confidence").alias("confidence"),
+        F.when(some, winner).alias("winner"),
+        F.when(some, sure).alias("confidence"),
         moment(as_of).alias("evaluation_time"),
         "per_symbol",
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -51,30 +52,42 @@ def fill(df: DataFrame, value: float = 0, cols: Sequence[str] = MODEL_INPUTS) ->
 
 
 def score_clf(
-    models: Mapping[str, object],
+    classifiers: Mapping[str, Mapping[str, object]],
     scaled: DataFrame,
     cols: Sequence[str] = MODEL_INPUTS,
-    prefix: str = "rf",
 ) -> DataFrame:
-    """Class, confidence and probabilities from each symbol's own classifier."""
+    """Class, confidence and probabilities from each symbol's own classifiers.
+
+    ``classifiers`` maps a column prefix to the models by symbol; a symbol
+    without one of them has NULL there. ``scaled`` is read once per symbol, so
+    it is best a stored table, partitioned by symbol if large.
+    """
     rows = assemble(scaled, cols)
-    parts = []
-    for symbol, model in models.items():
-        scored = model.transform(rows.where(F.col("symbol") == symbol))
-        parts.append(scored.withColumn("_p", vector_to_array("probability")))
-    if not parts:
+    symbols = sorted({s for by_symbol in classifiers.values() for s in by_symbol})
+    if not symbols:
         raise ValueError("no classifier to score with")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    chosen = F.col("prediction").cast("int")
-    return out.select(
-        *[c for c in scaled.columns],
-        chosen.alias(f"{prefix}_prediction"),
-        F.element_at("_p", chosen + 1).alias(f"{prefix}_confidence"),
-        F.element_at("_p", 2).alias(f"{prefix}_prob_up"),
-        F.element_at("_p", 1).alias(f"{prefix}_prob_down"),
-    )
+    parts = []
+    for symbol in symbols:
+        part = rows.where(F.col("symbol") == symbol)
+        for prefix, by_symbol in classifiers.items():
+            if symbol in by_symbol:
+                part = by_symbol[symbol].transform(part)
+                chosen, chances = "CAST(prediction AS INT)", F.col("probability")
+                part = part.withColumn("_p", vector_to_array(chances))
+            else:
+                chosen = "CAST(NULL AS INT)"
+                part = part.withColumn("_p", F.lit(None).cast("array<double>"))
+            found = {
+                "prediction": chosen,
+                "confidence": f"_p[{chosen}]",
+                "prob_up": "_p[1]",
+                "prob_down": "_p[0]",
+            }
+            part = part.selectExpr(
+                "*", *[f"{sql} AS {prefix}_{name}" for name, sql in found.items()]
+            ).drop("rawPrediction", "probability", "prediction", "_p")
+        parts.append(part.drop("features"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def score_reg(

@@ -142,13 +142,11 @@ def key_figures(rolled: DataFrame, fresh: DataFrame, counts: DataFrame) -> DataF
     overall = rolled.where(F.col("level") == "overall")
     first = fresh.where(F.col("table_name") == "ohlcv_data")
 
-    def pick(df, c):
-        return df.select(c).scalar()
-
+    known = overall.select(F.struct("accuracy", "predictions")).scalar()
     figures = counts.select(
-        F.coalesce(pick(overall, "accuracy"), F.lit(0.0)).alias("overall_accuracy"),
-        F.coalesce(pick(overall, "predictions"), F.lit(0)).alias("total_predictions"),
-        pick(first, "minutes_old").alias("minutes_old"),
+        F.coalesce(known["accuracy"], F.lit(0.0)).alias("overall_accuracy"),
+        F.coalesce(known["predictions"], F.lit(0)).alias("total_predictions"),
+        first.select("minutes_old").scalar().alias("minutes_old"),
         F.col("predictions_count"),
         F.col("features_count"),
     )

@@ -52,22 +52,28 @@ class Trained:
 
 
 def prepare_training(
-    features: DataFrame, as_of, min_rows: int = 100, impute_scope: str = "all"
+    features: DataFrame, as_of, table: str, min_rows: int = 100, impute_scope: str = "all"
 ) -> tuple[DataFrame, DataFrame]:
     """Imputed, split and standardised rows, and the scaling parameters.
 
-    Symbols with fewer than ``min_rows`` labelled rows are left out.
+    Symbols with fewer than ``min_rows`` labelled rows are left out. Medians and
+    scaling each need passes of their own over the rows before them, so the
+    split rows, the filled rows and the parameters are written below ``table``
+    and read from there: the features are read twice, whatever follows.
     """
     if impute_scope not in ("all", "train"):
         raise ValueError("impute_scope is 'all' or 'train'")
-    rows = scan_training(features, as_of)
-    enough = rows.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n"))
-    enough = enough.where(F.col("_n") >= min_rows).select("symbol")
-    parts = time_split(rows.join(enough, "symbol", "left_semi"))
+    spark = features.sparkSession
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{table}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{table}/{name}")
+
+    parts = stored("split", time_split(scan_training(features, as_of), min_rows=min_rows))
     fit_on = parts.where(F.col("split") == "train") if impute_scope == "train" else None
-    whole = impute_median(parts, MODEL_INPUTS, fit_on=fit_on)
-    scaler = fit_scaler(whole.where(F.col("split") == "train"))
-    return apply_scaler(whole, scaler), scaler
+    filled = stored("filled", impute_median(parts, MODEL_INPUTS, fit_on=fit_on))
+    scaler = stored("scaler", fit_scaler(filled.where(F.col("split") == "train")))
+    return apply_scaler(filled, scaler), scaler
 
 
 def forest(trees: int = 100, depth: int = 10, seed: int = 42) -> RandomForestClassifier:
@@ -141,12 +147,9 @@ def train(
     every fit reads that table.
     """
     spark = features.sparkSession
-    rows, scaler = prepare_training(features, as_of)
+    rows, scaler = prepare_training(features, as_of, table)
     rows.write.mode("overwrite").partitionBy("symbol").parquet(f"{table}/rows")
-    scaler.write.mode("overwrite").parquet(f"{table}/scaler")
-    schema = rows.schema
-    rows = spark.read.schema(schema).parquet(f"{table}/rows")
-    scaler = spark.read.parquet(f"{table}/scaler")
+    rows = spark.read.schema(rows.schema).parquet(f"{table}/rows")
     fitting = rows.where(F.col("split") == "train")
     ridge = fit_ridge(fitting)
     ridge.write.mode("overwrite").parquet(f"{table}/ridge")
@@ -174,7 +177,7 @@ def validation_metrics(models: Trained, rows: DataFrame, as_of) -> DataFrame:
     add("logistic_regression", measured, CLF_METRICS)
     for name, by_symbol in models.trees().items():
         if by_symbol:
-            scored = score_clf(by_symbol, rows, prefix="tree")
+            scored = score_clf({"tree": by_symbol}, rows)
             measured = clf_metrics(scored, ["symbol"], DIRECTION_TARGET, "tree_prediction")
             add(name, measured, CLF_METRICS)
     scored = predict_linear(rows, models.ridge)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import insert_new, upsert
@@ -23,12 +23,16 @@ AB_REPORT = (
 
 
 def append(df: DataFrame, path: str, time: str = "timestamp") -> None:
-    """Append rows to a table stored by the date of ``time``.
+    """Append rows to a table stored by the date of ``time``."""
+    _by_date(df.withColumn("date", F.to_date(time))).mode("append").parquet(path)
 
-    Rows of a date are spread over the tasks that hold them, so a busy date does
-    not pass through one task.
+
+def _by_date(df: DataFrame) -> DataFrameWriter:
+    """Writer into date folders, with files of even size.
+
+    Rebalancing gathers the rows of small dates and splits those of busy ones.
     """
-    df.withColumn("date", F.to_date(time)).write.mode("append").partitionBy("date").parquet(path)
+    return df.hint("rebalance", "date").write.partitionBy("date")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -58,7 +62,7 @@ def merge_into(
     try:
         table = spark.read.parquet(path)
     except AnalysisException:
-        new.write.mode("overwrite").partitionBy("date").parquet(path)
+        _by_date(new).mode("overwrite").parquet(path)
         return
     touched = table.join(new.select("date").distinct(), "date", "left_semi")
     touched = touched.select(*new.columns)
@@ -66,15 +70,10 @@ def merge_into(
         merged = insert_new(touched, new, keys)
     else:
         merged = upsert(touched, new, keys, update_cols)
-    merged.write.mode("overwrite").partitionBy("date").parquet(staging)
-    (
-        spark.read.schema(merged.schema)
-        .parquet(staging)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
-        .parquet(path)
-    )
+    _by_date(merged).mode("overwrite").parquet(staging)
+    merged = spark.read.schema(merged.schema).parquet(staging)
+    writer = _by_date(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
