@@ -10,7 +10,7 @@ dependence on the carries also has a closed form and needs no second pass.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.indicators import add
 from tidemark.operators.series import BUCKET, CHUNK_ROWS, chunk_series, chunk_window
 
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 MACD_COLUMNS = ("macd", "macd_signal", "macd_histogram")
 
 
@@ -30,13 +31,20 @@ def _power(span: int, n: str) -> str:
     return f"pow({_weights(span)[1]!r}D, {n})"
 
 
-def _response(span: int, signal: int, n: str) -> str:
+def _taken(span: int, n: str) -> str:
+    """The power of a row's own place, from the column that holds it."""
+    return f"(1D / _up_{span})"
+
+
+def _response(
+    span: int, signal: int, n: str, power: Callable[[int, str], str] = _power
+) -> str:
     """What a unit carry of one average adds to the signal after ``n`` rows."""
     a, r = _weights(signal)
     _, q = _weights(span)
     if math.isclose(q, r):
-        return f"({a!r}D * ({n}) * {_power(span, n)})"
-    return f"({a * q / (q - r)!r}D * ({_power(span, n)} - {_power(signal, n)}))"
+        return f"({a!r}D * ({n}) * {power(span, n)})"
+    return f"({a * q / (q - r)!r}D * ({power(span, n)} - {power(signal, n)}))"
 
 
 def _reach(spans: Iterable[int], rows: int) -> int:
@@ -68,102 +76,134 @@ def _carries(
     return add(add(ends, {"_earlier": earlier}), totals).drop("_earlier")
 
 
-def add_averages(
-    core: DataFrame,
-    col: str,
-    spans: Mapping[str, int],
-    macd: tuple[int, int, int] | None = None,
-    key: str = "symbol",
-    time: str = "timestamp",
-    rows: int = CHUNK_ROWS,
-) -> DataFrame:
-    """Add averages named by ``spans`` (and MACD columns) to chunked core rows.
+class Averages:
+    """The window passes and the final join for a set of averages.
 
-    Missing values leave the average where it was. ``core`` has ``_chunk``.
+    ``passes`` are columns for successive projections over the chunk window, so
+    that a caller can evaluate its own windows in the same passes. Rows outside
+    the chunk's core do not count. ``finish`` takes the core rows.
     """
-    wanted = sorted(set(spans.values()) | set(macd[:2] if macd else ()))
-    every = wanted + ([macd[2]] if macd else [])
-    if min(every) < 2:
-        raise ValueError("spans start at 2")
-    # beyond this many rows the weights inside one chunk leave the double range
-    limit = int(700 / -math.log(_weights(min(every))[1]))
-    w = chunk_window(key, time)
-    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-
-    def weighted_sum(span: int, value: str) -> str:
-        """Average of the values inside the chunk, from a start of zero."""
-        a, _ = _weights(span)
-        terms = f"sum({a!r}D * {value} * {_power(span, '-_pos')}) OVER ({w} {so_far})"
-        return f"coalesce({terms}, 0D) * {_power(span, '_pos')}"
-
-    local = add(core, {"_pos": f"count({col}) OVER ({w} {so_far})"})
-    local = add(local, {f"_local_{s}": weighted_sum(s, col) for s in wanted})
-    parts = [f"_local_{s}" for s in wanted]
-    if macd:
-        fast, slow, signal = macd
-        line = f"CASE WHEN {col} IS NOT NULL THEN _local_{fast} - _local_{slow} END"
-        local = add(local, {"_local_signal": weighted_sum(signal, line)})
-        parts.append("_local_signal")
-
-    ends = add(
-        local.selectExpr(f"`{key}`", "_chunk", "_pos", f"`{time}`", col, *parts)
-        .groupBy(key, "_chunk")
-        .agg(F.expr(f"min_by({col}, CASE WHEN {col} IS NOT NULL THEN `{time}` END)").alias("_first"),
-             F.max("_pos").alias("_len"),
-             *[F.max_by(c, "_pos").alias(f"_end{c}") for c in parts]),
-        {
-            "_n": f"CASE WHEN _len <= {limit} THEN _len ELSE CAST(raise_error("
-            f"'a chunk holds more than {limit} rows; use a shorter bucket') AS BIGINT) END"
-        },
-    )
-    wk = f"PARTITION BY `{key}` ORDER BY _chunk"
-    ends = add(
-        ends,
-        {
-            "_seen": f"sum(_n) OVER ({wk} {so_far})",
-            "_seed": f"first(_first, true) OVER ({wk} ROWS BETWEEN UNBOUNDED PRECEDING "
-            "AND UNBOUNDED FOLLOWING)",
-        },
-    )
-    ends = add(ends, {"_prior": "_seen - _n"})
-    ends = _carries(
-        ends, {s: f"_end_local_{s}" for s in wanted}, _reach(wanted, rows), wk,
-        {s: f"_from_{s}" for s in wanted},
-    )
-    ends = add(
-        ends, {f"_in_{s}": f"_from_{s} + _seed * {_power(s, '_prior')}" for s in wanted}
-    )
-    carries = [f"_in_{s}" for s in wanted]
-    if macd:
-        driven = (
-            f"_end_local_signal + _in_{fast} * {_response(fast, signal, '_n')} "
-            f"- _in_{slow} * {_response(slow, signal, '_n')}"
+
+    def __init__(
+        self,
+        col: str,
+        spans: Mapping[str, int],
+        macd: tuple[int, int, int] | None = None,
+        key: str = "symbol",
+        time: str = "timestamp",
+        rows: int = CHUNK_ROWS,
+    ):
+        self.col, self.spans, self.macd = col, spans, macd
+        self.key, self.time, self.rows = key, time, rows
+        self.wanted = sorted(set(spans.values()) | set(macd[:2] if macd else ()))
+        every = self.wanted + ([macd[2]] if macd else [])
+        if min(every) < 2:
+            raise ValueError("spans start at 2")
+        # beyond this many rows the weights inside one chunk leave the double range
+        self.limit = int(700 / -math.log(_weights(min(every))[1]))
+        self.powers = sorted(set(every))
+        self.parts = [f"_local_{s}" for s in self.wanted] + (["_local_signal"] if macd else [])
+
+    @property
+    def passes(self) -> list[dict[str, str]]:
+        w = chunk_window(self.key, self.time)
+
+        def so_far(fn: str, value: str) -> str:
+            counted = f"CASE WHEN _core AND {self.col} IS NOT NULL THEN {value} END"
+            return f"{fn}({counted}) OVER ({w} {SO_FAR})"
+
+        def weighted_sum(span: int, value: str) -> str:
+            """Average of the values inside the chunk, from a start of zero."""
+            a, _ = _weights(span)
+            total = so_far("sum", f"{a!r}D * {value} * _up_{span}")
+            return f"coalesce({total}, 0D) / _up_{span}"
+
+        # powers are slow: each is taken once per row and used in all later steps
+        out = [
+            {"_pos": so_far("count", "1")},
+            {f"_up_{s}": _power(s, "-_pos") for s in self.powers},
+            {f"_local_{s}": weighted_sum(s, self.col) for s in self.wanted},
+        ]
+        if self.macd:
+            fast, slow, signal = self.macd
+            line = f"(_local_{fast} - _local_{slow})"
+            out.append({"_local_signal": weighted_sum(signal, line)})
+        return out
+
+    def _chunk_ends(self, local: DataFrame) -> DataFrame:
+        """One row per chunk with every carry handed to it."""
+        key, wanted = self.key, self.wanted
+        first = f"min_by({self.col}, CASE WHEN {self.col} IS NOT NULL THEN `{self.time}` END)"
+        ends = local.groupBy(key, "_chunk").agg(
+            F.expr(first).alias("_first"),
+            F.max("_pos").alias("_len"),
+            *[F.max_by(c, "_pos").alias(f"_end{c}") for c in self.parts],
         )
-        ends = add(ends, {"_driven": driven})
-        ends = _carries(
-            ends, {signal: "_driven"}, _reach([signal], rows), wk, {signal: "_in_signal"}
+        too_long = f"a chunk holds more than {self.limit} rows; use a shorter bucket"
+        checked = (
+            f"CASE WHEN _len <= {self.limit} THEN _len "
+            f"ELSE CAST(raise_error('{too_long}') AS BIGINT) END"
         )
-        carries.append("_in_signal")
-    ends = ends.select(key, "_chunk", "_prior", *carries)
-
-    def value(span: int) -> str:
-        return f"(_local_{span} + _in_{span} * {_power(span, '_pos')})"
-
-    def known(sql: str) -> str:
-        return f"CASE WHEN _prior + _pos > 0 THEN {sql} END"
-
-    results = {name: known(value(s)) for name, s in spans.items()}
-    if macd:
-        gap = f"({value(fast)} - {value(slow)})"
-        smooth = (
-            f"(_local_signal + _in_signal * {_power(signal, '_pos')} "
-            f"+ _in_{fast} * {_response(fast, signal, '_pos')} "
-            f"- _in_{slow} * {_response(slow, signal, '_pos')})"
+        wk = f"PARTITION BY `{key}` ORDER BY _chunk"
+        ends = add(ends, {"_n": checked})
+        ends = add(
+            ends,
+            {
+                "_seen": f"sum(_n) OVER ({wk} {SO_FAR})",
+                "_seed": f"first(_first, true) OVER ({wk} ROWS BETWEEN UNBOUNDED PRECEDING "
+                "AND UNBOUNDED FOLLOWING)",
+            },
         )
-        lines = (gap, smooth, f"{gap} - {smooth}")
-        results |= {name: known(sql) for name, sql in zip(MACD_COLUMNS, lines, strict=True)}
-    out = add(local.join(ends, [key, "_chunk"]), results)
-    return out.drop(*parts, "_pos", "_prior", *carries)
+        ends = add(ends, {"_prior": "_seen - _n"})
+        own = {s: f"_end_local_{s}" for s in wanted}
+        handed = {s: f"_from_{s}" for s in wanted}
+        ends = _carries(ends, own, _reach(wanted, self.rows), wk, handed)
+        seeded = {f"_in_{s}": f"_from_{s} + _seed * {_power(s, '_prior')}" for s in wanted}
+        ends = add(ends, seeded)
+        if self.macd:
+            fast, slow, signal = self.macd
+            driven = (
+                f"_end_local_signal + _in_{fast} * {_response(fast, signal, '_n')} "
+                f"- _in_{slow} * {_response(slow, signal, '_n')}"
+            )
+            ends = add(ends, {"_driven": driven})
+            reach = _reach([signal], self.rows)
+            ends = _carries(ends, {signal: "_driven"}, reach, wk, {signal: "_in_signal"})
+        return ends.select(key, "_chunk", "_prior", *self._carried())
+
+    def _carried(self) -> list[str]:
+        return [f"_in_{s}" for s in self.wanted] + (["_in_signal"] if self.macd else [])
+
+    def finish(self, local: DataFrame) -> DataFrame:
+        """Bring the carries back and put the averages together."""
+
+        def value(span: int) -> str:
+            return f"(_local_{span} + _in_{span} / _up_{span})"
+
+        def known(sql: str) -> str:
+            return f"CASE WHEN _prior + _pos > 0 THEN {sql} END"
+
+        results = {name: known(value(s)) for name, s in self.spans.items()}
+        if self.macd:
+            fast, slow, signal = self.macd
+            gap = f"({value(fast)} - {value(slow)})"
+            smooth = (
+                f"(_local_signal + _in_signal / _up_{signal} "
+                f"+ _in_{fast} * {_response(fast, signal, '_pos', _taken)} "
+                f"- _in_{slow} * {_response(slow, signal, '_pos', _taken)})"
+            )
+            lines = (gap, smooth, f"{gap} - {smooth}")
+            results |= {n: known(sql) for n, sql in zip(MACD_COLUMNS, lines, strict=True)}
+        joined = local.join(self._chunk_ends(local), [self.key, "_chunk"])
+        helpers = [*self.parts, *[f"_up_{s}" for s in self.powers], *self._carried()]
+        return add(joined, results).drop("_pos", "_prior", *helpers)
+
+
+def _averaged(df: DataFrame, averages: Averages, bucket: str) -> DataFrame:
+    local = chunk_series(df, 0, 0, averages.key, averages.time, averages.rows, bucket)
+    for columns in averages.passes:
+        local = add(local, columns)
+    return averages.finish(local)
 
 
 def ema(
@@ -176,8 +216,7 @@ def ema(
     bucket: str = BUCKET,
 ) -> DataFrame:
     """Exponential moving averages seeded with the first value of each series."""
-    core = chunk_series(df, 0, 0, key, time, rows, bucket)
-    out = add_averages(core, col, spans, None, key, time, rows)
+    out = _averaged(df, Averages(col, spans, None, key, time, rows), bucket)
     return out.select(*df.columns, *spans)
 
 
@@ -193,6 +232,5 @@ def macd(
     bucket: str = BUCKET,
 ) -> DataFrame:
     """Difference of two averages, its own average, and the gap between them."""
-    core = chunk_series(df, 0, 0, key, time, rows, bucket)
-    out = add_averages(core, col, {}, (fast, slow, signal), key, time, rows)
+    out = _averaged(df, Averages(col, {}, (fast, slow, signal), key, time, rows), bucket)
     return out.select(*df.columns, *MACD_COLUMNS)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import indicators as ind
-from tidemark.operators.ema import add_averages
+from tidemark.operators.ema import Averages
 from tidemark.operators.series import (
     CHUNK_ROWS,
     chunk_series,
@@ -257,30 +257,33 @@ def engineer_features(
         ),
     )
     w = chunk_window()
-    out = ind.add(
-        chunked,
-        {
-            "_row": place_in_series(w),
-            "_delta": ind.step("close", w),
-            "_filled": ind.carried("close", w, "_carry"),
-            **_averages(w, "close", WINDOWS, "sma"),
-            **_band(w, "close", 20),
-            **_deviations(w, "close", WINDOWS, "volatility"),
-            **_averages(w, "volume", (7,), "volume_sma"),
-            **_lags(w, LAGGED, LAGS),
-            **_extremes(w, "close", WINDOWS),
-        },
-    )
+    averages = Averages("close", {f"ema_{n}": n for n in WINDOWS}, (12, 26, 9), rows=rows)
+    place, powers, sums, signal = averages.passes
     rise, fall = ind.rise("_delta"), ind.fall("_delta")
-    out = ind.add(
-        out,
-        {
-            "rsi_14": ind.rsi(ind.rolling_mean(rise, 14, w), ind.rolling_mean(fall, 14, w)),
-            **{f"momentum_{n}": ind.change_since("_filled", n, w) for n in HORIZONS},
-            **{f"target_return_{h}": ind.change_until("_filled", h, w) for h in HORIZONS},
-        },
-    ).where("_core")
-    out = add_averages(out, "close", {f"ema_{n}": n for n in WINDOWS}, (12, 26, 9), rows=rows)
+    # windows that others build on come first, while rows are still narrow
+    first = {
+        "_delta": ind.step("close", w),
+        "_filled": ind.carried("close", w, "_carry"),
+        "_row": place_in_series(w),
+        **place,
+    }
+    rest = {
+        **signal,
+        **_averages(w, "close", WINDOWS, "sma"),
+        **_band(w, "close", 20),
+        **_deviations(w, "close", WINDOWS, "volatility"),
+        **_averages(w, "volume", (7,), "volume_sma"),
+        **_lags(w, LAGGED, LAGS),
+        **_extremes(w, "close", WINDOWS),
+        "rsi_14": ind.rsi(ind.rolling_mean(rise, 14, w), ind.rolling_mean(fall, 14, w)),
+        **{f"momentum_{n}": ind.change_since("_filled", n, w) for n in HORIZONS},
+        **{f"target_return_{h}": ind.change_until("_filled", h, w) for h in HORIZONS},
+    }
+    out = chunked
+    for columns in (first, powers, sums, rest):
+        out = ind.add(out, columns)
+    out = out.where("_core")
+    out = averages.finish(out)
     if tail is not None:
         out = out.where(F.col("_total") - F.col("_row") < tail)
     out = ind.add(

@@ -14,6 +14,9 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes; wide projections would be
+    # interpreted if fused into one. Beyond the limit Spark splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
