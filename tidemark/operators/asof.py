@@ -71,17 +71,12 @@ def nearest_outcome(
     asked = asked.withColumn("_slot", slot(F.col("_asked")))
     met = spread_join(asked, slots, ["symbol", "_slot"])
 
-    gap = lambda r: r["at"] - F.col("_asked")
-    inside = F.filter(
-        "_later", lambda r: (gap(r) >= low * second) & (gap(r) <= high * second)
+    gap = "(r.at - _asked)"
+    inside = f"{gap} BETWEEN {low * second} AND {high * second}"
+    ranked = F.expr(
+        f"transform(_later, r -> CASE WHEN {inside} THEN "
+        f"struct(abs({gap} - {target * second}) AS off, r.at AS at, r.close AS close) END)"
     )
-    ranked = F.transform(
-        inside,
-        lambda r: F.struct(
-            F.abs(gap(r) - target * second).alias("off"), r["at"].alias("at"),
-            r["close"].alias("close"),
-        ),
-    )
     met = met.withColumn("actual_price", F.array_min(ranked)["close"])
     if base == "feature":
         exact = F.filter("_same", lambda r: r["at"] == F.col("_asked"))
