@@ -34,6 +34,7 @@ def settle(
     spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]
 ) -> DataFrame:
     """The stored table ``name``, written on first use."""
+    configure(spark)
     place = (spark.sparkContext.applicationId, sf, name)
     if place not in _settled:
         path = folder(spark, sf, name)

@@ -156,6 +156,18 @@ def test_merge_into_rewrites_only_touched_dates(spark, tmp_path):
     assert content(tables.read_table(spark, path)) == sorted(want + at([(1, 6, 6)]))
 
 
+def test_a_pending_merge_is_finished_first(spark, tmp_path):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    tables.merge_into(table(spark, [(0, 1, 1)]), path, staging, KEYS)
+    # as left by a run that failed while it replaced the second date
+    lost = table(spark, [(3000, 2, 2)]).withColumn("date", F.to_date("timestamp"))
+    lost.write.mode("overwrite").partitionBy("date").parquet(f"{staging}/merged")
+    tables._mark(spark, staging, True)
+    tables.merge_into(table(spark, [(1, 3, 3)]), path, staging, KEYS)
+    want = at([(0, 1, 1), (1, 3, 3), (3000, 2, 2)])
+    assert content(tables.read_table(spark, path)) == want
+
+
 def test_split_valid(spark):
     shape = T.StructType(
         [

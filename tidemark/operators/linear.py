@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.skew import spread_join
 from tidemark.schema import DIRECTION_TARGET, MODEL_INPUTS, RETURN_TARGET
-from tidemark.session import shared_dir
+from tidemark.session import allow_checkpoints
 
 HELD_KEYS = 2000
 
@@ -160,8 +160,7 @@ def fit_logistic(
     raises a key's objective is halved for that key. The coefficients are the
     only state between passes and are checkpointed after each.
     """
-    spark = train.sparkSession
-    spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
+    allow_checkpoints(train.sparkSession)
     k = len(cols) + 1
     kind = train.schema[key].dataType.simpleString()
     state_type = (

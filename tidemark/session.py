@@ -46,6 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def allow_checkpoints(spark: SparkSession) -> None:
+    """Give checkpoints a folder where the session does not name one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
+
+
 def moment(as_of: str | datetime | Column) -> Column:
     """An as-of time as a zone-free timestamp column."""
     if isinstance(as_of, Column):

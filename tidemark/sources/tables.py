@@ -39,6 +39,36 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where nothing has been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _replace_dates(spark: SparkSession, path: str, staging: str) -> None:
+    """Put the staged dates in place of the stored ones."""
+    staged = _stored(spark, f"{staging}/merged")
+    if staged is not None:
+        writer = _by_date(staged).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.parquet(path)
+    _mark(spark, staging, False)
+
+
+def _mark(spark: SparkSession, staging: str, pending: bool) -> None:
+    row = spark.range(1).select(F.lit(pending).alias("pending"))
+    row.coalesce(1).write.mode("overwrite").parquet(f"{staging}/state")
+
+
+def _pending(spark: SparkSession, staging: str) -> bool:
+    state = _stored(spark, f"{staging}/state")
+    row = state.first() if state is not None else None
+    return bool(row and row["pending"])
+
+
 def merge_into(
     new: DataFrame,
     path: str,
@@ -52,28 +82,29 @@ def merge_into(
 
     ``keys`` contains ``time``, so a key never changes date and only the dates
     present in ``new`` are read and rewritten. The merged dates are written to
-    ``staging`` first and replace the stored ones from there; after a failure
-    the same call can be repeated.
+    ``staging`` first and marked pending while they replace the stored ones. A
+    call that finds a pending merge finishes it first, so that the same call can
+    be repeated after a failure at any point.
     """
     if time not in keys:
         raise ValueError("the time column is part of the key")
     spark = new.sparkSession
+    if _pending(spark, staging):
+        _replace_dates(spark, path, staging)
     new = new.withColumn("date", F.to_date(time))
-    try:
-        table = spark.read.parquet(path)
-    except AnalysisException:
-        _by_date(new).mode("overwrite").parquet(path)
-        return
-    touched = table.join(new.select("date").distinct(), "date", "left_semi")
-    touched = touched.select(*new.columns)
-    if insert_only:
-        merged = insert_new(touched, new, keys)
+    table = _stored(spark, path)
+    if table is None:
+        merged = new
     else:
-        merged = upsert(touched, new, keys, update_cols)
-    _by_date(merged).mode("overwrite").parquet(staging)
-    merged = spark.read.schema(merged.schema).parquet(staging)
-    writer = _by_date(merged).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+        touched = table.join(new.select("date").distinct(), "date", "left_semi")
+        touched = touched.select(*new.columns)
+        if insert_only:
+            merged = insert_new(touched, new, keys)
+        else:
+            merged = upsert(touched, new, keys, update_cols)
+    _by_date(merged).mode("overwrite").parquet(f"{staging}/merged")
+    _mark(spark, staging, True)
+    _replace_dates(spark, path, staging)
 
 
 def write_report(report: DataFrame, path: str) -> None:
