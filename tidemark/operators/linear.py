@@ -152,13 +152,14 @@ def fit_logistic(
     c: float = 1.0,
     key: str = "symbol",
     max_iter: int = 50,
-    tolerance: float = 1e-9,
+    tolerance: float = 1e-6,
 ) -> DataFrame:
     """L2-regularised logistic regression of every key by Newton steps.
 
     Minimises ``|w|^2 / 2 + c * log loss`` with a free intercept. A step that
-    raises a key's objective is halved for that key. The coefficients are the
-    only state between passes and are checkpointed after each.
+    raises a key's objective is halved for that key. Steps shrink quadratically,
+    so after one below ``tolerance`` the rest is below double precision. The
+    coefficients are the only state between passes and are checkpointed.
     """
     allow_checkpoints(train.sparkSession)
     k = len(cols) + 1
