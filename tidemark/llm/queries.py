@@ -6,9 +6,11 @@ returns its operator's full result.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, urls
+from tidemark.llm import bpe, mixing, tokens, urls
+from tidemark.llm.stage import store
 from tidemark.session import configure
 
 RULES = (
@@ -17,7 +19,7 @@ RULES = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
-SPAM_LABELS = ("spam-farm", "cheap-pills", "ads-track")
+SPAM_LABELS = ("spam-farm", "cheap-pills", "ads-track", "casino-win", "free-bets", "adult-x")
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -73,6 +75,20 @@ FROM ranked JOIN slots ON ranked.place = slots.place AND slots.k = (block - 1) %
 """
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of every whole document and the text they decode to, as digests."""
+    docs = _table(spark, sf, "documents")
+    return bpe.digest_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files without an index."""
+    docs = _table(spark, sf, "documents")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    stream = store(tokens.token_stream(docs, vocabulary), "tokens")
+    return tokens.count_documents(stream, bpe.encoder(vocabulary).vocab.special["<|endoftext|>"])
+
+
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Verdict on every page URL by rules, else by the list of spam pages.
 
@@ -91,7 +107,8 @@ WITH split AS (
   FROM pages
 ), keyed AS (
   SELECT *, CASE WHEN host <> '' THEN host || rtrim(path, '/') END AS canonical_url,
-    list_has_any(string_split(host, '.'), ['spam-farm', 'cheap-pills', 'ads-track']) AS marked
+    list_has_any(string_split(host, '.'), ['spam-farm', 'cheap-pills', 'ads-track',
+      'casino-win', 'free-bets', 'adult-x']) AS marked
   FROM split
 ), listed AS (
   SELECT DISTINCT canonical_url FROM keyed WHERE marked AND canonical_url IS NOT NULL
@@ -110,5 +127,5 @@ SELECT page_id, host, path, rule,
 FROM fitted WHERE rn = 1
 """
 
-QUERIES = [op1_mix_sources, op10_url_filter]
+QUERIES = [op1_mix_sources, op4_bpe_round_trip, op7_token_counts, op10_url_filter]
 SQL = {"op1_mix_sources": OP1_SQL, "op10_url_filter": OP10_SQL}
