@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, tokens, urls
+from tidemark.llm import bpe, mixing, quality, syncmers, tokens, urls
 from tidemark.llm.stage import store
 from tidemark.session import configure
 
@@ -81,6 +81,15 @@ def op4_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digest_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_quality_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Score of every whole document by a network that saw no held-out label."""
+    docs = _table(spark, sf, "documents")
+    net = quality.train(docs, _table(spark, sf, "labels"))
+    return quality.classify(docs.select("doc_id", "text"), net).select(
+        "doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted"
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document, counted in flat token files without an index."""
     docs = _table(spark, sf, "documents")
@@ -89,6 +98,11 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.count_documents(stream, bpe.encoder(vocabulary).vocab.special["<|endoftext|>"])
 
 
+def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Anchors of every document, of its edited text, and how alike they are."""
+    return syncmers.compare_edited(_table(spark, sf, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Verdict on every page URL by rules, else by the list of spam pages.
 
@@ -127,5 +141,12 @@ SELECT page_id, host, path, rule,
 FROM fitted WHERE rn = 1
 """
 
-QUERIES = [op1_mix_sources, op4_bpe_round_trip, op7_token_counts, op10_url_filter]
+QUERIES = [
+    op1_mix_sources,
+    op4_bpe_round_trip,
+    op5_quality_scores,
+    op7_token_counts,
+    op8_fingerprints,
+    op10_url_filter,
+]
 SQL = {"op1_mix_sources": OP1_SQL, "op10_url_filter": OP10_SQL}
