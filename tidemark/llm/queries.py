@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, quality, syncmers, tokens, urls
+from tidemark.llm import bpe, mixing, pivots, quality, syncmers, tokens, urls
 from tidemark.llm.stage import store
 from tidemark.session import configure
 
@@ -75,6 +75,11 @@ FROM ranked JOIN slots ON ranked.place = slots.place AND slots.k = (block - 1) %
 """
 
 
+def op3_embedding_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and components of all vectors, within labels, at cosine 0.98."""
+    return pivots.near_duplicates(_table(spark, sf, "embeddings"))
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of every whole document and the text they decode to, as digests."""
     docs = _table(spark, sf, "documents")
@@ -143,6 +148,7 @@ FROM fitted WHERE rn = 1
 
 QUERIES = [
     op1_mix_sources,
+    op3_embedding_duplicates,
     op4_bpe_round_trip,
     op5_quality_scores,
     op7_token_counts,
