@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, mixing, pivots, quality, syncmers, tokens, urls
+from tidemark.llm import bpe, forest, mixing, pivots, quality, syncmers, tokens, urls
 from tidemark.llm.stage import store
 from tidemark.session import configure
 
@@ -75,6 +75,11 @@ FROM ranked JOIN slots ON ranked.place = slots.place AND slots.k = (block - 1) %
 """
 
 
+def op2_near_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of near-equal documents, by five-word shingles at 0.75."""
+    return forest.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op3_embedding_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """Links and components of all vectors, within labels, at cosine 0.98."""
     return pivots.near_duplicates(_table(spark, sf, "embeddings"))
@@ -148,6 +153,7 @@ FROM fitted WHERE rn = 1
 
 QUERIES = [
     op1_mix_sources,
+    op2_near_documents,
     op3_embedding_duplicates,
     op4_bpe_round_trip,
     op5_quality_scores,
