@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 REMEMBERED = 150_000  # words a task keeps, each with its ids
 BATCH_CHARS = 4_000_000
@@ -284,31 +285,51 @@ def slices(column: pa.Array) -> Iterator[list[str]]:
         yield run
 
 
-def digest_documents(
-    docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
+ADDED = ("n_tokens", "ids_sha256", "decoded_sha256", "ids")
+
+
+def encode_documents(
+    docs: DataFrame, path: str, text: str = "text", with_ids: bool = True
 ) -> DataFrame:
-    """Number of ids and digests of ids and decoded text, for each document."""
-    kind = docs.schema[doc_id].dataType.simpleString()
+    """``docs`` with number of ids, digests of ids and decoded text, and the ids.
+
+    Columns named like the added ones are replaced.
+    """
+    names = [c for c in docs.columns if c not in ADDED]
+    inner = {c: f"own{i}" for i, c in enumerate(names)}
+    plain = docs.select(*[F.col(f"`{c}`").alias(v) for c, v in inner.items()])
+    at = names.index(text)
+    added = ADDED if with_ids else ADDED[:3]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            counts, id_digests, text_digests = [], [], []
-            for texts in slices(batch.column(1)):
+            counts, id_digests, text_digests, flat = [], [], [], [np.empty(0, np.int32)]
+            for texts in slices(batch.column(at)):
                 for ids, decoded in enc.coded(texts):
                     counts.append(ids.count(" "))
                     id_digests.append(hashlib.sha256(ids[:-1].encode()).hexdigest())
                     text_digests.append(hashlib.sha256(decoded[:-1].encode()).hexdigest())
+                    if with_ids:
+                        flat.append(np.fromstring(ids, np.int32, sep=" "))
+            new = [
+                pa.array(counts, pa.int64()),
+                pa.array(id_digests, pa.string()),
+                pa.array(text_digests, pa.string()),
+            ]
+            if with_ids:
+                stops = np.cumsum([0, *counts]).astype(np.int32)
+                new.append(pa.ListArray.from_arrays(pa.array(stops), pa.array(np.concatenate(flat))))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(counts, pa.int64()),
-                    pa.array(id_digests, pa.string()),
-                    pa.array(text_digests, pa.string()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                [*batch.columns, *new], [*batch.schema.names, *added]
             )
 
-    return docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema)
+    kinds = ["n_tokens bigint", "ids_sha256 string", "decoded_sha256 string", "ids array<int>"]
+    coded = plain.mapInArrow(run, f"{schema}, {', '.join(kinds[: len(added)])}")
+    return coded.select(*[F.col(v).alias(c) for c, v in inner.items()], *added)
+
+
+def digest_documents(docs: DataFrame, path: str) -> DataFrame:
+    """Number of ids and digests of ids and decoded text, for each document."""
+    return encode_documents(docs.select("doc_id", "text"), path, with_ids=False).drop("text")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, forest, mixing, pivots, quality, syncmers, tokens, urls
+from tidemark.llm import bpe, forest, lines, mixing, pivots, quality, syncmers, tokens, urls
 from tidemark.llm.stage import store
 from tidemark.session import configure
 
@@ -113,6 +113,11 @@ def op8_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return syncmers.compare_edited(_table(spark, sf, "documents"))
 
 
+def op9_line_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Which lines of each document match an earlier line of any document."""
+    return lines.line_report(_table(spark, sf, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     """Verdict on every page URL by rules, else by the list of spam pages.
 
@@ -159,6 +164,7 @@ QUERIES = [
     op5_quality_scores,
     op7_token_counts,
     op8_fingerprints,
+    op9_line_repeats,
     op10_url_filter,
 ]
 SQL = {"op1_mix_sources": OP1_SQL, "op10_url_filter": OP10_SQL}
