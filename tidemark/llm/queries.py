@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, forest, lines, mixing, pivots, quality, syncmers, tokens, urls
+from tidemark.llm import bpe, forest, lines, mixing, pitman_yor, pivots, quality, syncmers, tokens, urls
 from tidemark.llm.stage import store
 from tidemark.session import configure
 
@@ -100,6 +100,11 @@ def op5_quality_scores(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Score of every document by a model that saw no held-out document."""
+    return pitman_yor.score_documents(_table(spark, sf, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Tokens of every document, counted in flat token files without an index."""
     docs = _table(spark, sf, "documents")
@@ -162,6 +167,7 @@ QUERIES = [
     op3_embedding_duplicates,
     op4_bpe_round_trip,
     op5_quality_scores,
+    op6_language_model,
     op7_token_counts,
     op8_fingerprints,
     op9_line_repeats,
