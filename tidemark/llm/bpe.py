@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -26,11 +27,29 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 REMEMBERED = 150_000  # words a task keeps, each with its ids
 BATCH_CHARS = 4_000_000
 NEVER = np.int64(2**62)
 
+
+def _unassigned() -> re.Pattern:
+    """Characters that this Python has no class for; the library may know them."""
+    ranges, start = [], None
+    for i in range(0x110001):
+        out = i < 0x110000 and unicodedata.category(chr(i)) == "Cn"
+        if out and start is None:
+            start = i
+        elif not out and start is not None:
+            ranges.append(f"\\U{start:08x}-\\U{i - 1:08x}")
+            start = None
+    return re.compile(f"[{''.join(ranges)}]")
+
+
+UNASSIGNED = _unassigned()
+_NORMAL = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+
 _byte_char = list(range(33, 127)) + list(range(161, 173)) + list(range(174, 256))
 
 
@@ -67,6 +86,7 @@ class Vocabulary:
             if x["type"] == "Split"
         ]
         self.words = regex.compile(patterns[0], regex.V0)
+        self.newer = pre_tokenizers.Split(Regex(patterns[0]), "removed", invert=True)
         chars = _byte_chars()
         self.plain = np.array([self.ids[c] for c in chars], np.int64)
         self.last = np.array([self.ids[c + self.suffix] for c in chars], np.int64)
@@ -207,6 +227,8 @@ class Encoder:
     @staticmethod
     def _plain(text: str) -> list[str]:
         if not text.isascii():
+            if UNASSIGNED.search(text):
+                text = _NORMAL.normalize_str(text)
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower().replace("\n", " ").split(" ")
 
@@ -216,6 +238,11 @@ class Encoder:
             "".join([self.piece_texts[i] for i in ids]),
         )
 
+    def _words(self, part: str) -> list[str]:
+        if not part.isascii() and UNASSIGNED.search(part):
+            return [w for w, _ in self.vocab.newer.pre_tokenize_str(part)]
+        return self.vocab.words.findall(part)
+
     def learn(self, asked: set[str]) -> None:
         """Make sure that all parts ``asked`` for are known."""
         known = self.known
@@ -230,7 +257,7 @@ class Encoder:
             if part[:1] == " ":
                 known[part] = self._texts([self.vocab.special[part[1:]]])
             elif part not in words:
-                cut[part] = self.vocab.words.findall(part)
+                cut[part] = self._words(part)
         extra = {w for ws in cut.values() for w in ws} - words
         listed = [*words, *(w for w in extra if w not in known)]
         found = dict(zip(listed, map(self._texts, merge_words(self.vocab, listed)), strict=True))
