@@ -760,7 +760,7 @@ def ab_panel(spark, sf):
 
 
 def _judged(spark, sf):
-    return asof.nearest_outcome(t.predictions(spark, sf), t.candles(spark, sf), base="feature")
+    return retrain.judged_predictions(t.predictions(spark, sf), t.candles(spark, sf), AS_OF)
 
 
 def _accuracy(spark, sf):

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import spread_join
+from tidemark.session import moment
+from tidemark.sources.scans import since
 
 HOUR = 3600
 
@@ -23,6 +24,7 @@ def nearest_outcome(
     base: str = "recorded",
     time: str = "prediction_timestamp",
     recorded: str = "current_price",
+    start=None,
 ) -> DataFrame:
     """Predictions that have an outcome, with what happened.
 
@@ -34,11 +36,15 @@ def nearest_outcome(
     Adds ``base_price``, ``actual_price``, ``actual_direction``,
     ``actual_return`` and ``correct``.
 
+    With ``start`` only predictions from then on count, and no older price is
+    read; both bounds reach the scans and prune tables stored by date.
+
     Time is cut into slots as wide as the interval. A price row goes to the two
     or three prediction slots it can serve, where rows are gathered into one
     array per symbol and slot: prices are unique per symbol and time, so an
     array is bounded by the slot, not by the data. Each prediction then meets
-    one row instead of all prices of its symbol.
+    one row instead of all prices of its symbol. Symbol and slot together are
+    fine-grained, so both sides are shuffled by them as they are.
     """
     if base not in ("recorded", "feature"):
         raise ValueError("base is 'recorded' or 'feature'")
@@ -48,6 +54,9 @@ def nearest_outcome(
     def slot(micros: Column) -> Column:
         return F.floor(micros / F.lit(width)).cast("long")
 
+    if start is not None:
+        predictions = since(predictions, moment(start), time=time)
+        prices = since(prices, moment(start))
     at = F.col("_at")
     priced = prices.select("symbol", _micros(F.col("timestamp")).alias("_at"), "close")
     serves = F.transform(
@@ -69,7 +78,7 @@ def nearest_outcome(
 
     asked = predictions.withColumn("_asked", _micros(F.col(time)))
     asked = asked.withColumn("_slot", slot(F.col("_asked")))
-    met = spread_join(asked, slots, ["symbol", "_slot"])
+    met = asked.join(slots, ["symbol", "_slot"])
 
     gap = "(r.at - _asked)"
     inside = f"{gap} BETWEEN {low * second} AND {high * second}"

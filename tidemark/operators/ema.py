@@ -47,29 +47,29 @@ def _response(
     return f"({a * q / (q - r)!r}D * ({power(span, n)} - {power(signal, n)}))"
 
 
-def _reach(spans: Iterable[int], rows: int) -> int:
-    """Chunks after which every carry's weight is zero in double precision.
-
-    Doubled, so that the bound also holds where half of the values are missing.
-    """
+def _reach(spans: Iterable[int]) -> int:
+    """Known values after which every carry's weight is zero in double precision."""
     slowest = _weights(max(spans))[1]
-    return 2 * math.ceil(745.0 / (-math.log(slowest) * rows)) + 2
+    return math.ceil(745.0 / -math.log(slowest)) + 1
 
 
 def _carries(
-    ends: DataFrame, ended: Mapping[int, str], reach: int, w: str, out: Mapping[int, str]
+    ends: DataFrame, ended: Mapping[int, str], reach: int, key: str, out: Mapping[int, str]
 ) -> DataFrame:
     """What the chunks before each chunk hand on to it, per span.
 
-    ``ended`` names the column with the part each chunk adds by itself.
+    ``ended`` names the column with the part each chunk adds by itself. Chunks
+    are reached by the number of known values since, however thin these are;
+    ``reach`` also allows for the longest chunk.
     """
     fields = ", ".join(f"{col} AS v{span}" for span, col in ended.items())
     earlier = (
-        f"collect_list(struct(_seen AS n, {fields})) "
-        f"OVER ({w} ROWS BETWEEN {reach} PRECEDING AND 1 PRECEDING)"
+        f"collect_list(struct(_chunk_seen AS n, {fields})) "
+        f"OVER (PARTITION BY `{key}` ORDER BY _chunk_seen "
+        f"RANGE BETWEEN {reach} PRECEDING AND CURRENT ROW)"
     )
     totals = {
-        out[span]: "aggregate(_earlier, 0D, (acc, e) -> "
+        out[span]: "aggregate(filter(_earlier, e -> e.n <= _prior), 0D, (acc, e) -> "
         f"acc + e.v{span} * {_power(span, '_prior - e.n')})"
         for span in ended
     }
@@ -99,8 +99,9 @@ class Averages:
         every = self.wanted + ([macd[2]] if macd else [])
         if min(every) < 2:
             raise ValueError("spans start at 2")
-        # beyond this many rows the weights inside one chunk leave the double range
-        self.limit = int(700 / -math.log(_weights(min(every))[1]))
+        # up to this many rows the weights inside one chunk stay below e^350, so that
+        # values up to 1e150 may be multiplied by them
+        self.limit = int(350 / -math.log(_weights(min(every))[1]))
         self.powers = sorted(set(every))
         self.parts = [f"_local_{s}" for s in self.wanted] + (["_local_signal"] if macd else [])
 
@@ -149,15 +150,15 @@ class Averages:
         ends = add(
             ends,
             {
-                "_seen": f"sum(_n) OVER ({wk} {SO_FAR})",
+                "_chunk_seen": f"sum(_n) OVER ({wk} {SO_FAR})",
                 "_seed": f"first(_first, true) OVER ({wk} ROWS BETWEEN UNBOUNDED PRECEDING "
                 "AND UNBOUNDED FOLLOWING)",
             },
         )
-        ends = add(ends, {"_prior": "_seen - _n"})
+        ends = add(ends, {"_prior": "_chunk_seen - _n"})
         own = {s: f"_end_local_{s}" for s in wanted}
         handed = {s: f"_from_{s}" for s in wanted}
-        ends = _carries(ends, own, _reach(wanted, self.rows), wk, handed)
+        ends = _carries(ends, own, _reach(wanted) + self.limit, key, handed)
         seeded = {f"_in_{s}": f"_from_{s} + _seed * {_power(s, '_prior')}" for s in wanted}
         ends = add(ends, seeded)
         if self.macd:
@@ -167,8 +168,8 @@ class Averages:
                 f"- _in_{slow} * {_response(slow, signal, '_n')}"
             )
             ends = add(ends, {"_driven": driven})
-            reach = _reach([signal], self.rows)
-            ends = _carries(ends, {signal: "_driven"}, reach, wk, {signal: "_in_signal"})
+            reach = _reach([signal]) + self.limit
+            ends = _carries(ends, {signal: "_driven"}, reach, key, {signal: "_in_signal"})
         return ends.select(key, "_chunk", "_prior", *self._carried())
 
     def _carried(self) -> list[str]:

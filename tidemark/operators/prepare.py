@@ -83,11 +83,17 @@ def impute_median(
     cols: Sequence[str] = MODEL_INPUTS,
     key: str = "symbol",
     fit_on: DataFrame | None = None,
+    all_missing: float | None = None,
 ) -> DataFrame:
-    """Fill missing values with the key's median over ``fit_on`` or all rows."""
+    """Fill missing values with the key's median over ``fit_on`` or all rows.
+
+    An input without any value for a key becomes ``all_missing``; a number there is
+    the same for all its rows, so that it is 0 after scaling and tells a model nothing.
+    """
     medians = group_medians(df if fit_on is None else fit_on, cols, key)
     medians = medians.select(key, *[F.col(c).alias(f"_median_{c}") for c in cols])
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}")) for c in cols}
+    last = F.lit(all_missing).cast("double")
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}"), last) for c in cols}
     joined = spread_join(df, medians, [key], "left")
     return joined.withColumns(filled).drop(*[f"_median_{c}" for c in cols])
 

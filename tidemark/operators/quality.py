@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.indicators import lagged
 from tidemark.operators.series import over_series
 from tidemark.session import before, moment, seconds_between
+from tidemark.sources.scans import since
 
 
-def _newer(as_of, window: str, time: str, closed: bool = False) -> Column:
-    start = before(as_of, window)
-    return F.col(time) >= start if closed else F.col(time) > start
+def _recent(df: DataFrame, as_of, window: str, time: str, closed: bool = False) -> DataFrame:
+    """Rows of the trailing window; tables stored by date are pruned."""
+    return since(df, before(as_of, window), strict=not closed, time=time)
 
 
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
@@ -38,7 +39,7 @@ def null_count(
     df: DataFrame, col: str, as_of, window: str = "1 hour", time: str = "timestamp"
 ) -> DataFrame:
     """One row: missing values of ``col`` in the trailing window."""
-    recent = df.where(_newer(as_of, window, time))
+    recent = _recent(df, as_of, window, time)
     return recent.agg(F.count_if(F.col(col).isNull()).alias("null_count"))
 
 
@@ -56,7 +57,7 @@ def jumps(
 
     The window is applied first, so its first row has no row before.
     """
-    recent = df.where(_newer(as_of, window, time, closed)).select(key, time, col)
+    recent = _recent(df, as_of, window, time, closed).select(key, time, col)
     moved = over_series(
         recent,
         lambda w: {f"prev_{col}": lagged(col, 1, w)},
@@ -148,7 +149,7 @@ def completeness(
         return gone | F.isnan(c) if kind in ("double", "float") else gone
 
     counted = (
-        features.where(_newer(as_of, window, time, closed=True))
+        _recent(features, as_of, window, time, closed=True)
         .groupBy(key)
         .agg(
             F.count(F.lit(1)).alias("total_records"),
@@ -165,7 +166,7 @@ def record_counts(
 ) -> DataFrame:
     """One row with the recent row count of every (table, time column)."""
     parts = [
-        df.where(_newer(as_of, window, time, closed=True))
+        _recent(df, as_of, window, time, closed=True)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.lit(name).alias("name"), "n")
         for name, (df, time) in tables.items()

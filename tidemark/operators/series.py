@@ -180,12 +180,12 @@ def over_series(
 
     Each stage maps the window clause to named SQL expressions and may use the
     columns of the stages before it. ``back`` and ``ahead`` are the rows that all stages
-    together reach back and ahead. Columns whose name starts with an underscore
-    are dropped at the end.
+    together reach back and ahead. What was added under a name that starts with
+    an underscore is dropped at the end; such columns of ``df`` stay.
     """
     w = chunk_window(key, time)
     out = chunk_series(df, back, ahead, key, time, rows, bucket, carry)
     for stage in stages:
         out = add(out, stage(w))
     out = out.where("_core")
-    return out.drop(*[c for c in out.columns if c.startswith("_")])
+    return out.drop(*[c for c in out.columns if c.startswith("_") and c not in df.columns])

@@ -19,11 +19,14 @@ def spread_join(
 ) -> DataFrame:
     """Join ``small``, unique by ``keys``, to ``large`` without a hot partition.
 
-    Rows of one key in ``large`` go to ``salts`` partitions by the task that
-    read them, which also splits exact copies; each row of ``small`` is sent to
-    all of them. Where ``small`` is below the broadcast threshold Spark
+    Rows of one key in ``large`` go to ``salts`` partitions by a hash of their
+    values, so that filters above the join still reach the scan; each row of
+    ``small``, of which a key has one, is sent to all of them. Where ``small`` is below the broadcast threshold Spark
     broadcasts it instead and nothing of ``large`` moves.
     """
-    salted = large.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    # maps have no hash
+    plain = [f.name for f in large.schema if "map<" not in f.dataType.simpleString()]
+    value = F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+    salted = large.withColumn("_salt", F.pmod(value, F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

@@ -71,11 +71,8 @@ def ab_score(
 
 def ab_outcomes(results: DataFrame, prices: DataFrame, test_name, as_of) -> DataFrame:
     """A test's recent predictions with what happened an hour later."""
-    recent = results.where(
-        (F.col("test_name") == test_name)
-        & (F.col("prediction_timestamp") >= before(as_of, "7 days"))
-    )
-    return nearest_outcome(recent, prices, base="feature")
+    own = results.where(F.col("test_name") == test_name)
+    return nearest_outcome(own, prices, base="feature", start=before(as_of, "7 days"))
 
 
 def ab_metrics(outcomes: DataFrame) -> DataFrame:

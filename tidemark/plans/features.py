@@ -17,7 +17,7 @@ from tidemark.operators.series import (
     place_in_series,
 )
 from tidemark.session import before
-from tidemark.sources.scans import scan_candles, scan_sentiment
+from tidemark.sources.scans import scan_candles, scan_sentiment, since
 
 WINDOWS = (7, 14, 30)
 HORIZONS = (1, 3, 7)
@@ -328,7 +328,7 @@ def feature_columns() -> list[str]:
 def feature_summary(features: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Row count, time span and mean levels per symbol over the trailing days."""
     return (
-        features.where(F.col("timestamp") > before(as_of, f"{days} days"))
+        since(features, before(as_of, f"{days} days"), strict=True)
         .groupBy("symbol")
         .agg(
             F.count(F.lit(1)).alias("record_count"),

@@ -14,7 +14,8 @@ from tidemark.operators.linear import predict_linear
 from tidemark.operators.prepare import assemble
 from tidemark.operators.skew import spread_join
 from tidemark.schema import MODEL_INPUTS
-from tidemark.session import before
+from tidemark.session import before, moment
+from tidemark.sources.scans import since
 
 REQUIRED_ARTIFACTS = ("random_forest", "scaling_params")
 SIGNAL_THRESHOLD = 0.6
@@ -31,12 +32,17 @@ def missing_models(
 
 
 def latest_features(
-    features: DataFrame, cols: Sequence[str] = MODEL_INPUTS, min_rows: int = 10
+    features: DataFrame,
+    cols: Sequence[str] = MODEL_INPUTS,
+    min_rows: int = 10,
+    start=None,
 ) -> DataFrame:
     """Newest row of every symbol that has at least ``min_rows`` rows.
 
-    Only one row per symbol and task is shuffled.
+    With ``start`` only rows from then on are read and counted. Only one row per symbol and task is shuffled.
     """
+    if start is not None:
+        features = since(features, moment(start))
     newest = [F.max_by(c, "timestamp").alias(c) for c in ("close", *cols)]
     return (
         features.groupBy("symbol")
@@ -77,11 +83,12 @@ def score_clf(
             else:
                 chosen = "CAST(NULL AS INT)"
                 part = part.withColumn("_p", F.lit(None).cast("array<double>"))
+            # a model that has seen one class only has no chance for the other
             found = {
                 "prediction": chosen,
-                "confidence": f"_p[{chosen}]",
-                "prob_up": "_p[1]",
-                "prob_down": "_p[0]",
+                "confidence": f"get(_p, {chosen})",
+                "prob_up": "CASE WHEN _p IS NOT NULL THEN coalesce(get(_p, 1), 0D) END",
+                "prob_down": "get(_p, 0)",
             }
             part = part.selectExpr(
                 "*", *[f"{sql} AS {prefix}_{name}" for name, sql in found.items()]
@@ -145,9 +152,10 @@ def recent_accuracy(
 ) -> DataFrame:
     """Predictions of about an hour ago against each symbol's latest price since."""
     at = F.col("prediction_timestamp")
-    asked = predictions.where((at >= before(as_of, oldest)) & (at <= before(as_of, newest)))
+    asked = since(predictions, before(as_of, oldest), time="prediction_timestamp")
+    asked = asked.where(at <= before(as_of, newest))
     latest = (
-        features.where(F.col("timestamp") >= before(as_of, newest))
+        since(features, before(as_of, newest))
         .groupBy("symbol")
         .agg(F.max_by("close", "timestamp").alias("actual_price"))
     )
@@ -165,14 +173,14 @@ def accuracy_by(outcomes: DataFrame, *cols: str) -> DataFrame:
 
 
 def prediction_report(predictions: DataFrame) -> DataFrame:
-    """Predicted change in price and percent, by symbol."""
+    """Predicted change in price and percent, for each prediction."""
     change = F.col("predicted_price") - F.col("current_price")
     return predictions.withColumns(
         {
             "change": change,
             "change_pct": F.try_divide(change, F.col("current_price")) * 100.0,
         }
-    ).orderBy("symbol")
+    )
 
 
 def signal_counts(predictions: DataFrame) -> DataFrame:

@@ -15,8 +15,8 @@ CONFIDENCE_BUCKETS = ((0.55, "50-55%"), (0.6, "55-60%"), (0.65, "60-65%"), (1.0,
 
 def outcomes(predictions: DataFrame, prices: DataFrame, as_of, days: int = 7) -> DataFrame:
     """Recent predictions against the recorded price, an hour later."""
-    recent = predictions.where(F.col("prediction_timestamp") >= before(as_of, f"{days} days"))
-    return nearest_outcome(recent, prices, base="recorded")
+    start = before(as_of, f"{days} days")
+    return nearest_outcome(predictions, prices, base="recorded", start=start)
 
 
 def accuracy_rollup(found: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.asof import nearest_outcome
 from tidemark.session import before, moment, seconds_between
+from tidemark.sources.scans import since
 
 # Thresholds of the checks.
 ACCURACY_FLOOR = 0.48
@@ -22,6 +24,13 @@ DRIFT_FEATURES = {
 }
 
 
+def judged_predictions(
+    predictions: DataFrame, prices: DataFrame, as_of, oldest: str = "10 days"
+) -> DataFrame:
+    """Predictions of the trailing days with their outcomes; no older row is read."""
+    return nearest_outcome(predictions, prices, base="feature", start=before(as_of, oldest))
+
+
 def accuracy_vs_baseline(
     outcomes: DataFrame,
     as_of,
@@ -85,7 +94,7 @@ def drift(
         stats.append(F.avg(F.when(~new, F.col(c))).alias(f"_past_{out}"))
         stats.append(F.stddev_samp(F.when(~new, F.col(c))).alias(f"_spread_{out}"))
     both = (
-        features.where(at >= before(as_of, history))
+        since(features, before(as_of, history))
         .groupBy("symbol")
         .agg(F.count_if(new).alias("_recent"), F.count_if(~new).alias("_history"), *stats)
         .where((F.col("_recent") > 0) & (F.col("_history") > 0))

@@ -71,7 +71,7 @@ def prepare_training(
 
     parts = stored("split", time_split(scan_training(features, as_of), min_rows=min_rows))
     fit_on = parts.where(F.col("split") == "train") if impute_scope == "train" else None
-    filled = stored("filled", impute_median(parts, MODEL_INPUTS, fit_on=fit_on))
+    filled = stored("filled", impute_median(parts, MODEL_INPUTS, fit_on=fit_on, all_missing=0.0))
     scaler = stored("scaler", fit_scaler(filled.where(F.col("split") == "train")))
     return apply_scaler(filled, scaler), scaler
 
@@ -91,6 +91,15 @@ def boosting(
     )
 
 
+def fit_symbols(train: DataFrame, symbols: Sequence[str]) -> list[str]:
+    """Those of ``symbols`` that the prepared rows hold, in the given order.
+
+    Preparation leaves out symbols with too few rows.
+    """
+    present = {row["symbol"] for row in train.select("symbol").distinct().collect()}
+    return [s for s in symbols if s in present]
+
+
 def fit_per_symbol(
     estimator,
     train: DataFrame,
@@ -100,7 +109,8 @@ def fit_per_symbol(
 ) -> dict[str, object]:
     """One tree model per symbol; every fit is a distributed job of its own.
 
-    A few fits run side by side. ``train`` is best a stored table partitioned by
+    A few fits run side by side; symbols without prepared rows are skipped.
+    ``train`` is best a stored table partitioned by
     symbol, so that each fit reads its own files.
     """
     rows = assemble(train, cols)
@@ -110,7 +120,7 @@ def fit_per_symbol(
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         run = inheritable_thread_target(train.sparkSession)
-        return dict(pool.map(run(fit), symbols))
+        return dict(pool.map(run(fit), fit_symbols(train, symbols)))
 
 
 def fit_forest(train: DataFrame, symbols: Sequence[str], **settings) -> dict[str, object]:

@@ -91,13 +91,17 @@ def merge_into(
     spark = new.sparkSession
     if _pending(spark, staging):
         _replace_dates(spark, path, staging)
-    new = new.withColumn("date", F.to_date(time))
+    # written once: a stream's batch would run again for each use
+    dated = new.withColumn("date", F.to_date(time))
+    dated.write.mode("overwrite").parquet(f"{staging}/batch")
+    new = spark.read.schema(dated.schema).parquet(f"{staging}/batch")
     table = _stored(spark, path)
     if table is None:
         merged = new
     else:
-        touched = table.join(new.select("date").distinct(), "date", "left_semi")
-        touched = touched.select(*new.columns)
+        # at most as many as the batch has days; as literals they prune the table
+        dates = [row["date"] for row in new.select("date").distinct().collect()]
+        touched = table.where(F.col("date").isin(dates)).select(*new.columns)
         if insert_only:
             merged = insert_new(touched, new, keys)
         else:
