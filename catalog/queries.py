@@ -453,12 +453,16 @@ def _prepared(spark, sf):
     return t.settle(spark, sf, "prepared", lambda: _preparation(spark, sf)[0])
 
 
+def _scaler(spark, sf):
+    return t.settle(spark, sf, "scaler", lambda: _preparation(spark, sf)[1])
+
+
 def scaler_params(spark, sf):
-    return tidy(_preparation(spark, sf)[1])
+    return tidy(_scaler(spark, sf))
 
 
 def scaled_rows(spark, sf):
-    rows, _ = _preparation(spark, sf)
+    rows = _prepared(spark, sf)
     return tidy(rows.select(*KEY, "split", *schema.MODEL_INPUTS))
 
 
@@ -506,6 +510,39 @@ def logistic_model(spark, sf):
     return model.select("symbol", "intercept", F.size("coefficients").alias("inputs"))
 
 
+def _slopes(scored, model, error, places):
+    """Slope of a fitted objective, penalty included, per symbol and input."""
+    inputs = schema.MODEL_INPUTS
+    sums = scored.groupBy("symbol").agg(
+        F.sum(error).alias("intercept_slope"),
+        *[F.sum(F.col(c) * error).alias(c) for c in inputs],
+    )
+    joined = sums.join(model.select("symbol", "coefficients"), "symbol")
+    parts = [F.struct(F.lit("intercept").alias("input"), F.col("intercept_slope").alias("slope"))]
+    for i, c in enumerate(inputs):
+        slope = F.col(c) + F.col("coefficients")[i]
+        parts.append(F.struct(F.lit(c).alias("input"), slope.alias("slope")))
+    rows = joined.select("symbol", F.explode(F.array(*parts)).alias("p")).select("symbol", "p.*")
+    return rows.withColumn("slope", F.round("slope", places) + F.lit(0.0))
+
+
+def ridge_slopes(spark, sf):
+    """The normal equations of the full ridge model: all zero where it is optimal."""
+    rows = _prepared(spark, sf).where("split = 'train'").where(F.col(schema.RETURN_TARGET).isNotNull())
+    model = linear.fit_ridge(rows)
+    scored = linear.predict_linear(rows, model, out="_z")
+    return _slopes(scored, model, F.col("_z") - F.col(schema.RETURN_TARGET), 6)
+
+
+def logistic_slopes(spark, sf):
+    """The gradient of the logistic objective at the fitted coefficients."""
+    rows = _prepared(spark, sf).where("split = 'train'")
+    rows = rows.where(F.col(schema.DIRECTION_TARGET).isNotNull())
+    model = linear.fit_logistic(rows)
+    scored = linear.predict_logistic(rows, model)
+    return _slopes(scored, model, F.col("prob_up") - F.col(schema.DIRECTION_TARGET), 4)
+
+
 def classification_metrics(spark, sf):
     found = _judged(spark, sf)
     return tidy(
@@ -558,6 +595,13 @@ def trained_metrics(spark, sf):
     return _all_models(spark, sf)[1]
 
 
+def importance_sums(spark, sf):
+    """Inputs of each forest and the sum of their importance, which is one."""
+    found = forest_importance(spark, sf)
+    total = F.round(F.sum("importance"), 6)
+    return found.groupBy("symbol").agg(F.count("*").alias("inputs"), total.alias("total"))
+
+
 def forest_importance(spark, sf):
     models, _ = _all_models(spark, sf)
     return training.importance(models.random_forest, spark)
@@ -591,9 +635,8 @@ def filled_features(spark, sf):
 
 
 def latest_scaled(spark, sf):
-    _, params = _preparation(spark, sf)
     rows = inference.fill(inference.latest_features(t.features(spark, sf)))
-    return tidy(prepare.apply_scaler(rows, params))
+    return tidy(prepare.apply_scaler(rows, _scaler(spark, sf)))
 
 
 def predicted_prices(spark, sf):
@@ -917,9 +960,9 @@ QUERIES = [
     stale_series, missing_prices, price_jumps, jump_counts, validation_row, table_freshness,
     feature_completeness, record_counts, candle_coverage, volume_gate,
     medians, imputed, time_split, scaler_params, scaled_rows, input_vectors, cross_products,
-    ridge_two_inputs, ridge_model, logistic_model, classification_metrics, regression_metrics,
+    ridge_two_inputs, ridge_model, ridge_slopes, logistic_model, logistic_slopes, classification_metrics, regression_metrics,
     melted_metrics, latest_run, latest_run_strict, best_model, trained_metrics,
-    forest_importance, stored_models,
+    forest_importance, importance_sums, stored_models,
     missing_models, latest_features, filled_features, latest_scaled, predicted_prices,
     live_predictions, ensemble_signals, recent_accuracy, prediction_report, signal_counts,
     active_test, variants, ab_predictions, outcome_by_feature, outcome_among_many, ab_metrics,
