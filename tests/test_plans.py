@@ -3,11 +3,19 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import bench
 from catalog import queries
 from catalog import tables as t
+from tidemark.operators.quality import null_count
 from tidemark.operators.series import chunk_series
+from tidemark.operators.skew import spread_join
+from tidemark.plans import monitor
+from tidemark.plans.features import feature_summary
+from tidemark.plans.inference import latest_features
+from tidemark.plans.retrain import drift
+from tidemark.sources import tables
 from tidemark.sources.scans import scan_candles
 from tidemark.sources.tables import append
 
@@ -62,3 +70,44 @@ def test_no_window_spans_a_whole_symbol(spark):
     for clause in re.findall(r"windowspecdefinition\(([^)]*)", plan):
         # by chunk, or over the one-row-per-day and one-row-per-chunk tables
         assert "_chunk" in clause or "_bucket" in clause
+
+
+def test_outcomes_read_a_bounded_time(spark):
+    found = monitor.outcomes(t.predictions(spark, SF), t.features(spark, SF), "2024-01-31")
+    plan = plan_of(found)
+    assert "GreaterThanOrEqual(prediction_timestamp" in plan
+    assert "GreaterThanOrEqual(timestamp" in plan
+    assert "_salt" not in plan
+
+
+def test_filters_pass_below_a_spread_join(spark):
+    joined = spread_join(t.candles(spark, SF), spark.createDataFrame([("x",)], "symbol string"), ["symbol"])
+    assert "GreaterThan(close,10.0)" in plan_of(joined.where("close > 10"))
+
+
+def test_trailing_windows_prune_tables_by_date(spark, tmp_path):
+    path = str(tmp_path / "t")
+    append(t.features(spark, SF).drop("date"), path)
+    table = spark.read.parquet(path)
+    for df in (
+        drift(table, "2024-01-31"),
+        feature_summary(table, "2024-01-31"),
+        null_count(table, "close", "2024-01-31"),
+        latest_features(table, start="2024-01-29"),
+    ):
+        assert re.search(r"PartitionFilters: \[[^\]]*date", plan_of(df))
+
+
+def test_merge_reads_only_its_dates(spark, tmp_path, monkeypatch):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    candles = t.candles(spark, SF)
+    append(candles, path)
+    seen = []
+    real = tables.upsert
+    monkeypatch.setattr(tables, "upsert", lambda old, *a: seen.append(plan_of(old)) or real(old, *a))
+    new = candles.where("timestamp >= '2024-01-30'").withColumn("close", F.lit(1.0))
+    tables.merge_into(new, path, staging, ["symbol", "timestamp"])
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ (IN|=)", seen[0])
+    stored = spark.read.parquet(path)
+    assert stored.count() == candles.count()
+    assert stored.where("close = 1.0").count() == new.count()

@@ -234,3 +234,26 @@ def test_sentiment_before_first_reading_is_missing(spark):
     )
     got = feats.attach_sentiment(df, readings).orderBy("timestamp").collect()
     assert [r.fear_greed_value for r in got] == [None] * 24 + [7] * 36
+
+
+def test_average_over_mostly_missing_values(spark):
+    """Carries reach as far as known values go, however thin they are."""
+    n, step = 6000, 500
+    values = [float(50 + i % 700) if i % step == 0 else None for i in range(n)]
+    rows = [("a", START + timedelta(hours=i), v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp timestamp_ntz, close double")
+    got = ema(df, "close", {"e": 30}, rows=64).orderBy("timestamp").collect()
+    want = None
+    for row, value in zip(got, values, strict=True):
+        if value is not None:
+            want = value if want is None else want + 2 / 31 * (value - want)
+        assert row["e"] == pytest.approx(want, rel=1e-9)
+
+
+def test_own_underscored_columns_stay(spark, series):
+    df = spark.createDataFrame(
+        [("a", START + timedelta(hours=i), float(i), i) for i in range(5)],
+        "symbol string, timestamp timestamp_ntz, close double, _own int",
+    )
+    out = over_series(df, lambda w: {"n": f"count(close) OVER ({w})"}, back=0)
+    assert [r["_own"] for r in out.orderBy("timestamp").collect()] == list(range(5))
