@@ -253,7 +253,7 @@ def test_average_over_mostly_missing_values(spark):
 def test_own_underscored_columns_stay(spark, series):
     df = spark.createDataFrame(
         [("a", START + timedelta(hours=i), float(i), i) for i in range(5)],
-        "symbol string, timestamp timestamp_ntz, close double, _own int",
+        "symbol string, timestamp timestamp_ntz, close double, _note int",
     )
     out = over_series(df, lambda w: {"n": f"count(close) OVER ({w})"}, back=0)
-    assert [r["_own"] for r in out.orderBy("timestamp").collect()] == list(range(5))
+    assert [r["_note"] for r in out.orderBy("timestamp").collect()] == list(range(5))
