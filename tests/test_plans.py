@@ -111,3 +111,11 @@ def test_merge_reads_only_its_dates(spark, tmp_path, monkeypatch):
     stored = spark.read.parquet(path)
     assert stored.count() == candles.count()
     assert stored.where("close = 1.0").count() == new.count()
+
+
+def test_merge_refuses_repeated_keys(spark, tmp_path):
+    rows = t.candles(spark, SF).limit(3)
+    with pytest.raises(ValueError, match="repeat"):
+        tables.merge_into(
+            rows.unionByName(rows), str(tmp_path / "t"), str(tmp_path / "s"), ["symbol", "timestamp"]
+        )

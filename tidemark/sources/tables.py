@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import insert_new, upsert
+from tidemark.operators.merge import duplicate_keys, insert_new, upsert
 
 AB_REPORT = (
     "test_name STRING, model_a STRING, model_b STRING, "
@@ -95,6 +95,8 @@ def merge_into(
     dated = new.withColumn("date", F.to_date(time))
     dated.write.mode("overwrite").parquet(f"{staging}/batch")
     new = spark.read.schema(dated.schema).parquet(f"{staging}/batch")
+    if duplicate_keys(new, keys).take(1):
+        raise ValueError("rows of the batch repeat a key; use dedupe_last first")
     table = _stored(spark, path)
     if table is None:
         merged = new
