@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
@@ -39,6 +39,7 @@ LEAST_AGREEING = 74  # of 128; a pair at 0.75 falls below with a chance near 1e-
 REGION = 4096
 DEPTHS = (1, 4, DEPTH)  # prefixes that bound a region, as it grows
 WORDS, PERCENT = 5, 75
+SLOTS = 1 << 23
 
 _MULTIPLIERS = (
     np.random.default_rng(20).integers(0, 2**32, HASHES, np.uint64).astype(np.uint32) | np.uint32(1)
@@ -89,41 +90,49 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     )
 
 
+def _counted(rows: DataFrame, prefix: Column) -> DataFrame:
+    """``rows`` that share a prefix in their tree with others, with its size."""
+    counts = (
+        rows.groupBy(F.col("tree").alias("t"), prefix.alias("p"))
+        .agg(F.count("*").alias("size"), F.min("rep").alias("first"))
+        .where("size > 1")
+    )
+    held = rows.join(counts, (F.col("tree") == F.col("t")) & (prefix == F.col("p")))
+    return held.drop("t").withColumnRenamed("p", "region")
+
+
 def _regions(classes: DataFrame) -> DataFrame:
-    """A row for each document and tree in which it has company, with its region."""
-    size = 4 * DEPTH
-    label = F.expr(f"substring(sig, tree * {size} + 1, {size})")
-    trees = classes.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))))
-    open_rows = trees.select(
-        "tree", "rep", "sig", label.alias("label"), F.lit(None).cast("binary").alias("region")
+    """A row for each document and tree in which it has company, with its region.
+
+    Most documents are alone with even the first hash of a tree, so signatures are
+    fetched only for those that are not.
+    """
+    label = F.expr(f"substring(sig, tree * {4 * DEPTH} + 1, {4 * DEPTH})")
+    trees = classes.select(
+        "rep", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     )
-    done: list[DataFrame] = []
-    for depth in DEPTHS:
-        prefix = F.substring("label", 1, 4 * depth)
-        counts = (
-            open_rows.groupBy(F.col("tree").alias("t"), prefix.alias("p"))
-            .agg(F.count("*").alias("size"), F.min("rep").alias("first"))
-            .where("size > 1")
-        )
-        held = open_rows.join(counts, (F.col("tree") == F.col("t")) & (prefix == F.col("p")))
-        held = held.withColumn("region", F.col("p")).drop("t", "p")
-        if depth == DEPTH:
-            done.append(held)
-        else:
-            done.append(held.where(F.col("size") <= REGION))
-            open_rows = held.where(F.col("size") > REGION).drop("size", "first")
-    whole = done[0]
-    for part in done[1:]:
-        whole = whole.unionByName(part)
+    alone = trees.select("tree", "rep", F.substring(label, 1, 4 * DEPTHS[0]).alias("start"))
+    held = _counted(alone, F.col("start")).drop("start")
+    signatures = classes.select(F.col("rep").alias("own"), "sig")
+    held = held.join(signatures, F.col("rep") == F.col("own")).drop("own")
+    held = held.withColumn("label", label)
+    whole = held.where(F.col("size") <= REGION)
+    for depth in DEPTHS[1:]:
+        rest = held.where(F.col("size") > REGION).drop("size", "first", "region")
+        held = _counted(rest, F.substring("label", 1, 4 * depth))
+        done = held if depth == DEPTHS[-1] else held.where(F.col("size") <= REGION)
+        whole = whole.unionByName(done)
     block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / REGION).cast("long"))
-    return whole.select("tree", "region", block.alias("block"), "label", "rep", "sig", "size", "first")
+    return whole.select(
+        "tree", "region", block.alias("block"), "label", "rep", "sig", "size", "first"
+    )
 
 
 def candidates(classes: DataFrame) -> DataFrame:
     """Pairs ``a`` < ``b`` with their agreement, from neighbours in all trees."""
     regions = _regions(classes.select("rep", "sig"))
     ordered = (
-        regions.select("tree", "region", "block", "label", "rep", "sig")
+        regions.select("tree", "region", "block", "label", "rep", "sig", "size", "first")
         .repartition("tree", "region", "block")
         .sortWithinPartitions("tree", "region", "block", "label", "rep")
     )
@@ -159,42 +168,64 @@ def candidates(classes: DataFrame) -> DataFrame:
                     keep = agree >= LEAST_AGREEING
                     a, b = rep[i[keep]], rep[i[keep] + step]
                     found.append(np.stack([np.minimum(a, b), np.maximum(a, b), agree[keep]]))
+            # blocks of a region that no depth parts hang together by its first document
+            size, first = (batch.column(k).to_numpy(zero_copy_only=False) for k in (6, 7))
+            own = rep[fresh:]
+            tied = (size > REGION) & (own != first)
+            a, b = own[tied], first[tied]
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b), np.full(len(a), HASHES)]))
             tail = np.flatnonzero(group == group[-1])[-WINDOW:]
             before = (last, rep[tail], sig[tail])
-            pairs = np.concatenate(found, axis=1) if found else np.empty((3, 0), np.int64)
+            pairs = np.concatenate(found, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x.astype(np.int64)) for x in pairs], ["a", "b", "agree"]
             )
 
     near = ordered.mapInArrow(run, "a bigint, b bigint, agree bigint")
-    # blocks of a region that no depth parts hang together by its first document
-    tied = regions.where(f"size > {REGION} AND rep <> first").select(
-        F.least("rep", "first").alias("a"),
-        F.greatest("rep", "first").alias("b"),
-        F.lit(HASHES).cast("long").alias("agree"),
+    return near.groupBy("a", "b").agg(F.max("agree").alias("agree"))
+
+
+def _slot(name: str) -> Column:
+    return F.xxhash64(name).bitwiseAND(F.lit(SLOTS - 1)).alias("slot")
+
+
+def _bitmap(slots: DataFrame) -> np.ndarray:
+    """The slots in use, 64 to a number: a megabyte, however many there are."""
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")
     )
-    return near.unionByName(tied).groupBy("a", "b").agg(F.max("agree").alias("agree"))
+    found = words.toArrow()
+    out = np.zeros(SLOTS // 64, np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return out
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets are alike enough.
 
-    ``docs`` has ``rep`` and ``text``; sets are built only for documents in pairs.
+    ``docs`` has ``rep`` and ``text``. Texts are not shuffled: each task builds the
+    sets of the documents that a bitmap of the hashes of all ids in pairs lets pass,
+    and an exact join leaves out those that pass by chance.
     """
     needed = pairs.select(F.explode(F.array("a", "b")).alias("need")).distinct()
-    texts = docs.join(needed, F.col("rep") == F.col("need"), "left_semi")
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(needed.select(_slot("need"))))
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            slot = batch.column(2).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array((bits.value[slot >> 6] >> (slot & 63)) & 1 == 1))
             texts = batch.column(1).cast(pa.large_binary())
             sets = [shingle_set(t.as_py() or b"", WORDS).tobytes() for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sets, pa.binary())], ["rep", "shingles"]
             )
 
-    sets = store(
-        texts.select("rep", "text").mapInArrow(build, "rep bigint, shingles binary"), "sets"
+    built = (
+        docs.where("rep IS NOT NULL")
+        .select("rep", "text", _slot("rep"))
+        .mapInArrow(build, "rep bigint, shingles binary")
     )
+    sets = store(built.join(needed, F.col("rep") == F.col("need"), "left_semi"), "sets")
     met = (
         pairs.select("a", "b")
         .join(sets.select(F.col("rep").alias("ra"), F.col("shingles").alias("sa")), F.col("a") == F.col("ra"))
