@@ -5,9 +5,9 @@ sets is ``PERCENT`` hundredths or more; a line goes if an earlier one matches it
 Earlier is by document id, then the hash of the text, then the place in the text.
 
 The words of a line are ordered by rarity, counted over all words of all documents
-in 65,536 slots by hash (a table of fixed size), then by hash. Matching lines share
-a word among the first of each (prefix filter), of like sizes (length filter) and
-with enough words left behind it (positional filter); what passes is verified on
+in 1,048,576 slots by hash (half a megabyte, whatever the corpus), then by hash. Matching lines share
+two words among the first of each (prefix filter), are of like sizes (length filter)
+and have enough words left behind these (positional filter); what passes is verified on
 the words themselves. Lines of equal sets form a class that is compared once; a
 class that many lines belong to enters the join by its first line only.
 
@@ -27,7 +27,9 @@ from tidemark.llm.stage import store
 
 PERCENT = 75
 LEAST_WORDS = 5
-SLOTS = 1 << 16
+#: Words that matching lines share in prefixes that are longer by as many less one.
+SHARED = 2
+SLOTS, PACKED = 1 << 20, 16
 #: A class with more than this share of all lines enters the join by one line, so
 #: that at most as many classes are broadcast as this goes into 1.
 HOT_SHARE = 1 / 5000
@@ -43,19 +45,35 @@ def _lines(text: Column) -> Column:
 
 
 def rarity(docs: DataFrame, text: str = "text") -> Column:
-    """How often the words of each hash slot occur, as a power of two.
+    """How often the words of each hash slot occur, in 16 steps of a factor of two.
 
-    The table has 65,536 small numbers whatever the size of the corpus.
+    The steps begin well below the mean of all slots; sixteen slots share a number,
+    so the table has 65,536 numbers whatever the size of the corpus.
     """
     plain = F.replace(F.replace(F.col(text), F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" "))
     words = docs.select(F.explode(F.split(plain, " ")).alias("word"))
     slot = F.xxhash64("word").bitwiseAND(F.lit(SLOTS - 1))
     counted = words.groupBy(slot.alias("slot")).agg(F.count("*").alias("n"))
-    level = F.ceil(F.log2("n")).cast("int")
-    table = [0] * SLOTS
-    for row in counted.select("slot", level.alias("level")).collect():
-        table[row["slot"]] = row["level"]
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<int>")
+    counted = store(counted, "rarity")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    lowest = max(0, int(total / SLOTS).bit_length() - 3)
+    level = F.least(F.greatest(F.ceil(F.log2("n")).cast("int") - lowest, F.lit(0)), F.lit(15))
+    packed = counted.select("slot", level.cast("long").alias("level")).groupBy(
+        F.expr(f"slot div {PACKED}").cast("int").alias("word")
+    )
+    bits = F.expr(f"shiftleft(level, CAST(4 * (slot % {PACKED}) AS INT))")
+    table = [0] * (SLOTS // PACKED)
+    for row in packed.agg(F.bit_or(bits).alias("bits")).collect():
+        table[row["word"]] = row["bits"]
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+
+
+def _level(table: Column, hashed: Column) -> Column:
+    slot = hashed.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
+    four = F.call_function(
+        "shiftrightunsigned", F.get(table, F.shiftright(slot, 4)), slot.bitwiseAND(F.lit(15)) * 4
+    )
+    return four.bitwiseAND(F.lit(15))
 
 
 def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -70,22 +88,19 @@ def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     hashed = F.array_distinct(F.transform(F.array_remove(parted, ""), lambda w: F.xxhash64(w)))
     ordered = F.transform(
         hashed,
-        lambda x: F.shiftleft(F.get(table, x.bitwiseAND(F.lit(SLOTS - 1)).cast("int")).cast("long"), 57)
-        .bitwiseOR(F.shiftrightunsigned(x, 7)),
+        lambda x: F.shiftleft(_level(table, x), 59).bitwiseOR(F.shiftrightunsigned(x, 5)),
     )
-    rows = rows.select("doc", "h", "line", F.array_sort(ordered).alias("codes"))
+    rows = rows.select("doc", "h", "line", F.sort_array(ordered).alias("codes"))
     rows = rows.withColumn("n", F.size("codes")).where(F.col("n") >= LEAST_WORDS)
-    # n - ceil(n * PERCENT / 100) + 1
-    prefix = F.expr(f"n - (n * {PERCENT} + 99) div 100 + 1").cast("int")
+    # lines with ceil(n * PERCENT / 100) words in common share SHARED among these
+    prefix = F.expr(f"n - (n * {PERCENT} + 99) div 100 + {SHARED}").cast("int")
     return rows.select(
         "doc",
         "h",
         "line",
         F.xxhash64("codes").alias("class"),
         "n",
-        F.transform(
-            F.slice("codes", F.lit(1), prefix), lambda x: F.shiftright(x, 32).cast("int")
-        ).alias("prefix"),
+        F.slice("codes", F.lit(1), prefix).alias("prefix"),
     )
 
 
@@ -109,8 +124,9 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     n1, n2 = F.expr("spot div 65536"), F.expr("spot2 div 65536")
     p1, p2 = F.expr("spot % 65536"), F.expr("spot2 % 65536")
     like = (100 * F.least(n1, n2)) >= (PERCENT * F.greatest(n1, n2))
-    # overlap that the threshold asks for, against what can still follow
-    left = F.least(n1 - p1, n2 - p2) * (100 + PERCENT)
+    # overlap that the threshold asks for, against what can still follow the first
+    # or second shared word
+    left = (SHARED - 1 + F.least(n1 - p1, n2 - p2)) * (100 + PERCENT)
     enough = left >= PERCENT * (n1 + n2)
     long_line = (p1 >= 65535) | (p2 >= 65535)
     return (
@@ -121,8 +137,10 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
             & like
             & (enough | long_line),
         )
+        .groupBy("class", "class2")
+        .agg(F.count("*").alias("shared"))
+        .where(F.col("shared") >= SHARED)
         .select("class", "class2")
-        .distinct()
     )
 
 
@@ -144,10 +162,11 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
         .select(
             F.col("ask.class").alias("class"),
             _words(F.get("split", F.col("ask.line"))).alias("words"),
-        )
-        .dropDuplicates(["class"]),
+        ),
         "sets",
     )
+    if sets.count() > places.count():  # the documents hold equal rows
+        sets = store(sets.dropDuplicates(["class"]), "sets")
     a = sets.select(F.col("class").alias("ca"), F.col("words").alias("wa"))
     b = sets.select(F.col("class").alias("cb"), F.col("words").alias("wb"))
     both = F.size(F.array_intersect("wa", "wb"))
