@@ -207,7 +207,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     sets of the documents that a bitmap of the hashes of all ids in pairs lets pass,
     and an exact join leaves out those that pass by chance.
     """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("need")).distinct()
+    ends = [pairs.select(F.col(side).alias("need")).distinct() for side in ("a", "b")]
+    needed = ends[0].unionByName(ends[1]).distinct()
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(needed.select(_slot("need"))))
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
