@@ -543,8 +543,13 @@ def logistic_slopes(spark, sf):
     return _slopes(scored, model, F.col("prob_up") - F.col(schema.DIRECTION_TARGET), 4)
 
 
+def _all_judged(spark, sf):
+    """All predictions, however old, with their outcomes."""
+    return asof.nearest_outcome(t.predictions(spark, sf), t.candles(spark, sf), base="feature")
+
+
 def classification_metrics(spark, sf):
-    found = _judged(spark, sf)
+    found = _all_judged(spark, sf)
     return tidy(
         metrics.clf_metrics(found, ["symbol"], "actual_direction", "predicted_direction")
     )
@@ -556,7 +561,7 @@ def regression_metrics(spark, sf):
 
 
 def melted_metrics(spark, sf):
-    found = _judged(spark, sf)
+    found = _all_judged(spark, sf)
     wide = metrics.clf_metrics(found, ["symbol"], "actual_direction", "predicted_direction")
     return tidy(metrics.melt_metrics(wide, ["symbol"], training.CLF_METRICS))
 

@@ -119,3 +119,14 @@ def test_merge_refuses_repeated_keys(spark, tmp_path):
         tables.merge_into(
             rows.unionByName(rows), str(tmp_path / "t"), str(tmp_path / "s"), ["symbol", "timestamp"]
         )
+
+
+def test_metrics_cover_old_predictions(spark):
+    """Reports on models cover every prediction, checks for retraining ten days."""
+    oldest = F.min("prediction_timestamp")
+    every = queries._all_judged(spark, SF)
+    recent = queries._judged(spark, SF)
+    assert every.agg(oldest).first()[0] < recent.agg(oldest).first()[0]
+    found = queries.classification_metrics(spark, SF)
+    want = queries.metrics.clf_metrics(every, ["symbol"], "actual_direction", "predicted_direction")
+    assert sorted(found.collect()) == sorted(queries.tidy(want).collect())
