@@ -78,6 +78,47 @@ def test_near_documents(docs, monkeypatch, region):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_near_documents_in_a_star(docs):
+    """Every link runs through one text, which meets few of its copies in the forest."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(300)]
+    copies = []
+    for c in range(3000):
+        copy = list(base)
+        for k in rng.sample(range(0, 300, 6), 7):
+            copy[k] = f"n{c}x{k}"
+        copies.append(" ".join(copy))
+    sets = [shingles(c) for c in copies]
+    whole = shingles(" ".join(base))
+    assert all(100 * len(s & whole) >= 75 * len(s | whole) for s in sets)
+    texts = copies[:1500] + [" ".join(base)] + copies[1500:]
+    got = forest.near_duplicates(docs(texts)).collect()
+    assert {r["component_id"] for r in got} == {0}
+
+
+@pytest.mark.parametrize("region", [4096, 8])
+def test_near_documents_among_sharers_of_a_passage(docs, monkeypatch, region):
+    """Pairs near the threshold among many texts that share a passage."""
+    monkeypatch.setattr(forest, "REGION", region)
+    monkeypatch.setattr(forest, "LIST", 64)
+    rng = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(100))
+    texts = []
+    for c in range(300):
+        own = [f"o{c}x{k}" for k in range(60)]
+        texts.append(passage + " " + " ".join(own))
+        if c % 3 == 0:
+            for k in rng.sample(range(2, 58, 8), 4):
+                own[k] = f"e{c}x{k}"
+            texts.append(passage + " " + " ".join(own))
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    want = components(rows)
+    assert len({part for _, part in want.values()}) == 300
+    got = forest.near_duplicates(docs(texts)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
 def test_near_documents_odd_ids(docs):
     frame = docs(["a b", "a b", "a b", "c"], ids=[None, 2, 2, 1])
     got = sorted((str(r[0]), r[1], str(r[2])) for r in forest.near_duplicates(frame).collect())

@@ -12,6 +12,15 @@ shingle sets. Documents with equal sets form a class that is compared once.
 Candidates inside a component that earlier links have joined already are not
 compared again, as they cannot change it.
 
+The forest joins most of what belongs together; a set-similarity join over all
+classes finds the rest, so that no result depends on windows, regions or blocks.
+Classes that are alike enough share a shingle among the first quarter of each, in an
+order that is the same for all (prefix filter). Shingles go from rare to common by a
+sample; the sample bears on the cost alone. Lists of a shingle whose classes are one
+component are done. In the others each class meets the most linked class of the list,
+then whatever is still in another component and passes the length and positional
+filters. The lists of common shingles are dealt to as many tasks as they need.
+
 Defined cases: null, empty and blank texts have no shingles and link with nothing;
 a text of fewer than five words is one shingle; a row with a null id gets its size
 and a null component; rows of one id share its component. Texts of any length are
@@ -40,6 +49,8 @@ REGION = 4096
 DEPTHS = (1, 4, DEPTH)  # prefixes that bound a region, as it grows
 WORDS, PERCENT = 5, 75
 SLOTS = 1 << 23
+SAMPLE, COMMON = 1 << 15, 4  # classes whose shingles are counted, and counts that matter
+LIST = 4096  # members of a shingle's list that one task meets with all others
 
 _MULTIPLIERS = (
     np.random.default_rng(20).integers(0, 2**32, HASHES, np.uint64).astype(np.uint32) | np.uint32(1)
@@ -247,6 +258,159 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return met.mapInArrow(check, "a bigint, b bigint")
 
 
+def _common(texts: DataFrame, total: int) -> np.ndarray:
+    """Shingles that several sampled texts hold, from the least common on, by level."""
+    every = max(1, total // SAMPLE)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for value in batch.column(0).cast(pa.large_binary()):
+                found = shingle_set(value.as_py() or b"", WORDS)
+                for at in range(0, len(found), 65536):
+                    part = found[at : at + 65536].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(part)], ["shingle"])
+
+    sampled = texts.where(F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(every)) == 0)
+    counted = (
+        sampled.select("text")
+        .mapInArrow(run, "shingle bigint")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") >= COMMON)
+    ).toArrow()
+    found = np.stack([counted["shingle"].to_numpy(), counted["n"].to_numpy()])
+    return found[:, np.argsort(found[0])]
+
+
+def prefixes(texts: DataFrame, total: int) -> DataFrame:
+    """Set size of each text and the shingles that the prefix filter asks for."""
+    common = texts.sparkSession.sparkContext.broadcast(_common(texts, total))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, counts = common.value
+        for batch in batches:
+            sizes, firsts = [], []
+            for value in batch.column(1).cast(pa.large_binary()):
+                found = shingle_set(value.as_py() or b"", WORDS).view(np.int64)
+                level = np.zeros(len(found), np.int64)
+                if len(names) and len(found):
+                    at = np.minimum(np.searchsorted(names, found), len(names) - 1)
+                    level = np.where(names[at] == found, counts[at], 0)
+                least = -(-PERCENT * len(found) // 100)
+                first = found[np.lexsort((found, level))][: len(found) - least + 1]
+                sizes.append(len(found))
+                firsts.append(first if len(found) else found)
+            ends = np.cumsum([0] + [len(x) for x in firsts]).astype(np.int32)
+            joined = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(joined))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), lists], ["rep", "n", "first"]
+            )
+
+    return texts.select("rep", "text").mapInArrow(run, "rep bigint, n bigint, first array<bigint>")
+
+
+def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
+    """The rows of shingles whose lists hold several components, with the list's size
+    and its most linked class."""
+    placed = posts.join(parts, F.col("rep") == F.col("own")).drop("own")
+    if "first" in posts.columns:
+        placed = placed.select(
+            "rep", "n", "part", "degree", F.posexplode("first").alias("at", "shingle")
+        )
+    lists = (
+        placed.groupBy(F.col("shingle").alias("s"))
+        .agg(
+            F.count("*").alias("size"),
+            F.min("part").alias("p"),
+            F.max("part").alias("q"),
+            F.max(F.struct("degree", (-F.col("rep")).alias("back"), "n")).alias("hub"),
+        )
+        .where("p <> q")
+        .select("s", "size", (-F.col("hub.back")).alias("hub"), F.col("hub.n").alias("hub_n"))
+    )
+    return placed.join(lists, F.col("shingle") == F.col("s")).drop("s")
+
+
+def _parts(reps: DataFrame, links: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Component and number of links of each class."""
+    degrees = links.select(F.explode(F.array("a", "b")).alias("e")).groupBy("e").count()
+    return (
+        reps.join(grouped, F.col("own") == F.col("id"), "left")
+        .join(degrees, F.col("own") == F.col("e"), "left")
+        .select(
+            "own",
+            F.coalesce("component", "own").alias("part"),
+            F.coalesce("count", F.lit(0)).alias("degree"),
+        )
+    )
+
+
+def _with_hubs(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs of each class and the most linked class of its lists."""
+    pairs = (
+        rows.where("hub <> rep")
+        .where(f"100 * least(n, hub_n) >= {PERCENT} * greatest(n, hub_n)")
+        .select("rep", "part", "hub")
+        .distinct()
+        .join(parts.select("own", F.col("part").alias("theirs")), F.col("hub") == F.col("own"))
+        .where("part <> theirs")
+    )
+    return pairs.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """Pairs from different components that the prefix filters let pass."""
+    tasks = F.ceil(F.col("size") / LIST).cast("int")
+    left = rows.select(
+        "shingle", "rep", "n", "at", "part", F.pmod(F.hash("rep"), tasks).alias("task")
+    )
+    right = rows.select(
+        F.col("shingle").alias("shingle2"),
+        F.col("rep").alias("rep2"),
+        F.col("n").alias("n2"),
+        F.col("at").alias("at2"),
+        F.col("part").alias("part2"),
+        F.explode(F.sequence(F.lit(0), tasks - 1)).alias("task2"),
+    )
+    return (
+        left.join(
+            right,
+            (F.col("shingle") == F.col("shingle2"))
+            & (F.col("task") == F.col("task2"))
+            & (F.col("rep") < F.col("rep2"))
+            & (F.col("part") != F.col("part2"))
+            & F.expr(f"100 * least(n, n2) >= {PERCENT} * greatest(n, n2)")
+            & F.expr(f"least(n - at, n2 - at2) * {100 + PERCENT} >= {PERCENT} * (n + n2)"),
+        )
+        .select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
+        .distinct()
+    )
+
+
+def _completed(
+    classes: DataFrame, texts: DataFrame, links: DataFrame, grouped: DataFrame, met: DataFrame
+) -> DataFrame:
+    """Components after the links that the forest missed; ``met`` was compared before."""
+    reps = classes.select(F.col("rep").alias("own")).distinct()
+    total = classes.count()
+    firsts = prefixes(texts.where("rep IS NOT NULL"), total)
+    parts = _parts(reps, links, grouped)
+    rows = store(_open(firsts, parts), "open")
+    for step in (_with_hubs, None):
+        pairs = (step(rows, parts) if step else _across(rows)).join(met, ["a", "b"], "left_anti")
+        pairs = store(pairs, "pairs")
+        if pairs.take(1):
+            links = store(links.unionByName(confirmed(pairs, texts)), "links")
+            grouped = store(components(links), "grouped")
+            if step:
+                met = met.unionByName(pairs)
+                parts = _parts(reps, links, grouped)
+                kept = ["rep", "n", "at", "shingle"]
+                rows = store(_open(rows.select(*kept), parts), "open")
+    return grouped
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Set size, component and whether it stays, for every row of ``docs``."""
     rows = store(signed(docs), "signed")
@@ -281,8 +445,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     open_pairs = store(open_pairs, "open")
     if open_pairs.take(1):
-        more = store(confirmed(open_pairs, texts), "links")
-        grouped = components(links.unionByName(more))
+        links = store(links.unionByName(confirmed(open_pairs, texts)), "links")
+        grouped = store(components(links), "grouped")
+    grouped = _completed(classes, texts, links, grouped, pairs.select("a", "b"))
     members = classes.select(F.col("digest").alias("d"), "rep")
     placed = rows.select("doc_id", "n_shingles", "digest").join(
         members, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left"
