@@ -173,6 +173,12 @@ def test_repeated_lines(docs, monkeypatch):
             assert cut[i]["text"] == text and cut[i]["block"] == "own"
 
 
+def test_repeated_short_lines(docs):
+    texts = ["Les.\na b\na b c\n\n ", "Les.\nb a\na b c d\n\n ", "Les\na\nd c b x\nLes."]
+    got = {r["doc_id"]: r["removed_lines"] for r in lines.line_report(docs(texts)).collect()}
+    assert got == {0: [], 1: [0, 1, 2], 2: [3]}
+
+
 def test_repeated_lines_odd_ids(docs):
     line = "one two three four five six"
     frame = docs([line, line, line, line], ids=[7, 7, None, 9])

@@ -11,8 +11,8 @@ and have enough words left behind these (positional filter); what passes is veri
 the words themselves. Lines of equal sets form a class that is compared once; a
 class that many lines belong to enters the join by its first line only.
 
-Defined cases: words are what spaces and tabs part; lines of fewer than
-``LEAST_WORDS`` different words neither match nor go, nor do empty texts; null texts
+Defined cases: words are what spaces and tabs part; lines without words neither
+match nor go (``LEAST_WORDS`` can ask for more words), nor do empty texts; null texts
 count as empty and null ids come last; equal rows are one document, of which no row
 loses a line to the other. Tables without rows give none. Working columns are apart
 from those of the documents.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.stage import store
 
 PERCENT = 75
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 #: Words that matching lines share in prefixes that are longer by as many less one.
 SHARED = 2
 SLOTS, PACKED = 1 << 20, 16
@@ -112,6 +112,8 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     entered = (
         lines.join(F.broadcast(hot), F.col("class") == F.col("c"), "left")
         .where(F.col("first").isNull() | (place == F.col("first")))
+        # sets of one or two words match equal sets only, which are one class already
+        .where("n > 2")
         .select("class", "n", F.posexplode("prefix").alias("at", "code"))
         # size and place in one number
         .select("code", "class", (F.col("n") * 65536 + F.least("at", F.lit(65535))).alias("spot"))
