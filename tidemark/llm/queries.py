@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, forest, lines, mixing, pitman_yor, pivots, quality, syncmers, tokens, urls
+from tidemark.llm import alignment, bpe, forest, lines, mixing, pitman_yor, pivots, quality, syncmers, tokens, urls
 from tidemark.llm.stage import store
 from tidemark.session import configure
 
@@ -161,6 +161,20 @@ SELECT page_id, host, path, rule,
 FROM fitted WHERE rn = 1
 """
 
+#: Byte BPE, the same vocabulary as ranks, its pattern, sentence pieces.
+ALIGNED_FILES = (
+    public_tokenizers.path("byte_bpe_50k.json"),
+    public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    public_tokenizers.PATTERN,
+    public_tokenizers.path("piece_bpe_32k.model"),
+)
+
+
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups and links between the tokens of two vocabularies, for every document."""
+    return alignment.align_report(_table(spark, sf, "documents"), ALIGNED_FILES)
+
+
 QUERIES = [
     op1_mix_sources,
     op2_near_documents,
@@ -172,5 +186,6 @@ QUERIES = [
     op8_fingerprints,
     op9_line_repeats,
     op10_url_filter,
+    op13_token_alignment,
 ]
 SQL = {"op1_mix_sources": OP1_SQL, "op10_url_filter": OP10_SQL}
