@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -34,20 +33,14 @@ BATCH_CHARS = 4_000_000
 NEVER = np.int64(2**62)
 
 
-def _unassigned() -> re.Pattern:
-    """Characters that this Python has no class for; the library may know them."""
-    ranges, start = [], None
-    for i in range(0x110001):
-        out = i < 0x110000 and unicodedata.category(chr(i)) == "Cn"
-        if out and start is None:
-            start = i
-        elif not out and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{i - 1:08x}")
-            start = None
-    return re.compile(f"[{''.join(ranges)}]")
+#: Code points that this Python has no class for; the library may know them.
+UNASSIGNED = np.fromiter((unicodedata.category(chr(i)) == "Cn" for i in range(0x110000)), bool)
+
+
+def _has_unassigned(text: str) -> bool:
+    return bool(UNASSIGNED[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].any())
 
 
-UNASSIGNED = _unassigned()
 _NORMAL = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
 
 _byte_char = list(range(33, 127)) + list(range(161, 173)) + list(range(174, 256))
@@ -227,7 +220,7 @@ class Encoder:
     @staticmethod
     def _plain(text: str) -> list[str]:
         if not text.isascii():
-            if UNASSIGNED.search(text):
+            if _has_unassigned(text):
                 text = _NORMAL.normalize_str(text)
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower().replace("\n", " ").split(" ")
@@ -239,7 +232,7 @@ class Encoder:
         )
 
     def _words(self, part: str) -> list[str]:
-        if not part.isascii() and UNASSIGNED.search(part):
+        if not part.isascii() and _has_unassigned(part):
             return [w for w, _ in self.vocab.newer.pre_tokenize_str(part)]
         return self.vocab.words.findall(part)
 
