@@ -10,9 +10,12 @@ An edit lies in a word's second half or, read backwards, in the second half of
 the reversed word, so starting at the halves loses nothing and keeps the frontier
 away from the crowded top.
 
-An edge to a node with a single word below it carries that word, and a state
+An edge to a node with a single word below it names that word, and a state
 that takes it ends there as a candidate; candidates are confirmed by their edit
 distance. So the frontier lives only as deep as words share their beginnings.
+Once its edit is spent, the rest of what a state looks for is known, and an edge
+tells by bits which lengths, ends and next code points lie below it: a state
+takes an edge only if what it looks for may be there.
 
 Words of ``LONG`` code points or more, whose tries would be as deep as they are
 long, meet by the hashes of all their one-deletion forms instead and are confirmed
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.stage import store
 
-RUN = r"[A-Za-zÀ-ÿ]+"
+RUN = "[A-Za-zÀ-ÿ]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LONG = 48
 
@@ -45,8 +48,9 @@ def counted_words(
     """
     runs = docs.select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
-        F.explode(F.regexp_extract_all("text", F.lit(RUN), F.lit(0))).alias("run"),
-    ).where(F.length("run") >= least_length)  # a shorter run cannot become a word
+        # a shorter run cannot become a word
+        F.explode(F.regexp_extract_all("text", F.lit(f"{RUN}{{{least_length},}}"), F.lit(0))).alias("run"),
+    )
     runs = runs.select("id", F.translate("run", UPPER, LOWER).alias("run"))
     runs = runs.select("run", F.crc32(F.concat("id", F.lit(":"), "run").cast("binary")).alias("h"))
     typo = F.expr("concat(substr(run, 1, int(h % length(run))), substr(run, int(h % length(run)) + 2))")
@@ -60,104 +64,145 @@ def counted_words(
 
 
 def _both_ways(words: DataFrame) -> DataFrame:
-    """``w`` and its reverse, each with the depth at which its search starts."""
+    """``w`` and its reverse with a number, and the depth at which its search starts."""
     size = F.length("word")
-    ahead = words.select(F.lit(False).alias("back"), F.col("word").alias("w"), F.floor(size / 2).cast("int").alias("h"))
+    ahead = words.select(
+        F.lit(False).alias("back"), F.col("word").alias("w"), F.floor(size / 2).cast("int").alias("h")
+    )
     back = words.select(F.lit(True), F.reverse("word"), F.ceil(size / 2).cast("int"))
-    return ahead.unionAll(back.toDF("back", "w", "h"))
+    return ahead.unionAll(back.toDF("back", "w", "h")).withColumn("id", F.monotonically_increasing_id())
+
+
+def _sign(size, word):
+    """A number below 256 of a word's length and last two code points."""
+    return F.pmod(F.xxhash64(size, F.right(word, F.lit(2))), F.lit(256)).cast("int")
 
 
 def _edges(sides: DataFrame) -> DataFrame:
     """One row for each node with several words below: its edges.
 
-    ``depth``, ``back``, ``node``, ``edges``: arrays of (code point, words below,
-    one of them); a word's end is the edge of the empty string. Nodes lie no
-    higher than a neighbour's search can start.
+    ``depth``, ``back``, ``node``; ``edges``: code point, number of words below,
+    the least of their ids, and what these words look like in bits: ``nx`` of the code
+    points after the edge, ``signs`` of lengths and last two code points. A word's
+    end is the edge of the empty string. Nodes lie no higher than a neighbour's
+    search can start.
     """
     size = F.length("w")
     top = F.when(F.col("back"), F.floor(size / 2)).otherwise(F.floor((size - 1) / 2)).cast("int")
-    steps = sides.select("back", "w", F.explode(F.sequence(top, size)).alias("depth"))
-    steps = steps.select(
+    steps = sides.select(
+        "back", "w", "id", _sign(size, F.col("w")).alias("sign"), F.explode(F.sequence(top, size)).alias("depth")
+    ).select(
         "back",
         "depth",
         F.expr("left(w, depth)").alias("node"),
         F.expr("substr(w, depth + 1, 1)").alias("c"),
-        "w",
+        "id",
+        F.expr("shiftleft(1L, ascii(substr(w, depth + 2, 1)) % 64)").alias("nx"),
+        *[F.expr(f"IF(sign DIV 64 = {i}, shiftleft(1L, sign % 64), 0L)").alias(f"s{i}") for i in range(4)],
     )
     edges = steps.groupBy("back", "depth", "node", "c").agg(
-        F.count("*").alias("below"), F.min("w").alias("one")
+        F.count("*").alias("below"),
+        F.min("id").alias("one"),
+        *[F.bit_or(x).alias(x) for x in ("nx", "s0", "s1", "s2", "s3")],
     )
+    entry = F.struct("c", "below", "one", "nx", F.array("s0", "s1", "s2", "s3").alias("signs"))
     return (
         edges.groupBy("back", "depth", "node")
-        .agg(F.sum("below").alias("all"), F.collect_list(F.struct("c", "below", "one")).alias("edges"))
+        .agg(F.sum("below").alias("all"), F.collect_list(entry).alias("edges"))
         .where("all > 1")
         .drop("all")
     )
 
 
 def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """All states one level down from ``states``; ``found`` where a path ends near ``w``.
+    """All states one level down from ``states``; ``found`` where a path ends.
 
-    ``pos``: code points of the word that are used up.
+    ``pos``: code points of the word that are used up; ``sign``: of the word that a
+    state with its edit spent leads to, null where its last two code points are
+    not those of ``w``. An edge is not taken where no word below it looks like that.
     """
-    met = states.join(edges, ["back", "node"]).select(
-        "back",
-        "w",
-        "pos",
-        (F.col("edits") == 1).alias("spent"),
-        "node",
-        F.expr("substr(w, pos + 1, 1)").alias("next"),
-        F.expr("substr(w, pos + 2, 1)").alias("after"),
-        F.inline("edges").alias("c", "below", "one"),
-    )
-    spent, c = F.col("spent"), F.col("c")
-    real, left = c != "", F.col("next") != ""
-    ways = [
-        (real & (c == F.col("next")) & ~spent, 1, 0),
-        (real & (c == F.col("next")) & spent, 1, 1),
-        (real & (c != F.col("next")) & left & ~spent, 1, 1),  # another code point
-        (real & ~spent, 0, 1),  # one more
-        (real & left & (c == F.col("after")) & ~spent, 2, 1),  # one less, then one that fits
-        (~real & ~left & spent, 0, 1),  # both end here
-        (~real & left & (F.col("after") == "") & ~spent, 1, 1),  # the last one less
+    size = F.length("w")
+
+    def sign_of(change: int):
+        """Sign of what an edit at ``pos`` leads to, if two code points follow it."""
+        last = F.col("pos") + (0 if change > 0 else 1)
+        return F.when(size - last >= 2, _sign(size + change, F.col("w")))
+
+    at = [F.expr(f"substr(w, pos + {i}, 1)").alias(f"c{i}") for i in (1, 2, 3)]
+    met = states.withColumns(
+        {"more": sign_of(1), "same": sign_of(0), "less": sign_of(-1), "spent": F.col("edits") == 1}
+    ).join(edges, ["back", "node"])
+    met = met.select(
+        "back", "w", "pos", "spent", "sign", "node", *at, "more", "same", "less",
+        F.inline("edges").alias("c", "below", "one", "nx", "signs"),
+    )
+    real = "c <> ''"
+
+    def seen(sign: str, after: str) -> str:
+        """Whether a word below has this sign and goes on with this code point."""
+        return (
+            f"(nx & shiftleft(1L, ascii({after}) % 64)) <> 0 AND "
+            f"({sign} IS NULL OR (signs[{sign} DIV 64] & shiftleft(1L, {sign} % 64)) <> 0)"
+        )
+
+    ways = {
+        # the edge of the next code point
+        "on": (f"{real} AND c = c1 AND NOT spent", 1, 0, "sign"),
+        "on_spent": (f"{real} AND c = c1 AND spent AND {seen('sign', 'c2')}", 1, 1, "sign"),
+        # another code point; one more; one less and then one that fits
+        "other": (f"{real} AND c <> c1 AND c1 <> '' AND NOT spent AND {seen('same', 'c2')}", 1, 1, "same"),
+        "extra": (f"{real} AND NOT spent AND {seen('more', 'c1')}", 0, 1, "more"),
+        "gone": (f"{real} AND c1 <> '' AND c = c2 AND NOT spent AND {seen('less', 'c3')}", 2, 1, "less"),
+        # the word of this node ends here, and w too, or but for its last one
+        "end": ("c = '' AND c1 = '' AND spent", 0, 1, "sign"),
+        "end_gone": ("c = '' AND c1 <> '' AND c2 = '' AND NOT spent", 1, 1, "less"),
+    }
+    met = met.withColumns({k: F.expr(on) for k, (on, *_) in ways.items()}).where(" OR ".join(ways))
+    taken = [
+        f"IF({k}, struct(pos + {by} AS pos, {edits} AS edits, {sign} AS sign), NULL)"
+        for k, (_, by, edits, sign) in ways.items()
     ]
-    taken = F.array_compact(
-        F.array(*[F.when(on, F.struct(F.lit(by).alias("by"), F.lit(n).alias("edits"))) for on, by, n in ways])
-    )
-    moved = met.select(
+    return met.select(
         "back",
         "w",
-        "pos",
         F.concat("node", "c").alias("node"),
-        F.when((F.col("below") == 1) | ~real, F.col("one")).alias("found"),
-        F.inline(taken),
-    ).where(f"found IS NULL OR {_NEAR}")
-    return moved.select("back", "w", (F.col("pos") + F.col("by")).alias("pos"), "edits", "node", "found")
+        F.when((F.col("below") == 1) | (F.col("c") == ""), F.col("one")).alias("found"),
+        F.inline(F.expr(f"array_compact(array({', '.join(taken)}))")),
+    )
 
 
 _NEAR = "(abs(length(w) - length(found)) <= 1 AND levenshtein(w, found, 1) = 1)"
 
 
-def _near_short(words: DataFrame) -> list[DataFrame]:
-    """Stored tables of pairs by the frontier, level by level."""
+def _near_short(words: DataFrame) -> DataFrame:
+    """Pairs by the frontier, level by level."""
     sides = store(_both_ways(words), "spelling-sides")
     edges = _edges(sides).repartition("node").sortWithinPartitions("depth")
     edges = store(edges, "spelling-edges")
     levels = [r["depth"] for r in edges.select("depth").distinct().orderBy("depth").collect()]
     starts = sides.select(
-        "back", "w", F.col("h").alias("pos"), F.lit(0).alias("edits"), F.expr("left(w, h)").alias("node")
+        "back",
+        "w",
+        F.col("h").alias("pos"),
+        F.lit(0).alias("edits"),
+        F.lit(None).cast("int").alias("sign"),
+        F.expr("left(w, h)").alias("node"),
     )
-    pairs, frontier = [], None
+    ended = starts.limit(0).select("w", F.lit(0).cast("long").alias("id"))
+    frontier = None
     for level in levels:
         states = starts.where(F.col("pos") == level)
         if frontier is not None:
             states = states.unionByName(frontier)
         here = edges.where(F.col("depth") == level).drop("depth")
         reached = store(_advance(states, here), "spelling-states")
-        ends = [F.when(F.col("back"), F.reverse(x)).otherwise(F.col(x)) for x in ("w", "found")]
-        pairs.append(reached.where("found IS NOT NULL").select(*ends).toDF("word", "near"))
+        ended = ended.unionByName(
+            reached.where("found IS NOT NULL AND edits = 1").select("w", F.col("found").alias("id"))
+        )
         frontier = reached.where("found IS NULL").drop("found")
-    return pairs
+    met = ended.distinct().join(sides.select("id", "back", F.col("w").alias("found")), "id").where(_NEAR)
+    ends = [F.when(F.col("back"), F.reverse(x)).otherwise(F.col(x)) for x in ("w", "found")]
+    return met.select(*ends).toDF("word", "near")
 
 
 def _near_long(words: DataFrame) -> DataFrame:
@@ -179,11 +224,8 @@ def _near_long(words: DataFrame) -> DataFrame:
 def near_words(words: DataFrame) -> DataFrame:
     """``word`` and ``near``: each ordered pair of words one edit apart, once."""
     long = words.where(F.length("word") >= LONG - 1)
-    pairs = _near_short(words.where(F.length("word") < LONG))
-    found = _near_long(long)
-    for one in pairs:
-        found = found.unionByName(one)
-    return found.distinct()
+    short = words.where(F.length("word") < LONG)
+    return _near_long(long).unionByName(_near_short(short)).distinct()
 
 
 def grouped(words: DataFrame, ratio: int = 10) -> DataFrame:
