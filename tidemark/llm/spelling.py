@@ -4,8 +4,9 @@ Words lie in two tries, one over their code points and one over the reversed
 words. States (word, position, node, edits) start at the node of a word's first half
 without edits and go down level by level: each level is one join of the
 frontier with that level's edges. A state without edits takes the edge of the next
-code point, or spends its edit on any other edge, on any edge without moving
-on, or on moving on alone; a state with its edit spent takes the one edge that fits.
+code point, or spends its edit on a greater edge, or on any edge without moving on
+(one less is one more of the other word); a state with its edit spent takes the one
+edge that fits. A path that ends is a link of both words.
 An edit lies in a word's second half or, read backwards, in the second half of
 the reversed word, so starting at the halves loses nothing and keeps the frontier
 away from the crowded top.
@@ -120,49 +121,51 @@ def _advance(states: DataFrame, edges: DataFrame) -> DataFrame:
     ``pos``: code points of the word that are used up; ``sign``: of the word that a
     state with its edit spent leads to, null where its last two code points are
     not those of ``w``. An edge is not taken where no word below it looks like that.
+
+    Of two near words of one length the one with the lesser code point looks for
+    the other, else the shorter one for the longer.
     """
     size = F.length("w")
 
     def sign_of(change: int):
         """Sign of what an edit at ``pos`` leads to, if two code points follow it."""
-        last = F.col("pos") + (0 if change > 0 else 1)
-        return F.when(size - last >= 2, _sign(size + change, F.col("w")))
+        after = size - F.col("pos") - (1 - change)
+        return F.when(after >= 2, _sign(size + change, F.col("w")))
 
-    at = [F.expr(f"substr(w, pos + {i}, 1)").alias(f"c{i}") for i in (1, 2, 3)]
-    met = states.withColumns(
-        {"more": sign_of(1), "same": sign_of(0), "less": sign_of(-1), "spent": F.col("edits") == 1}
-    ).join(edges, ["back", "node"])
+    letters = [F.expr(f"substr(w, pos + {i}, 1)").alias(f"c{i}") for i in (1, 2)]
+    signs = {"own": F.col("sign"), "same": sign_of(0), "more": sign_of(1)}
+    met = states.select(
+        "back", "w", "pos", "node", (F.col("edits") == 1).alias("spent"), *letters, *[v.alias(k) for k, v in signs.items()]
+    )
+    bits = {f"{k}_bit": f"IF({k} IS NULL, 0L, shiftleft(1L, {k} % 64))" for k in signs}
+    bits |= {f"{k}_at": f"coalesce({k} DIV 64, 0)" for k in signs}
+    bits |= {f"next{i}": f"shiftleft(1L, ascii(c{i}) % 64)" for i in (1, 2)}
+    met = met.withColumns({k: F.expr(v) for k, v in bits.items()}).join(edges, ["back", "node"])
     met = met.select(
-        "back", "w", "pos", "spent", "sign", "node", *at, "more", "same", "less",
-        F.inline("edges").alias("c", "below", "one", "nx", "signs"),
+        "back", "w", "pos", "spent", "node", "c1", *signs, *bits,
+        # with the edit spent no other edge can fit
+        F.expr("inline(IF(spent, filter(edges, e -> e.c = c1), edges))").alias("c", "below", "one", "nx", "signs"),
     )
-    real = "c <> ''"
 
-    def seen(sign: str, after: str) -> str:
-        """Whether a word below has this sign and goes on with this code point."""
-        return (
-            f"(nx & shiftleft(1L, ascii({after}) % 64)) <> 0 AND "
-            f"({sign} IS NULL OR (signs[{sign} DIV 64] & shiftleft(1L, {sign} % 64)) <> 0)"
-        )
-
-    ways = {
-        # the edge of the next code point
-        "on": (f"{real} AND c = c1 AND NOT spent", 1, 0, "sign"),
-        "on_spent": (f"{real} AND c = c1 AND spent AND {seen('sign', 'c2')}", 1, 1, "sign"),
-        # another code point; one more; one less and then one that fits
-        "other": (f"{real} AND c <> c1 AND c1 <> '' AND NOT spent AND {seen('same', 'c2')}", 1, 1, "same"),
-        "extra": (f"{real} AND NOT spent AND {seen('more', 'c1')}", 0, 1, "more"),
-        "gone": (f"{real} AND c1 <> '' AND c = c2 AND NOT spent AND {seen('less', 'c3')}", 2, 1, "less"),
-        # the word of this node ends here, and w too, or but for its last one
-        "end": ("c = '' AND c1 = '' AND spent", 0, 1, "sign"),
-        "end_gone": ("c = '' AND c1 <> '' AND c2 = '' AND NOT spent", 1, 1, "less"),
-    }
-    met = met.withColumns({k: F.expr(on) for k, (on, *_) in ways.items()}).where(" OR ".join(ways))
+    def seen(k: str, i: int) -> str:
+        """Whether a word below goes on with the code point i and has this sign."""
+        return f"(nx & next{i}) <> 0 AND ({k}_bit = 0 OR (signs[{k}_at] & {k}_bit) <> 0)"
+
+    ways = [
+        # the edge of the next code point, before and after the edit
+        ("NOT spent AND c = c1 AND c <> ''", 1, 0, "own"),
+        (f"spent AND c <> '' AND {seen('own', 2)}", 1, 1, "own"),
+        # another code point; one more, put behind its equals
+        (f"NOT spent AND c > c1 AND c1 <> '' AND {seen('same', 2)}", 1, 1, "same"),
+        (f"NOT spent AND c <> c1 AND c <> '' AND {seen('more', 1)}", 0, 1, "more"),
+        # both end here
+        ("spent AND c = ''", 0, 1, "own"),
+    ]
     taken = [
-        f"IF({k}, struct(pos + {by} AS pos, {edits} AS edits, {sign} AS sign), NULL)"
-        for k, (_, by, edits, sign) in ways.items()
+        f"IF({on}, struct(pos + {by} AS pos, {edits} AS edits, {sign} AS sign), NULL)"
+        for on, by, edits, sign in ways
     ]
-    return met.select(
+    return met.where(" OR ".join(f"({on})" for on, *_ in ways)).select(
         "back",
         "w",
         F.concat("node", "c").alias("node"),
@@ -201,8 +204,9 @@ def _near_short(words: DataFrame) -> DataFrame:
         )
         frontier = reached.where("found IS NULL").drop("found")
     met = ended.distinct().join(sides.select("id", "back", F.col("w").alias("found")), "id").where(_NEAR)
-    ends = [F.when(F.col("back"), F.reverse(x)).otherwise(F.col(x)) for x in ("w", "found")]
-    return met.select(*ends).toDF("word", "near")
+    word, near = [F.when(F.col("back"), F.reverse(x)).otherwise(F.col(x)) for x in ("w", "found")]
+    found = met.select(word.alias("word"), near.alias("near"))
+    return found.unionByName(found.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
 def _near_long(words: DataFrame) -> DataFrame:
