@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import alignment, bpe, forest, lines, mixing, pitman_yor, pivots, quality, spelling, syncmers, tokens, urls
+from tidemark.llm import alignment, bpe, extraction, forest, lines, mixing, pitman_yor, pivots, quality, spelling, syncmers, tokens, urls
 from tidemark.llm.stage import store
 from tidemark.session import configure
 
@@ -161,6 +161,11 @@ SELECT page_id, host, path, rule,
 FROM fitted WHERE rn = 1
 """
 
+def op11_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of every page, from its whole markup."""
+    return extraction.extract(_table(spark, sf, "pages").select("page_id", "url", "html"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     """Frequent words of all documents with the more frequent words that they vary."""
     return spelling.variants(_table(spark, sf, "documents"))
@@ -191,6 +196,7 @@ QUERIES = [
     op8_fingerprints,
     op9_line_repeats,
     op10_url_filter,
+    op11_html_text,
     op12_spelling_variants,
     op13_token_alignment,
 ]
