@@ -3,6 +3,7 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -122,17 +123,55 @@ def test_ema_skips_missing_values(series):
             )
 
 
-def test_ema_refuses_overlong_chunks(spark):
-    df = spark.range(3000).select(
+def looped(values, span):
+    """Average value by value, seeded with the first."""
+    a, out = 2 / (span + 1), []
+    for x in values:
+        out.append(x if not out else a * x + (1 - a) * out[-1])
+    return np.array(out)
+
+
+@pytest.mark.parametrize(
+    ("seconds", "count", "scale"), [(60, 2880, 1.0), (10, 9000, 1.0), (1, 20_000, 1e150), (60, 3000, 1e-150)]
+)
+def test_averages_of_dense_series(spark, seconds, count, scale):
+    """Any number of rows in a day, and very large or small prices, by default arguments."""
+    df = spark.range(count).select(
         F.lit("a").alias("symbol"),
-        F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("timestamp"),
-        F.col("id").cast("double").alias("close"),
+        F.timestamp_seconds(F.col("id") * seconds).cast("timestamp_ntz").alias("timestamp"),
+        ((100 + F.sin(F.col("id") * 0.7) * 40 + F.col("id") % 13) * scale).alias("close"),
+    )
+    got = ordered(ema(df, "close", {"e3": 3, "e7": 7, "e30": 30}))
+    price = got.close.to_numpy()
+    for span in (3, 7, 30):
+        np.testing.assert_allclose(got[f"e{span}"], looped(price, span), rtol=1e-9)
+    got = ordered(macd(df))
+    line = looped(price, 12) - looped(price, 26)
+    smooth = looped(line, 9)
+    for name, want in (("macd", line), ("macd_signal", smooth), ("macd_histogram", line - smooth)):
+        np.testing.assert_allclose(got[name], want, rtol=0, atol=1e-9 * scale)
+
+
+def test_features_of_minute_candles(spark):
+    """Two whole days of minutes beside a thin series."""
+    dense = spark.range(2880).select(F.lit("dense").alias("symbol"), (F.col("id") * 60).alias("at"))
+    thin = spark.range(50).select(F.lit("thin").alias("symbol"), (F.col("id") * 3600).alias("at"))
+    price = 50 + F.sin(F.col("at") / 900) * 7
+    df = dense.unionByName(thin).select(
+        "symbol",
+        F.timestamp_seconds("at").cast("timestamp_ntz").alias("timestamp"),
+        *[price.alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(1.0).alias("volume"),
+        F.lit(1).alias("trades"),
     )
-    with pytest.raises(Exception, match="shorter bucket"):
-        ema(df, "close", {"e": 7}).agg(F.sum("e")).collect()
-    short = ema(df, "close", {"e": 7}, rows=100, bucket="1 minute").toPandas()
-    want = short.sort_values("timestamp").close.ewm(span=7, adjust=False).mean()
-    assert (short.sort_values("timestamp").e - want).abs().max() < 1e-9
+    readings = spark.createDataFrame([], "timestamp timestamp_ntz, fear_greed_value bigint")
+    got = ordered(feats.engineer_features(df, readings, "1970-01-05", tail=None))
+    assert len(got) == 2930
+    for _, part in got.groupby("symbol"):
+        for span in (7, 14, 30):
+            np.testing.assert_allclose(part[f"ema_{span}"], looped(part.close.to_numpy(), span), rtol=1e-9)
+        line = looped(part.close.to_numpy(), 12) - looped(part.close.to_numpy(), 26)
+        np.testing.assert_allclose(part.macd_signal, looped(line, 9), atol=1e-9)
 
 
 def test_macd_of_constant_prices_is_zero(spark):

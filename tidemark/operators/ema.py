@@ -1,10 +1,13 @@
 """Exponential moving averages and MACD as chunked affine scans.
 
 ``y[i] = a*x[i] + r*y[i-1]`` with ``r = 1 - a`` is linear in the value carried
-into a chunk. Inside a chunk a windowed sum gives the part that does not depend
-on the carry; one row per chunk then gives every carry; a join brings the
-carries back. The MACD signal is an average of a difference of averages, so its
-dependence on the carries also has a closed form and needs no second pass.
+into a stretch of rows, so a stretch is a pair (decay, offset), and pairs compose
+associatively. A chunk of whole buckets may hold any number of rows; it is cut by
+place into stretches short enough for their powers of ``r`` to stay within double
+precision. Inside a stretch a windowed sum gives the part that does not depend on
+the carry; the pairs, one row per stretch, then give every carry; a join brings
+the carries back. The MACD signal is an average of a difference of averages, so
+its dependence on the carries also has a closed form and needs no second pass.
 """
 
 from __future__ import annotations
@@ -56,11 +59,11 @@ def _reach(spans: Iterable[int]) -> int:
 def _carries(
     ends: DataFrame, ended: Mapping[int, str], reach: int, key: str, out: Mapping[int, str]
 ) -> DataFrame:
-    """What the chunks before each chunk hand on to it, per span.
+    """What the stretches before each stretch hand on to it, per span.
 
-    ``ended`` names the column with the part each chunk adds by itself. Chunks
-    are reached by the number of known values since, however thin these are;
-    ``reach`` also allows for the longest chunk.
+    ``ended`` names the column with the part each one adds by itself. They are
+    reached by the number of known values since, however thin these are;
+    ``reach`` also allows for the longest stretch.
     """
     fields = ", ".join(f"{col} AS v{span}" for span, col in ended.items())
     earlier = (
@@ -79,9 +82,11 @@ def _carries(
 class Averages:
     """The window passes and the final join for a set of averages.
 
-    ``passes`` are columns for successive projections over the chunk window, so
-    that a caller can evaluate its own windows in the same passes. Rows outside
-    the chunk's core do not count. ``finish`` takes the core rows.
+    ``count`` counts values over the chunk window, so that a caller can evaluate
+    its own windows in the same pass. ``passes`` are columns for the projections
+    that follow; their windows run over stretches, so the caller's own chunk
+    windows come before them. Rows outside the chunk's core do not count.
+    ``finish`` takes the core rows.
     """
 
     def __init__(
@@ -99,29 +104,34 @@ class Averages:
         every = self.wanted + ([macd[2]] if macd else [])
         if min(every) < 2:
             raise ValueError("spans start at 2")
-        # up to this many rows the weights inside one chunk stay below e^350, so that
-        # values up to 1e150 may be multiplied by them
+        # up to this many rows the weights inside one stretch stay below e^350, so
+        # that values up to 1e150 may be multiplied by them
         self.limit = int(350 / -math.log(_weights(min(every))[1]))
         self.powers = sorted(set(every))
         self.parts = [f"_local_{s}" for s in self.wanted] + (["_local_signal"] if macd else [])
 
+    def _so_far(self, fn: str, value: str, w: str) -> str:
+        counted = f"CASE WHEN _core AND {self.col} IS NOT NULL THEN {value} END"
+        return f"{fn}({counted}) OVER ({w} {SO_FAR})"
+
     @property
-    def passes(self) -> list[dict[str, str]]:
-        w = chunk_window(self.key, self.time)
+    def count(self) -> dict[str, str]:
+        return {"_known": self._so_far("count", "1", chunk_window(self.key, self.time))}
 
-        def so_far(fn: str, value: str) -> str:
-            counted = f"CASE WHEN _core AND {self.col} IS NOT NULL THEN {value} END"
-            return f"{fn}({counted}) OVER ({w} {SO_FAR})"
+    @property
+    def passes(self) -> list[dict[str, str]]:
+        w = f"PARTITION BY `{self.key}`, _chunk, _stretch ORDER BY `{self.time}`"
 
         def weighted_sum(span: int, value: str) -> str:
-            """Average of the values inside the chunk, from a start of zero."""
+            """Average of the values inside the stretch, from a start of zero."""
             a, _ = _weights(span)
-            total = so_far("sum", f"{a!r}D * {value} * _up_{span}")
+            total = self._so_far("sum", f"{a!r}D * {value} * _up_{span}", w)
             return f"coalesce({total}, 0D) / _up_{span}"
 
         # powers are slow: each is taken once per row and used in all later steps
         out = [
-            {"_pos": so_far("count", "1")},
+            {"_stretch": f"greatest(_known - 1, 0) div {self.limit}"},
+            {"_pos": f"_known - _stretch * {self.limit}"},
             {f"_up_{s}": _power(s, "-_pos") for s in self.powers},
             {f"_local_{s}": weighted_sum(s, self.col) for s in self.wanted},
         ]
@@ -131,22 +141,16 @@ class Averages:
             out.append({"_local_signal": weighted_sum(signal, line)})
         return out
 
-    def _chunk_ends(self, local: DataFrame) -> DataFrame:
-        """One row per chunk with every carry handed to it."""
+    def _ends(self, local: DataFrame) -> DataFrame:
+        """One row per stretch with every carry handed to it."""
         key, wanted = self.key, self.wanted
         first = f"min_by({self.col}, CASE WHEN {self.col} IS NOT NULL THEN `{self.time}` END)"
-        ends = local.groupBy(key, "_chunk").agg(
+        ends = local.groupBy(key, "_chunk", "_stretch").agg(
             F.expr(first).alias("_first"),
-            F.max("_pos").alias("_len"),
+            F.max("_pos").alias("_n"),
             *[F.max_by(c, "_pos").alias(f"_end{c}") for c in self.parts],
         )
-        too_long = f"a chunk holds more than {self.limit} rows; use a shorter bucket"
-        checked = (
-            f"CASE WHEN _len <= {self.limit} THEN _len "
-            f"ELSE CAST(raise_error('{too_long}') AS BIGINT) END"
-        )
-        wk = f"PARTITION BY `{key}` ORDER BY _chunk"
-        ends = add(ends, {"_n": checked})
+        wk = f"PARTITION BY `{key}` ORDER BY _chunk, _stretch"
         ends = add(
             ends,
             {
@@ -170,7 +174,7 @@ class Averages:
             ends = add(ends, {"_driven": driven})
             reach = _reach([signal]) + self.limit
             ends = _carries(ends, {signal: "_driven"}, reach, key, {signal: "_in_signal"})
-        return ends.select(key, "_chunk", "_prior", *self._carried())
+        return ends.select(key, "_chunk", "_stretch", "_prior", *self._carried())
 
     def _carried(self) -> list[str]:
         return [f"_in_{s}" for s in self.wanted] + (["_in_signal"] if self.macd else [])
@@ -195,14 +199,14 @@ class Averages:
             )
             lines = (gap, smooth, f"{gap} - {smooth}")
             results |= {n: known(sql) for n, sql in zip(MACD_COLUMNS, lines, strict=True)}
-        joined = local.join(self._chunk_ends(local), [self.key, "_chunk"])
+        joined = local.join(self._ends(local), [self.key, "_chunk", "_stretch"])
         helpers = [*self.parts, *[f"_up_{s}" for s in self.powers], *self._carried()]
-        return add(joined, results).drop("_pos", "_prior", *helpers)
+        return add(joined, results).drop("_known", "_stretch", "_pos", "_prior", *helpers)
 
 
 def _averaged(df: DataFrame, averages: Averages, bucket: str) -> DataFrame:
     local = chunk_series(df, 0, 0, averages.key, averages.time, averages.rows, bucket)
-    for columns in averages.passes:
+    for columns in (averages.count, *averages.passes):
         local = add(local, columns)
     return averages.finish(local)
 

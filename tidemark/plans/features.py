@@ -240,9 +240,11 @@ def engineer_features(
 ) -> DataFrame:
     """All 73 computed columns for the newest ``tail`` rows of every symbol.
 
-    Rows move twice: to their (symbol, day) to learn their place in the series
-    and the day's sentiment, and to their chunk, where all windows share one
-    sort. The join by day becomes a broadcast where the day table is small.
+    Rows move to their (symbol, day), to learn their place in the series and the
+    day's sentiment, and to their chunk, where windows share one sort, and those
+    of the averages one more. The joins by day and with the averages' carries become
+    broadcasts where these small tables allow it. Averages are folded in a scan of
+    their own that reads the price alone.
     """
     candles = scan_candles(candles, as_of, days)
     readings = daily_first(scan_sentiment(sentiment, as_of, days))
@@ -258,17 +260,15 @@ def engineer_features(
     )
     w = chunk_window()
     averages = Averages("close", {f"ema_{n}": n for n in WINDOWS}, (12, 26, 9), rows=rows)
-    place, powers, sums, signal = averages.passes
     rise, fall = ind.rise("_delta"), ind.fall("_delta")
     # windows that others build on come first, while rows are still narrow
     first = {
         "_delta": ind.step("close", w),
         "_filled": ind.carried("close", w, "_carry"),
         "_row": place_in_series(w),
-        **place,
+        **averages.count,
     }
     rest = {
-        **signal,
         **_averages(w, "close", WINDOWS, "sma"),
         **_band(w, "close", 20),
         **_deviations(w, "close", WINDOWS, "volatility"),
@@ -280,9 +280,12 @@ def engineer_features(
         **{f"target_return_{h}": ind.change_until("_filled", h, w) for h in HORIZONS},
     }
     out = chunked
-    for columns in (first, powers, sums, rest):
+    # stretches are sorted once more, so their windows follow those of the chunks
+    for columns in (first, rest):
         out = ind.add(out, columns)
     out = out.where("_core")
+    for columns in averages.passes:
+        out = ind.add(out, columns)
     out = averages.finish(out)
     if tail is not None:
         out = out.where(F.col("_total") - F.col("_row") < tail)
