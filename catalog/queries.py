@@ -933,20 +933,19 @@ def streamed_landing(spark, sf):
     base = _fresh_folder(spark, sf, "landing")
     minute = F.date_trunc("minute", "ts").cast("timestamp_ntz")
     ticks = _tick_stream(spark, sf).select("user_id", "event_type", minute.alias("ts"))
-    # input files hold a month in any order, so the bound covers all of it
-    once = landing.distinct_records(ticks, ["user_id", "event_type", "ts"], "ts", "40 days")
-    landing.append_stream(once, f"{base}/table", f"{base}/checkpoint", "ts").awaitTermination()
+    landing.land_stream(
+        ticks, f"{base}/table", f"{base}/staging", f"{base}/checkpoint", ["user_id", "event_type", "ts"], "ts"
+    ).awaitTermination()
     landed = spark.read.parquet(f"{base}/table")
     return landed.groupBy("event_type").agg(F.count(F.lit(1)).alias("records"))
 
 
 def _run_candle_stream(spark, sf):
     base = _fresh_folder(spark, sf, "stream")
-    bars = landing.stream_candles(_tick_stream(spark, sf), late="40 days")
-    landing.upsert_stream(
-        bars, f"{base}/table", f"{base}/staging", f"{base}/checkpoint"
+    landing.candle_stream(
+        _tick_stream(spark, sf), f"{base}/table", f"{base}/staging", f"{base}/checkpoint"
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/table").drop("date")
+    return landing.read_candles(spark, f"{base}/table")
 
 
 def streamed_candles(spark, sf):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -58,15 +58,81 @@ def _replace_dates(spark: SparkSession, path: str, staging: str) -> None:
     _mark(spark, staging, False)
 
 
-def _mark(spark: SparkSession, staging: str, pending: bool) -> None:
-    row = spark.range(1).select(F.lit(pending).alias("pending"))
-    row.coalesce(1).write.mode("overwrite").parquet(f"{staging}/state")
+_STATE = "pending BOOLEAN, applied MAP<STRING, BIGINT>, version INT"
+
+
+def _state(spark: SparkSession, staging: str) -> dict:
+    """The newest state of a staging folder: is a merge pending, which batches are in.
+
+    Each state is a folder of its own, so that a new one either is there as a whole
+    or leaves the one before it.
+    """
+    try:
+        states = spark.read.schema(_STATE).parquet(f"{staging}/state")
+        row = states.orderBy(F.desc("version")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
+    return row.asDict() if row else {"pending": False, "applied": {}, "version": 0}
+
+
+def _mark(
+    spark: SparkSession, staging: str, pending: bool, stream: str | None = None, batch: int | None = None
+) -> None:
+    """Write the next state; ``batch`` becomes the last one applied from ``stream``."""
+    old = _state(spark, staging)
+    applied = dict(old["applied"] or {})
+    if stream is not None:
+        applied[stream] = batch
+    row = spark.createDataFrame([(pending, applied)], "pending BOOLEAN, applied MAP<STRING, BIGINT>")
+    version = old["version"] + 1
+    row.coalesce(1).write.mode("overwrite").parquet(f"{staging}/state/version={version}")
+    # only the two newest are ever read
+    old_path = spark._jvm.org.apache.hadoop.fs.Path(f"{staging}/state/version={version - 2}")
+    old_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old_path, True)
 
 
 def _pending(spark: SparkSession, staging: str) -> bool:
-    state = _stored(spark, f"{staging}/state")
-    row = state.first() if state is not None else None
-    return bool(row and row["pending"])
+    return _state(spark, staging)["pending"]
+
+
+def is_applied(spark: SparkSession, staging: str, stream: str, batch: int) -> bool:
+    """Whether this batch of a stream, or a later one, has been recorded."""
+    return (_state(spark, staging)["applied"] or {}).get(stream, -1) >= batch
+
+
+def land_new(
+    new: DataFrame,
+    path: str,
+    staging: str,
+    keys: Sequence[str],
+    time: str = "timestamp",
+    batch: tuple[str, int] | None = None,
+) -> None:
+    """Append the rows whose key is not stored yet, whenever it was stored.
+
+    ``new`` is unique by ``keys``, which contain ``time``. Only the keys of the
+    dates in ``new`` are read. ``batch`` (stream, number) is recorded afterwards and
+    skipped when it comes again; a call that failed half way may be repeated, as
+    the rows that made it are found. A key with a null equals no other.
+    """
+    if time not in keys:
+        raise ValueError("the time column is part of the key")
+    spark = new.sparkSession
+    if batch and is_applied(spark, staging, *batch):
+        return
+    dated = new.withColumn("date", F.to_date(time))
+    dated.write.mode("overwrite").parquet(f"{staging}/batch")
+    new = spark.read.schema(dated.schema).parquet(f"{staging}/batch")
+    table = _stored(spark, path)
+    if table is not None:
+        dates = [row["date"] for row in new.select("date").distinct().collect()]
+        touched = table.where(F.col("date").isin(dates)).select(*keys)
+        new = new.join(touched, list(keys), "left_anti").select(*dated.columns)
+    _by_date(new).mode("append").parquet(path)
+    if batch:
+        _mark(spark, staging, _pending(spark, staging), *batch)
 
 
 def merge_into(
@@ -77,20 +143,30 @@ def merge_into(
     time: str = "timestamp",
     update_cols: Sequence[str] | None = None,
     insert_only: bool = False,
+    combine: Callable[[DataFrame], DataFrame] | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> None:
     """Merge rows, unique by ``keys``, into a table stored by date.
 
+    With ``combine`` stored and new rows of a key become one row by it, such as
+    sums of partial results; else new rows replace stored ones. ``batch``
+    (stream, number) is recorded in the same step that makes the merge certain, and
+    skipped when it comes again, so that sums never count a batch twice.
+
     ``keys`` contains ``time``, so a key never changes date and only the dates
     present in ``new`` are read and rewritten. The merged dates are written to
     ``staging`` first and marked pending while they replace the stored ones. A
     call that finds a pending merge finishes it first, so that the same call can
-    be repeated after a failure at any point.
+    be repeated after a failure at any point. ``staging`` belongs to one writer at a
+    time; a reader may see some of a merge's dates before the others.
     """
     if time not in keys:
         raise ValueError("the time column is part of the key")
     spark = new.sparkSession
     if _pending(spark, staging):
         _replace_dates(spark, path, staging)
+    if batch and is_applied(spark, staging, *batch):
+        return
     # written once: a stream's batch would run again for each use
     dated = new.withColumn("date", F.to_date(time))
     dated.write.mode("overwrite").parquet(f"{staging}/batch")
@@ -104,12 +180,15 @@ def merge_into(
         # at most as many as the batch has days; as literals they prune the table
         dates = [row["date"] for row in new.select("date").distinct().collect()]
         touched = table.where(F.col("date").isin(dates)).select(*new.columns)
-        if insert_only:
+        if combine:
+            merged = combine(touched.unionByName(new)).withColumn("date", F.to_date(time))
+            merged = merged.select(*new.columns)
+        elif insert_only:
             merged = insert_new(touched, new, keys)
         else:
             merged = upsert(touched, new, keys, update_cols)
     _by_date(merged).mode("overwrite").parquet(f"{staging}/merged")
-    _mark(spark, staging, True)
+    _mark(spark, staging, True, *(batch or ()))
     _replace_dates(spark, path, staging)
 
 

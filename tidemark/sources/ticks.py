@@ -23,6 +23,59 @@ def _arrival(df: DataFrame, time: str, tie: str | None) -> Column:
     return (micros * room + F.col(tie).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
+PART_KEYS = ("symbol", "timestamp")
+CANDLE = ("open", "high", "low", "close", "volume", "trades")
+
+
+def candle_parts(
+    ticks: DataFrame,
+    width: str = "1 hour",
+    symbol: str = "event_type",
+    time: str = "ts",
+    price: str = "value",
+    tie: str | None = "event_id",
+) -> DataFrame:
+    """Candles that further ticks can still be combined with.
+
+    Beside the candle a row holds the arrival of its first and last tick
+    (``first_key``, ``last_key``), which later parts compare theirs with.
+    """
+    arrival = _arrival(ticks, time, tie)
+    return (
+        ticks.groupBy(F.col(symbol).alias("symbol"), F.window(F.col(time), width).alias("_w"))
+        .agg(
+            F.min(arrival).alias("first_key"),
+            F.max(arrival).alias("last_key"),
+            F.min_by(price, arrival).alias("open"),
+            F.max(price).alias("high"),
+            F.min(price).alias("low"),
+            F.max_by(price, arrival).alias("close"),
+            F.sum(price).alias("volume"),
+            F.count(F.lit(1)).alias("trades"),
+        )
+        .select("symbol", F.col("_w.start").alias("timestamp"), "first_key", "last_key", *CANDLE)
+    )
+
+
+def combine_parts(parts: DataFrame) -> DataFrame:
+    """One part for each symbol and time bucket, whatever the order of the parts."""
+    return parts.groupBy(*PART_KEYS).agg(
+        F.min("first_key").alias("first_key"),
+        F.max("last_key").alias("last_key"),
+        F.min_by("open", "first_key").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "last_key").alias("close"),
+        F.sum("volume").alias("volume"),
+        F.sum("trades").alias("trades"),
+    )
+
+
+def candles_of(parts: DataFrame) -> DataFrame:
+    """The candles that stored parts stand for."""
+    return parts.select(*PART_KEYS, *CANDLE)
+
+
 def build_candles(
     ticks: DataFrame,
     width: str = "1 hour",

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.merge import dedupe_last
-from tidemark.sources.tables import merge_into
-from tidemark.sources.ticks import build_candles
+from tidemark.sources.tables import land_new, merge_into
+from tidemark.sources.ticks import PART_KEYS, candle_parts, candles_of, combine_parts
 
 
 def read_files(
@@ -23,28 +22,71 @@ def read_files(
     return reader.parquet(path)
 
 
-def distinct_records(
-    stream: DataFrame, keys: Sequence[str], time: str, late: str = "1 hour"
-) -> DataFrame:
-    """Drop repeats of a key that arrive within the lateness bound.
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a checkpoint keeps for life; batches are numbered within it."""
+    row = spark.read.schema("id STRING").json(f"{checkpoint}/metadata").first()
+    return row["id"]
+
+
+def _each_batch(stream: DataFrame, checkpoint: str, mode: str, apply) -> StreamingQuery:
+    """Run ``apply(rows, (stream id, batch number))`` on what has arrived, then stop."""
+
+    def run(rows: DataFrame, number: int) -> None:
+        apply(rows, (_stream_id(rows.sparkSession, checkpoint), number))
+
+    return (
+        stream.writeStream.outputMode(mode)
+        .foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
-    State is dropped once the watermark has passed a key.
+
+def land_stream(
+    stream: DataFrame,
+    path: str,
+    staging: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    time: str = "timestamp",
+    newest_by: Sequence[str] = (),
+) -> StreamingQuery:
+    """Append each key once to a table stored by date, however late it repeats.
+
+    Micro-batches meet the stored keys of their dates, so nothing is held in
+    state and no lateness bound drops rows. Of a key's rows in one batch
+    ``newest_by`` picks the row to keep, else any one stays. A replayed batch is
+    skipped.
     """
-    once = _event_time(stream, time, late).dropDuplicatesWithinWatermark(list(keys))
-    return once.withColumn(time, F.col(time).cast("timestamp_ntz"))
 
+    def land(rows: DataFrame, batch: tuple[str, int]) -> None:
+        once = dedupe_last(rows, keys, newest_by) if newest_by else rows.dropDuplicates(list(keys))
+        land_new(once, path, staging, keys, time, batch)
 
-def _event_time(stream: DataFrame, time: str, late: str) -> DataFrame:
-    """Watermarks need a zoned timestamp; sessions run in UTC."""
-    return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+    return _each_batch(stream, checkpoint, "append", land)
 
 
-def stream_candles(
-    ticks: DataFrame, width: str = "1 hour", late: str = "2 hours", time: str = "ts", **columns
-) -> DataFrame:
-    """Candles of a tick stream; run it in update mode so that open hours show."""
-    bars = build_candles(_event_time(ticks, time, late), width, time=time, **columns)
-    return bars.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+def candle_stream(
+    ticks: DataFrame, path: str, staging: str, checkpoint: str, width: str = "1 hour", **columns
+) -> StreamingQuery:
+    """Fold a tick stream into stored candle parts; ``read_candles`` reads them.
+
+    A tick of any age changes its own candle and no other: each micro-batch is
+    aggregated by itself and combined with the stored rows of its dates. A
+    replayed batch is skipped, so that volumes and counts hold each tick once.
+    """
+
+    def fold(rows: DataFrame, batch: tuple[str, int]) -> None:
+        parts = candle_parts(rows, width, **columns)
+        merge_into(parts, path, staging, PART_KEYS, combine=combine_parts, batch=batch)
+
+    return _each_batch(ticks, checkpoint, "append", fold)
+
+
+def read_candles(spark: SparkSession, path: str) -> DataFrame:
+    """Candles of a table that ``candle_stream`` has written."""
+    return candles_of(spark.read.parquet(path))
 
 
 def upsert_stream(
@@ -59,33 +101,12 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge every micro-batch into a stored table and stop at the end of input.
 
-    A repeated batch rewrites the same keys with the same rows, so replay after
-    a failure changes nothing. ``newest_by`` picks the row to keep where one
-    batch holds a key more than once.
+    ``newest_by`` picks the row to keep where one batch holds a key more than
+    once. A replayed batch is skipped.
     """
 
-    def merge(batch: DataFrame, _: int) -> None:
-        rows = dedupe_last(batch, keys, newest_by) if newest_by else batch
-        merge_into(rows, path, staging, keys, time)
-
-    return (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
+    def merge(rows: DataFrame, batch: tuple[str, int]) -> None:
+        rows = dedupe_last(rows, keys, newest_by) if newest_by else rows
+        merge_into(rows, path, staging, keys, time, batch=batch)
 
-def append_stream(stream: DataFrame, path: str, checkpoint: str, time: str) -> StreamingQuery:
-    """Append a stream's rows to files stored by date and stop at the end of input."""
-    return (
-        stream.withColumn("date", F.to_date(time))
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy("date")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _each_batch(stream, checkpoint, mode, merge)
