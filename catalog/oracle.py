@@ -661,6 +661,9 @@ SQL: dict[str, str] = {
             (SELECT unnest({['intercept', *MODEL_INPUTS]}) AS input)"""),
     "importance_sums": sql(f"""
         SELECT symbol, {len(MODEL_INPUTS)}::BIGINT AS inputs, 1.0::DOUBLE AS total FROM ridge"""),
+    # one newest row a symbol, and no score that differs
+    "stored_models": sql("SELECT symbol, 0::BIGINT AS gaps, 1::BIGINT AS scored_rows FROM ridge"),
+    "scoring_gaps": sql("SELECT symbol, 0::BIGINT AS gaps, 1::BIGINT AS scored_rows FROM ridge"),
     "classification_metrics": sql(f"""
         SELECT symbol, {rc('accuracy', 'precision', 'recall', 'f1')} FROM clf"""),
     "regression_metrics": sql(f"""

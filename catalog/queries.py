@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from catalog import tables as t
 from catalog.tables import AS_OF
 from tidemark import schema
-from tidemark.operators import asof, linear, merge, metrics, prepare, quality
+from tidemark.operators import asof, linear, merge, metrics, prepare, quality, trees
 from tidemark.operators.ema import ema as exponential
 from tidemark.operators.ema import macd as macd_lines
 from tidemark.operators.series import tail_per_group
-from tidemark.plans import abtest, features, inference, monitor, retrain, training
+from tidemark.plans import abtest, features, inference, monitor, registry, retrain, training
 from tidemark.sources import payloads, scans
 from tidemark.sources import tables as stored
 from tidemark.sources.ticks import build_candles
@@ -612,12 +612,33 @@ def forest_importance(spark, sf):
     return training.importance(models.random_forest, spark)
 
 
+_SCORES = [f"{p}_{c}" for p in ("rf", "gb") for c in ("prediction", "confidence", "prob_up", "prob_down")]
+
+
+def _gaps(one, other):
+    """Symbols and how many of their scores differ by more than rounding."""
+    told = [F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) for c in _SCORES]
+    apart = F.sum(sum([F.when(gap <= 1e-9, 0).otherwise(1) for gap in told]))
+    both = one.alias("a").join(other.alias("b"), KEY, "full")
+    return both.groupBy("symbol").agg(apart.alias("gaps"), F.count("*").alias("scored_rows"))
+
+
 def stored_models(spark, sf):
+    """Scores by the models in memory against those of the run read back."""
     models, _ = _all_models(spark, sf)
     path = t.folder(spark, sf, "models")
-    training.save_models(models, path)
-    loaded = training.load_models(spark, path, SYMBOLS)
-    return _scored(spark, sf, loaded)
+    registry.save_models(models, path, AS_OF)
+    loaded = registry.load_models(spark, path, SYMBOLS, AS_OF)
+    return _gaps(_scored(spark, sf, models), _scored(spark, sf, loaded))
+
+
+def scoring_gaps(spark, sf):
+    """Scores by node tables against those of each symbol's own model objects."""
+    models, _ = _all_models(spark, sf)
+    kinds = {"rf": models.random_forest, "gb": models.gradient_boosting}
+    rows = _live_rows(spark, sf, models)
+    prefixes = {"random_forest": "rf", "gradient_boosting": "gb"}
+    return _gaps(trees.score_trees(rows, models.nodes, prefixes), inference.score_clf(kinds, rows))
 
 
 # --- inference ---------------------------------------------------------------
@@ -662,8 +683,8 @@ def _live_rows(spark, sf, models):
 
 def _scored(spark, sf, models):
     scaled = _live_rows(spark, sf, models)
-    trees = {"rf": models.random_forest, "gb": models.gradient_boosting}
-    out = inference.score_reg(models.ridge, inference.score_clf(trees, scaled))
+    prefixes = {"random_forest": "rf", "gradient_boosting": "gb"}
+    out = inference.score_reg(models.ridge, trees.score_trees(scaled, models.nodes, prefixes))
     out = inference.ensemble(
         out, ["rf_prediction", "gb_prediction"], ["rf_confidence", "gb_confidence"]
     )
@@ -733,7 +754,7 @@ def ab_predictions(spark, sf):
     models, _ = _all_models(spark, sf)
     scaled = _live_rows(spark, sf, models)
     drawn = abtest.assign_variant(scaled, abtest.active_test(t.ab_config(spark, sf)), "timestamp")
-    out = abtest.ab_score(drawn, models.trees())
+    out = abtest.ab_score(drawn, models.nodes)
     return out.drop(*schema.MODEL_INPUTS)
 
 
@@ -966,7 +987,7 @@ QUERIES = [
     medians, imputed, time_split, scaler_params, scaled_rows, input_vectors, cross_products,
     ridge_two_inputs, ridge_model, ridge_slopes, logistic_model, logistic_slopes, classification_metrics, regression_metrics,
     melted_metrics, latest_run, latest_run_strict, best_model, trained_metrics,
-    forest_importance, importance_sums, stored_models,
+    forest_importance, importance_sums, stored_models, scoring_gaps,
     missing_models, latest_features, filled_features, latest_scaled, predicted_prices,
     live_predictions, ensemble_signals, recent_accuracy, prediction_report, signal_counts,
     active_test, variants, ab_predictions, outcome_by_feature, outcome_among_many, ab_metrics,

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import nearest_outcome
-from tidemark.plans.inference import score_clf
+from tidemark.operators.trees import score_trees
 from tidemark.schema import MODEL_INPUTS
 from tidemark.session import before, moment
 
@@ -55,18 +54,28 @@ def assign_variant(df: DataFrame, test: DataFrame, time: str = "prediction_times
 
 def ab_score(
     scaled: DataFrame,
-    models: Mapping[str, Mapping[str, object]],
+    nodes: DataFrame,
+    artifacts: Sequence[str] = ("random_forest", "gradient_boosting"),
     cols: Sequence[str] = MODEL_INPUTS,
 ) -> DataFrame:
-    """Score each row with the classifier its ``model_name`` names."""
-    parts = [
-        score_clf({"ab": by_symbol}, scaled.where(F.col("model_name") == name), cols)
-        for name, by_symbol in models.items()
-        if by_symbol
-    ]
-    return reduce(DataFrame.unionByName, parts).withColumnsRenamed(
-        {"ab_prediction": "predicted_direction", "ab_confidence": "confidence"}
-    ).drop("ab_prob_up", "ab_prob_down")
+    """Score each row with the packed classifier its ``model_name`` names.
+
+    Rows that name another model, or one that their symbol lacks, are left out.
+    """
+    places = {name: f"_ab{i}" for i, name in enumerate(artifacts)}
+    scored = score_trees(scaled, nodes, places, cols)
+
+    def named(what: str):
+        return F.coalesce(
+            *[F.when(F.col("model_name") == n, F.col(f"{p}_{what}")) for n, p in places.items()]
+        )
+
+    scored = scored.withColumns(
+        {"predicted_direction": named("prediction"), "confidence": named("confidence")}
+    )
+    return scored.where(F.col("predicted_direction").isNotNull()).select(
+        *scaled.columns, "predicted_direction", "confidence"
+    )
 
 
 def ab_outcomes(results: DataFrame, prices: DataFrame, test_name, as_of) -> DataFrame:

@@ -1,18 +1,12 @@
-"""Training all models of all symbols, and storing them."""
+"""Training all models of all symbols."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,30 +19,16 @@ from tidemark.operators.prepare import (
     impute_median,
     time_split,
 )
-from tidemark.plans.inference import score_clf
+from tidemark.operators.trees import score_trees
+from tidemark.plans.registry import Trained, pack_trees
 from tidemark.schema import DIRECTION_TARGET, MODEL_INPUTS, RETURN_TARGET
 from tidemark.session import moment
 from tidemark.sources.scans import scan_training
 
 CLF_METRICS = ("accuracy", "precision", "recall", "f1")
 REG_METRICS = ("mse", "mae", "r2")
-
-
-@dataclass
-class Trained:
-    """Fitted models: tables for the linear ones, one object per symbol for trees."""
-
-    scaler: DataFrame
-    ridge: DataFrame
-    logistic: DataFrame
-    random_forest: dict[str, object] = field(default_factory=dict)
-    gradient_boosting: dict[str, object] = field(default_factory=dict)
-
-    def trees(self) -> dict[str, dict[str, object]]:
-        return {
-            "random_forest": self.random_forest,
-            "gradient_boosting": self.gradient_boosting,
-        }
+#: Tasks that a symbol's validation rows are dealt to for scoring.
+SCORE_PARTS = 4
 
 
 def prepare_training(
@@ -168,9 +148,12 @@ def train(
         scaler,
         spark.read.parquet(f"{table}/ridge"),
         spark.read.parquet(f"{table}/logistic"),
-        fit_forest(fitting, symbols, **(forest_settings or {})),
-        fit_boosting(fitting, symbols, **(boosting_settings or {})),
+        random_forest=fit_forest(fitting, symbols, **(forest_settings or {})),
+        gradient_boosting=fit_boosting(fitting, symbols, **(boosting_settings or {})),
     )
+    trees = {name: by_symbol for name, by_symbol in models.trees().items() if by_symbol}
+    if trees:
+        _, models.nodes = pack_trees(spark, trees, f"{table}/trees")
     return models, validation_metrics(models, rows.where(F.col("split") == "validation"), as_of)
 
 
@@ -185,10 +168,11 @@ def validation_metrics(models: Trained, rows: DataFrame, as_of) -> DataFrame:
     scored = predict_logistic(rows, models.logistic)
     measured = clf_metrics(scored, ["symbol"], DIRECTION_TARGET)
     add("logistic_regression", measured, CLF_METRICS)
-    for name, by_symbol in models.trees().items():
-        if by_symbol:
-            scored = score_clf({"tree": by_symbol}, rows)
-            measured = clf_metrics(scored, ["symbol"], DIRECTION_TARGET, "tree_prediction")
+    if models.nodes is not None:
+        scored = score_trees(rows, models.nodes, {name: name for name in models.trees()}, parts=SCORE_PARTS)
+        for name in models.trees():
+            own = scored.where(F.col(f"{name}_prediction").isNotNull())
+            measured = clf_metrics(own, ["symbol"], DIRECTION_TARGET, f"{name}_prediction")
             add(name, measured, CLF_METRICS)
     scored = predict_linear(rows, models.ridge)
     add("ridge_regression", reg_metrics(scored, ["symbol"], RETURN_TARGET), REG_METRICS)
@@ -196,61 +180,3 @@ def validation_metrics(models: Trained, rows: DataFrame, as_of) -> DataFrame:
     for part in found[1:]:
         out = out.unionByName(part)
     return out.withColumn("training_timestamp", moment(as_of))
-
-
-_LOADERS: dict[str, Callable] = {
-    "random_forest": RandomForestClassificationModel.load,
-    "gradient_boosting": GBTClassificationModel.load,
-}
-
-
-def save_models(models: Trained, path: str) -> None:
-    """Tables as Parquet, tree models with their own writer, and a registry."""
-    spark = models.scaler.sparkSession
-    entries = []
-    tables = {
-        "scaling_params": models.scaler,
-        "ridge_regression": models.ridge,
-        "logistic_regression": models.logistic,
-    }
-    for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-        entries.append(
-            spark.read.parquet(f"{path}/{name}").select("symbol", F.lit(name).alias("artifact"))
-        )
-    for name, by_symbol in models.trees().items():
-        for symbol, model in by_symbol.items():
-            model.write().overwrite().save(f"{path}/{name}/{symbol}")
-        if by_symbol:
-            pairs = [(s, name) for s in by_symbol]
-            entries.append(spark.createDataFrame(pairs, "symbol string, artifact string"))
-    registry = entries[0]
-    for part in entries[1:]:
-        registry = registry.unionByName(part)
-    registry.write.mode("overwrite").parquet(f"{path}/registry")
-
-
-def load_registry(spark: SparkSession, path: str) -> DataFrame:
-    """(symbol, artifact) of everything stored."""
-    return spark.read.parquet(f"{path}/registry")
-
-
-def load_models(spark: SparkSession, path: str, symbols: Sequence[str]) -> Trained:
-    """The stored models of the given symbols."""
-    stored = load_registry(spark, path).where(F.col("symbol").isin(*symbols))
-    trees = stored.where(F.col("artifact").isin(*_LOADERS))
-    found = {(r["artifact"], r["symbol"]) for r in trees.toLocalIterator()}
-    loaded = {
-        name: {s: load(f"{path}/{name}/{s}") for s in symbols if (name, s) in found}
-        for name, load in _LOADERS.items()
-    }
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{path}/{name}").where(F.col("symbol").isin(*symbols))
-
-    return Trained(
-        table("scaling_params"),
-        table("ridge_regression"),
-        table("logistic_regression"),
-        **loaded,
-    )
