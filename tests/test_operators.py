@@ -345,6 +345,29 @@ def test_ridge_equals_normal_equations(regression):
         assert got[symbol].intercept == pytest.approx(y.mean() - x.mean(0) @ w, abs=1e-10)
 
 
+def test_logistic_keys_settle_apart(spark):
+    """A key of one class and a separable one beside a good one."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(600, 2))
+    frame = pd.DataFrame(x, columns=["x", "y"])
+    frame["symbol"] = np.repeat(["good", "one class", "separable"], 200)
+    up = x @ [1.0, -2.0] + rng.logistic(size=600) > 0.3
+    frame["up"] = np.where(frame.symbol == "good", up, np.where(frame.symbol == "one class", 1, x[:, 0] > 0)).astype(int)
+    broken = pd.DataFrame({"x": [1.0, float("nan")], "y": [0.0, 1.0], "symbol": "broken", "up": [0, 1]})
+    df = spark.createDataFrame(pd.concat([frame, broken]))
+    got = {r.symbol: r for r in linear.fit_logistic(df, ["x", "y"], "up").collect()}
+    assert got["good"].converged and got["good"].passes <= 15
+    assert got["separable"].converged and got["separable"].coefficients[0] > 3
+    assert (got["one class"].converged, got["one class"].passes) == (False, 0)
+    assert got["one class"].coefficients == [0.0, 0.0]
+    assert got["one class"].intercept == pytest.approx(np.log(200.5 / 0.5))
+    assert (got["broken"].converged, got["broken"].passes, got["broken"].coefficients) == (False, 1, [0.0, 0.0])
+    alone = linear.fit_logistic(df.where("symbol = 'good'"), ["x", "y"], "up").first()
+    assert alone.coefficients == pytest.approx(got["good"].coefficients, abs=1e-9)
+    stopped = linear.fit_logistic(df.where("symbol = 'good'"), ["x", "y"], "up", max_iter=2).first()
+    assert (stopped.converged, stopped.passes) == (False, 2)
+
+
 def test_logistic_is_at_the_optimum(regression):
     df, pdf = regression
     model = linear.fit_logistic(df, ["x", "y", "z"], "up")

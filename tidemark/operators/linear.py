@@ -22,6 +22,10 @@ from tidemark.session import allow_checkpoints
 HELD_KEYS = 2000
 
 
+#: Keys still being fitted that are named in a pass's filter.
+LISTED = 1000
+
+
 def _additive(
     df: DataFrame, used: Sequence[str], key: str, measure: Callable[[np.ndarray], np.ndarray]
 ) -> DataFrame:
@@ -158,23 +162,39 @@ def fit_logistic(
 
     Minimises ``|w|^2 / 2 + c * log loss`` with a free intercept. A step that
     raises a key's objective is halved for that key. Steps shrink quadratically,
-    so after one below ``tolerance`` the rest is below double precision. The
-    coefficients are the only state between passes and are checkpointed.
+    so after one below ``tolerance`` the rest is below double precision.
+
+    A key that has settled leaves: its rows are not read in later passes, so one slow
+    key costs the others nothing. ``converged`` and ``passes`` tell how each key
+    ended. A key with one class only has no finite optimum; it takes no
+    pass and gets the smoothed log odds of its class as intercept, no weights and
+    ``converged`` false. So does, after its first pass, a key whose sums are not
+    finite. Separable classes have an optimum, as the weights are penalised.
+    The coefficients are the only state between passes and are checkpointed.
     """
     allow_checkpoints(train.sparkSession)
     k = len(cols) + 1
     kind = train.schema[key].dataType.simpleString()
     state_type = (
-        f"{key} {kind}, at array<double>, held array<double>, "
-        "objective double, moved double"
+        f"`{key}` {kind}, at array<double>, held array<double>, objective double, "
+        "odds double, active boolean, converged boolean, passes int"
     )
     labelled = train.where(F.col(target).isNotNull()).withColumn("one", F.lit(1.0))
     inputs = ["one", *cols]
     zeros = F.array_repeat(F.lit(0.0), k)
-    state = labelled.select(key).distinct().select(
-        key, zeros.alias("at"), zeros.alias("held"),
-        F.lit(float("inf")).alias("objective"), F.lit(float("inf")).alias("moved"),
-    )
+    ups, n = F.sum(F.col(target).cast("double")), F.count(F.lit(1))
+    both = (ups > 0) & (ups < n)
+    odds = F.log((ups + 0.5) / (n - ups + 0.5))
+    start = F.when(both, zeros).otherwise(F.concat(F.array(odds), F.slice(zeros, 2, k - 1)))
+    state = labelled.groupBy(key).agg(
+        start.alias("at"),
+        zeros.alias("held"),
+        F.lit(float("inf")).alias("objective"),
+        odds.alias("odds"),
+        both.alias("active"),
+        F.lit(False).alias("converged"),
+        F.lit(0).alias("passes"),
+    ).checkpoint()
 
     def measure(rows: np.ndarray) -> np.ndarray:
         """Curvature, slope and loss at the margin in the last column."""
@@ -191,25 +211,41 @@ def fit_logistic(
             for row in pdf.itertuples(index=False):
                 at, held, sums = (np.asarray(v) for v in (row.at, row.held, row.cells))
                 objective = c * sums[-1] + 0.5 * float(penalty @ (at * at))
+                if not np.isfinite(sums).all():
+                    alone = np.r_[row.odds, np.zeros(k - 1)]
+                    rows.append((row[0], alone, held, row.objective, row.odds, False, False, row.passes + 1))
+                    continue
                 if objective > row.objective * (1 + 1e-12):
-                    step, held, objective = (held - at) / 2, held, row.objective
+                    step, objective = (held - at) / 2, row.objective
                 else:
                     curvature = c * sums[: k * k].reshape(k, k) + np.diag(penalty)
                     slope = c * sums[k * k : -1] + penalty * at
-                    step, held = -np.linalg.solve(curvature, slope), at
-                rows.append((row[0], at + step, held, objective, np.abs(step).max()))
-            yield pd.DataFrame(rows, columns=[key, "at", "held", "objective", "moved"])
+                    step, held = -np.linalg.lstsq(curvature, slope, rcond=None)[0], at
+                settled = bool(np.abs(step).max() <= tolerance)
+                rows.append((row[0], at + step, held, objective, row.odds, not settled, settled, row.passes + 1))
+            yield pd.DataFrame(
+                rows, columns=[key, "at", "held", "objective", "odds", "active", "converged", "passes"]
+            )
 
     for _ in range(max_iter):
-        coefficients = state.select(
+        active = state.where("active")
+        names = [row[0] for row in active.select(key).limit(LISTED + 1).collect()]
+        if not names:
+            break
+        # few keys are named, which prunes files and row groups; many meet in the join
+        rows = labelled.where(F.col(key).isin(names)) if len(names) <= LISTED else labelled
+        coefficients = active.select(
             key, F.col("at")[0].alias("intercept"),
             F.slice("at", 2, k - 1).alias("coefficients"),
         )
-        seen = spread_join(labelled, coefficients, [key]).withColumn("_z", margin(cols))
+        seen = spread_join(rows, coefficients, [key]).withColumn("_z", margin(cols))
         sums = _as_arrays(_additive(seen, [*inputs, target, "_z"], key, measure), key)
-        state = state.join(sums, key).mapInPandas(advance, state_type).checkpoint()
-        if state.where(F.col("moved") > tolerance).isEmpty():
-            break
+        moved = active.join(sums, key).mapInPandas(advance, state_type)
+        state = state.where("NOT active").unionByName(moved).checkpoint()
     return state.select(
-        key, F.col("at")[0].alias("intercept"), F.slice("at", 2, k - 1).alias("coefficients")
+        key,
+        F.col("at")[0].alias("intercept"),
+        F.slice("at", 2, k - 1).alias("coefficients"),
+        "converged",
+        "passes",
     )
