@@ -501,6 +501,18 @@ SQL: dict[str, str] = {
                count(*) FILTER (WHERE k % 7 <> 0) AS confidences,
                {r('avg(round(confidence, 4)) FILTER (WHERE k % 7 <> 0)')} AS avg_confidence
         FROM predictions GROUP BY 1"""),
+    "constraint_violations": sql("""
+        SELECT rule, count(*) AS broken_by FROM (
+          SELECT unnest(CASE WHEN len(rules) = 0 THEN ['none'] ELSE rules END) AS rule FROM (
+            SELECT list_filter([
+                CASE WHEN k % 13 = 0 THEN 'required(symbol)' END,
+                CASE WHEN k % 11 = 0 THEN 'type(current_price)' END,
+                CASE WHEN k % 7 = 0 THEN 'type(confidence)' END,
+                CASE WHEN k % 13 <> 0 AND row_number() OVER (
+                    PARTITION BY CASE WHEN k % 13 <> 0 THEN symbol END, prediction_timestamp ORDER BY seq, k) > 1
+                  THEN 'unique(symbol,prediction_timestamp)' END], lambda x: x IS NOT NULL) AS rules
+            FROM (SELECT *, unnest(CASE WHEN k % 5 = 0 THEN [1, 2] ELSE [1] END) AS seq FROM predictions)))
+        GROUP BY rule"""),
     "repeated_keys": """
         SELECT event_type AS symbol, date_trunc('hour', ts) AS timestamp, count(*) AS copies
         FROM events GROUP BY 1, 2 HAVING count(*) > 1""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog import tables as t
 from catalog.tables import AS_OF
@@ -240,6 +241,21 @@ def conformed_rows(spark, sf):
     )
 
 
+def constraint_violations(spark, sf):
+    """Rows that break each rule, and those that break none, of unruly predictions."""
+    k = F.col("k")
+    rows = t.predictions(spark, sf).select(
+        F.when(k % 13 != 0, F.col("symbol")).alias("symbol"), "prediction_timestamp",
+        F.when(k % 11 == 0, "n/a").otherwise(F.col("current_price").cast("string")).alias("current_price"),
+        F.when(k % 7 == 0, F.lit(123.5)).otherwise(F.col("confidence")).alias("confidence"), "k",
+        F.explode(F.when(k % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("seq"),
+    )
+    keyed = T.StructType([T.StructField(f.name, f.dataType, f.name != "symbol") for f in schema.PREDICTIONS])
+    checked = merge.check_rows(rows, keyed, ["symbol", "prediction_timestamp"], ["seq", "k"])
+    rules = F.when(F.size("violations") == 0, F.array(F.lit("none"))).otherwise(F.col("violations"))
+    return checked.select(F.explode(rules).alias("rule")).groupBy("rule").agg(F.count("*").alias("broken_by"))
+
+
 def repeated_keys(spark, sf):
     hourly = t.events(spark, sf).select(
         F.col("event_type").alias("symbol"), F.date_trunc("hour", "ts").cast("timestamp_ntz")
@@ -454,7 +470,9 @@ def _prepared(spark, sf):
 
 
 def _scaler(spark, sf):
-    return t.settle(spark, sf, "scaler", lambda: _preparation(spark, sf)[1])
+    _prepared(spark, sf)
+    # written beside the prepared rows, by the same run
+    return spark.read.parquet(t.folder(spark, sf, "preparing") + "/scaler")
 
 
 def scaler_params(spark, sf):
@@ -977,7 +995,7 @@ QUERIES = [
     candles_hourly, ticker_records, candle_records, candle_failures, sentiment_records,
     symbol_lookup, unlisted_symbols, candle_scan, sentiment_scan, training_scan,
     upsert_full, upsert_partial, insert_absent, merged_table, appended_table, dedupe_backfill,
-    accepted_rows, rejected_rows, conformed_rows, repeated_keys,
+    accepted_rows, rejected_rows, conformed_rows, constraint_violations, repeated_keys,
     sma, ema, rsi, macd, bollinger, volatility, momentum, momentum_filled, volume_ratio,
     price_range, lags, rolling_stats, distance_from_extremes, targets, targets_strict,
     calendar_parts, daily_first, sentiment_attached, series_tail, feature_table,

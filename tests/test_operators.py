@@ -190,6 +190,31 @@ def test_split_valid(spark):
     assert len(schema.FEATURES) == 51 and len(schema.MODEL_INPUTS) == 22
 
 
+def test_check_rows(spark):
+    shape = T.StructType(
+        [
+            T.StructField("symbol", T.StringType(), False),
+            T.StructField("v", T.DecimalType(5, 4)),
+            T.StructField("n", T.IntegerType(), False),
+        ]
+    )
+    rows = [
+        ("a", "0.5", "1", 2), ("a", "0.7", "1", 1), ("a", None, "2", 1), (None, "0.5", "1", 1),
+        (None, "0.5", "1", 2), ("b", "12.5", "x", 1), ("c", None, None, 1), ("a", "0.9", "1", 3),
+    ]
+    df = spark.createDataFrame(rows, "symbol string, v string, n string, seq int")
+    checked = merge.check_rows(df, shape, ["symbol", "n"], ["seq"])
+    assert checked.columns == ["symbol", "v", "n", "violations"] and checked.count() == len(rows)
+    good = merge.good_rows(checked)
+    assert sorted((r.symbol, float(r.v or 0), r.n) for r in good.collect()) == [("a", 0.0, 2), ("a", 0.7, 1)]
+    broken = sorted((r.symbol or "", r.rule) for r in merge.violations(checked, ["symbol"]).collect())
+    assert broken == [
+        ("", "required(symbol)"), ("", "required(symbol)"), ("a", "unique(symbol,n)"), ("a", "unique(symbol,n)"),
+        ("b", "type(n)"), ("b", "type(v)"), ("c", "required(n)"),
+    ]
+    assert merge.check_rows(df.where("seq > 9"), shape, ["symbol"]).count() == 0
+
+
 def test_duplicate_keys(spark):
     df = table(spark, [(0, 1, 1), (0, 2, 2), (1, 1, 1)])
     assert [r.copies for r in merge.duplicate_keys(df, KEYS).collect()] == [2]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,48 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[value.alias(field.name) for field, _, value in _casts(df, schema)])
 
 
+def check_rows(
+    df: DataFrame, schema: T.StructType, keys: Sequence[str] = (), order: Sequence[str] = ()
+) -> DataFrame:
+    """Rows as the declared columns and types, with the rules that each one breaks.
+
+    ``violations`` lists, in one pass over the rows: ``required(c)`` where a
+    required column is missing, ``type(c)`` where a value does not survive its
+    cast (a decimal too large for its digits included), and ``unique(keys)`` on
+    every row of a key but the first by ``order``. A key with a null equals no other.
+    Unfit values become NULL. ``order`` names columns of ``df``.
+    """
+    marks, cast = [], []
+    for field, source, value in _casts(df, schema):
+        marks.append(F.when(source.isNotNull() & value.isNull(), F.lit(f"type({field.name})")))
+        if not field.nullable:
+            marks.append(F.when(source.isNull(), F.lit(f"required({field.name})")))
+        cast.append(value.alias(field.name))
+    place = [F.col(c).alias(f"_order{i}") for i, c in enumerate(order)]
+    out = df.select(*cast, *place, F.array_compact(F.array(*marks)).alias("violations"))
+    if keys:
+        whole = F.lit(True)
+        for c in keys:
+            whole = whole & F.col(c).isNotNull()
+        # rows without a whole key need no company, so they are dealt out
+        lone = F.when(~whole, F.monotonically_increasing_id())
+        w = Window.partitionBy(*keys, "_lone").orderBy(*([f"_order{i}" for i in range(len(order))] or list(keys)))
+        out = out.withColumn("_lone", lone).withColumn("_place", F.row_number().over(w))
+        repeated = F.when(F.col("_place") > 1, F.array(F.lit(f"unique({','.join(keys)})")))
+        out = out.withColumn("violations", F.concat("violations", F.coalesce(repeated, F.array())))
+    return out.select(*schema.names, "violations")
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    """Rows of ``check_rows`` that break no rule."""
+    return checked.where(F.size("violations") == 0).drop("violations")
+
+
+def violations(checked: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each broken rule: the row's key and ``rule``."""
+    return checked.select(*keys, F.explode("violations").alias("rule"))
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys stored more than once, with their row count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
