@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import bench
 from catalog import queries
 from catalog import tables as t
-from tidemark.operators.quality import null_count
+from tidemark.operators.quality import null_count, validate
 from tidemark.operators.series import chunk_series
 from tidemark.operators.skew import spread_join
 from tidemark.plans import monitor
@@ -130,3 +130,27 @@ def test_metrics_cover_old_predictions(spark):
     found = queries.classification_metrics(spark, SF)
     want = queries.metrics.clf_metrics(every, ["symbol"], "actual_direction", "predicted_direction")
     assert sorted(found.collect()) == sorted(queries.tidy(want).collect())
+
+
+def test_validation_scans_once(spark, tmp_path):
+    """Stale series, missing values and jumps, the last ones also between days."""
+    rows = [
+        ("a", "2024-01-01 22:00:00", 10.0), ("a", "2024-01-01 23:00:00", 30.0), ("a", "2024-01-02 00:30:00", 70.0),
+        ("a", "2024-01-02 01:00:00", None), ("a", "2024-01-02 01:10:00", 9.0), ("a", "2024-01-02 01:20:00", 9.5),
+        ("b", "2023-12-30 00:00:00", 1.0), ("b", "2024-01-01 10:00:00", 5.0), ("b", "2024-01-01 12:30:00", 0.0),
+        ("b", "2024-01-01 13:00:00", 4.0), ("c", "2023-01-01 00:00:00", None),
+    ]
+    df = spark.createDataFrame(rows, "symbol string, t string, price_usd double").selectExpr(
+        "symbol", "CAST(t AS TIMESTAMP_NTZ) AS timestamp", "price_usd"
+    )
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    found = validate(stored, "2024-01-02 01:30:00", null_window="1 day", jump_window="15 hours")
+    row = found.first()
+    # a: 10 to 30, 30 to 70; b: 5 comes before the window's 0, and nothing grows from 0
+    assert (row.stale_data_count, row.null_price_count, row.outlier_count) == (2, 1, 2)
+    wider = validate(stored, "2024-01-02 01:30:00", jump_window="10 days").first()
+    # b also: 1 to 5, 5 to 0
+    assert wider.outlier_count == 4
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1

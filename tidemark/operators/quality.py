@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.indicators import lagged
-from tidemark.operators.series import over_series
+from tidemark.operators.series import bucket_of, over_series
 from tidemark.session import before, moment, seconds_between
 from tidemark.sources.scans import since
 
@@ -92,28 +92,42 @@ def validate(
     null_window: str = "1 hour",
     jump_window: str = "2 hours",
     threshold: float = 0.5,
+    key: str = "symbol",
+    time: str = "timestamp",
 ) -> DataFrame:
-    """One row: stale series, missing values and jumps."""
-    one = F.lit(1).cast("bigint")
-    nothing = F.lit(0).cast("bigint")
-    checks = _union(
-        [
-            stale(df, as_of, stale_after).select(
-                one.alias("stale"), nothing.alias("missing"), nothing.alias("jump")
-            ),
-            null_count(df, col, as_of, null_window).select(
-                nothing.alias("stale"), F.col("null_count").alias("missing"),
-                nothing.alias("jump"),
-            ),
-            jumps(df, col, threshold, as_of, jump_window).select(
-                nothing.alias("stale"), nothing.alias("missing"), one.alias("jump")
-            ),
-        ]
-    )
-    return checks.agg(
-        F.coalesce(F.sum("stale"), F.lit(0)).alias("stale_data_count"),
-        F.coalesce(F.sum("missing"), F.lit(0)).alias("null_price_count"),
-        F.coalesce(F.sum("jump"), F.lit(0)).alias("outlier_count"),
+    """One row: stale series, missing values and jumps, from one scan.
+
+    Rows meet by series and day: a day gives its newest time, its missing values, the
+    jumps inside it, and its first and last value, and days are then compared with
+    the day before. So the scan is shuffled once, and no task holds a series.
+    """
+    recent = F.col(time) > before(as_of, jump_window)
+    w = f"PARTITION BY `{key}`, _day ORDER BY `{time}`"
+    rows = df.select(key, time, col, bucket_of(time).alias("_day"))
+    rows = rows.withColumn("_value", F.when(recent, F.col(col))).withColumn(
+        "_prev", F.expr(f"lag(_value) OVER ({w})")
+    )
+    jumped = F.abs((F.col("_value") - F.col("_prev")) / F.nullif("_prev", F.lit(0.0))) > threshold
+    since = F.when(recent, F.col(time))
+    days = rows.groupBy(key, "_day").agg(
+        F.max(time).alias("_newest"),
+        F.count_if(F.col(col).isNull() & (F.col(time) > before(as_of, null_window))).alias("_missing"),
+        F.count_if(jumped).alias("_jumps"),
+        F.min_by("_value", since).alias("_first"),
+        F.max_by("_value", since).alias("_last"),
+    )
+    # a day without recent rows has no last value, and the days before it neither
+    days = days.withColumn("_before", F.expr(f"lag(_last) OVER (PARTITION BY `{key}` ORDER BY _day)"))
+    across = F.abs((F.col("_first") - F.col("_before")) / F.nullif("_before", F.lit(0.0))) > threshold
+    series = days.groupBy(key).agg(
+        F.max("_newest").alias("_newest"),
+        F.sum("_missing").alias("_missing"),
+        (F.sum("_jumps") + F.count_if(across)).alias("_jumps"),
+    )
+    return series.agg(
+        F.count_if(F.col("_newest") < before(as_of, stale_after)).alias("stale_data_count"),
+        F.coalesce(F.sum("_missing"), F.lit(0)).alias("null_price_count"),
+        F.coalesce(F.sum("_jumps"), F.lit(0)).alias("outlier_count"),
     ).withColumn("validation_timestamp", moment(as_of))
 
 
