@@ -92,6 +92,10 @@ def save_models(models: Trained, path: str, run) -> None:
     if trees:
         saved, _ = pack_trees(spark, trees, f"{path}/trees/{of}")
         entries.append(saved.select("symbol", "artifact", "folder"))
+    elif models.nodes is not None:  # grown as tables, so there are no objects to save
+        models.nodes.write.mode("overwrite").parquet(f"{path}/trees/{of}/packed")
+        kept = spark.read.parquet(f"{path}/trees/{of}/packed")
+        entries.append(kept.select("symbol", "artifact", F.lit(None).cast("string").alias("folder")))
     registry = entries[0]
     for part in entries[1:]:
         registry = registry.unionByName(part)
@@ -120,7 +124,8 @@ def load_models(
 ) -> Trained:
     """The models of the given symbols as they held at ``as_of`` (None: the newest).
 
-    Trees come packed for scoring, and with ``objects`` as models too.
+    Trees come packed for scoring, and with ``objects`` as models too, where the run
+    was fitted as such.
     """
     held = resolve(load_registry(spark, path), as_of).where(F.col("symbol").isin(*symbols))
     # one row for each run in use, symbol and artifact; folders prune the reads
@@ -143,7 +148,8 @@ def load_models(
     nodes = packed[0].unionByName(packed[1]) if len(packed) == 2 else packed[0] if packed else None
     loaded: dict[str, dict[str, object]] = {name: {} for name in LOADERS}
     if objects:
-        for row in held.where(F.col("artifact").isin(*LOADERS)).toLocalIterator():
+        saved = F.col("artifact").isin(*LOADERS) & F.col("folder").isNotNull()
+        for row in held.where(saved).toLocalIterator():
             loaded[row["artifact"]][row["symbol"]] = LOADERS[row["artifact"]](row["folder"])
     tables = {name: at(artifact, artifact) for artifact, name in TABLES.items()}
     return Trained(**tables, nodes=nodes, **loaded)

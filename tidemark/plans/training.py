@@ -10,6 +10,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.growing import bin_rows, grow_boosting, grow_forest, pack_grown
 from tidemark.operators.linear import fit_logistic, fit_ridge, predict_linear, predict_logistic
 from tidemark.operators.metrics import clf_metrics, melt_metrics, reg_metrics
 from tidemark.operators.prepare import (
@@ -111,6 +112,30 @@ def fit_boosting(train: DataFrame, symbols: Sequence[str], **settings) -> dict[s
     return fit_per_symbol(boosting(**settings), train, symbols)
 
 
+def grow_together(
+    train: DataFrame,
+    table: str,
+    forest_settings: Mapping[str, object] | None = None,
+    boosting_settings: Mapping[str, object] | None = None,
+    cols: Sequence[str] = MODEL_INPUTS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Forests and boosting of all symbols in jobs that do not grow with the symbols.
+
+    Returns the packed ensembles for scoring and the nodes of either kind, all
+    stored below ``table``. Settings are those of ``growing.grow_forest`` and
+    ``growing.grow_boosting``.
+    """
+    binned = bin_rows(train, f"{table}/binned", cols)
+    trees = grow_forest(binned, f"{table}/random_forest", **(forest_settings or {}))
+    rounds = grow_boosting(binned, f"{table}/gradient_boosting", **(boosting_settings or {}))
+    rate = (boosting_settings or {}).get("rate", 0.1)
+    packed = pack_grown(trees, binned, "random_forest").unionByName(
+        pack_grown(rounds, binned, "gradient_boosting", margins=True, rate=rate)
+    )
+    packed.write.mode("overwrite").parquet(f"{table}/packed")
+    return train.sparkSession.read.parquet(f"{table}/packed"), trees, rounds
+
+
 def importance(
     models: Mapping[str, object], spark: SparkSession, cols: Sequence[str] = MODEL_INPUTS
 ) -> DataFrame:
@@ -130,11 +155,14 @@ def train(
     table: str,
     forest_settings: Mapping[str, object] | None = None,
     boosting_settings: Mapping[str, object] | None = None,
+    together: bool = False,
 ) -> tuple[Trained, DataFrame]:
     """Fit the four models of each symbol; returns them and validation metrics.
 
     The prepared rows are written to ``table`` once, partitioned by symbol, and
-    every fit reads that table.
+    every fit reads that table. With ``together`` the trees of all symbols are
+    grown in the same jobs, which suits many symbols; else each symbol's ensembles
+    are fitted by jobs of their own and kept as model objects too.
     """
     spark = features.sparkSession
     rows, scaler = prepare_training(features, as_of, table)
@@ -148,9 +176,13 @@ def train(
         scaler,
         spark.read.parquet(f"{table}/ridge"),
         spark.read.parquet(f"{table}/logistic"),
-        random_forest=fit_forest(fitting, symbols, **(forest_settings or {})),
-        gradient_boosting=fit_boosting(fitting, symbols, **(boosting_settings or {})),
     )
+    if together:
+        mine = fitting.where(F.col("symbol").isin(*symbols))
+        models.nodes, _, _ = grow_together(mine, f"{table}/grown", forest_settings, boosting_settings)
+    else:
+        models.random_forest = fit_forest(fitting, symbols, **(forest_settings or {}))
+        models.gradient_boosting = fit_boosting(fitting, symbols, **(boosting_settings or {}))
     trees = {name: by_symbol for name, by_symbol in models.trees().items() if by_symbol}
     if trees:
         _, models.nodes = pack_trees(spark, trees, f"{table}/trees")
