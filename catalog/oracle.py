@@ -676,6 +676,12 @@ SQL: dict[str, str] = {
     # one newest row a symbol, and no score that differs
     "stored_models": sql("SELECT symbol, 0::BIGINT AS gaps, 1::BIGINT AS scored_rows FROM ridge"),
     "scoring_gaps": sql("SELECT symbol, 0::BIGINT AS gaps, 1::BIGINT AS scored_rows FROM ridge"),
+    "grown_checks": sql("""
+        SELECT symbol, count(*)::BIGINT AS train_rows, 0::BIGINT AS forest_gaps, 0::BIGINT AS boosting_gaps
+        FROM parts WHERE split = 'train' GROUP BY 1"""),
+    "grown_importance": sql(f"""
+        SELECT symbol, {len(MODEL_INPUTS)}::BIGINT AS inputs, 1.0::DOUBLE AS total
+        FROM parts WHERE split = 'train' GROUP BY 1"""),
     "classification_metrics": sql(f"""
         SELECT symbol, {rc('accuracy', 'precision', 'recall', 'f1')} FROM clf"""),
     "regression_metrics": sql(f"""

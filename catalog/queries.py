@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from catalog import tables as t
 from catalog.tables import AS_OF
 from tidemark import schema
-from tidemark.operators import asof, linear, merge, metrics, prepare, quality, trees
+from tidemark.operators import asof, growing, linear, merge, metrics, prepare, quality, trees
 from tidemark.operators.ema import ema as exponential
 from tidemark.operators.ema import macd as macd_lines
 from tidemark.operators.series import tail_per_group
@@ -630,6 +630,57 @@ def forest_importance(spark, sf):
     return training.importance(models.random_forest, spark)
 
 
+# Settings of the trees that are grown for all symbols together.
+GROWN_FOREST: dict = {}
+GROWN_BOOSTING: dict = {"rounds": 10}
+_grown: dict = {}
+
+
+def _grown_trees(spark, sf):
+    """Packed ensembles and nodes of all symbols, grown once per application."""
+    place = (spark.sparkContext.applicationId, sf)
+    if place not in _grown:
+        rows = _prepared(spark, sf).where("split = 'train'")
+        _grown[place] = training.grow_together(rows, t.folder(spark, sf, "grown"), GROWN_FOREST, GROWN_BOOSTING)
+    return _grown[place]
+
+
+def grown_checks(spark, sf):
+    """Rows below the first boosting tree's root, and nodes of either kind that do not
+    hold what their parents left them."""
+    _, forest, boosting = _grown_trees(spark, sf)
+    roots = boosting.where("tree = 0 AND node = 1").select("symbol", F.col("n").cast("long").alias("train_rows"))
+    node = ["symbol", "tree", "node"]
+    odd = F.expr("abs(a.n - b.n) > 1e-6 OR abs(a.s - b.s) > 1e-6 OR b.n IS NULL")
+    wrong = [
+        nodes.alias("a").join(growing.leaf_values(nodes).alias("b"), node, "left")
+        .groupBy("symbol").agg(F.count_if(odd).alias(name))
+        for nodes, name in ((forest, "forest_gaps"), (boosting, "boosting_gaps"))
+    ]
+    return roots.join(wrong[0], "symbol").join(wrong[1], "symbol")
+
+
+def grown_importance(spark, sf):
+    """Inputs and the sum of their importance in the forests, which is one."""
+    found = growing.grown_importance(_grown_trees(spark, sf)[1])
+    total = F.round(F.sum("importance"), 6)
+    return found.groupBy("symbol").agg(F.count("*").alias("inputs"), total.alias("total"))
+
+
+def grown_metrics(spark, sf):
+    """Validation metrics of the trees that were grown together."""
+    packed = _grown_trees(spark, sf)[0]
+    held = _prepared(spark, sf).where("split = 'validation'")
+    names = {"random_forest": "random_forest", "gradient_boosting": "gradient_boosting"}
+    scored = trees.score_trees(held, packed, names, parts=training.SCORE_PARTS)
+    parts = []
+    for name in names:
+        measured = metrics.clf_metrics(scored, ["symbol"], schema.DIRECTION_TARGET, f"{name}_prediction")
+        named = measured.withColumn("model_name", F.lit(name))
+        parts.append(metrics.melt_metrics(named, ["symbol", "model_name"], training.CLF_METRICS))
+    return parts[0].unionByName(parts[1])
+
+
 _SCORES = [f"{p}_{c}" for p in ("rf", "gb") for c in ("prediction", "confidence", "prob_up", "prob_down")]
 
 
@@ -1006,6 +1057,7 @@ QUERIES = [
     ridge_two_inputs, ridge_model, ridge_slopes, logistic_model, logistic_slopes, classification_metrics, regression_metrics,
     melted_metrics, latest_run, latest_run_strict, best_model, trained_metrics,
     forest_importance, importance_sums, stored_models, scoring_gaps,
+    grown_checks, grown_importance, grown_metrics,
     missing_models, latest_features, filled_features, latest_scaled, predicted_prices,
     live_predictions, ensemble_signals, recent_accuracy, prediction_report, signal_counts,
     active_test, variants, ab_predictions, outcome_by_feature, outcome_among_many, ab_metrics,

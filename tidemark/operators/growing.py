@@ -86,9 +86,10 @@ def bin_rows(
     named = [f"x{i}" for i in range(len(cols))]
     given = rows.where(F.col("symbol").isNotNull() & F.col(label).isNotNull()).select(
         "symbol",
-        F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("key"),
         F.col(label).cast("double").alias("label"),
         *[F.col(c).cast("double").alias(n) for c, n in zip(cols, named, strict=True)],
+        # last: the planner keeps a variant of it for each alias that follows
+        F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("key"),
     )
     places = [i / BINS for i in range(1, BINS)]
     number = [F.when(~F.isnan(n), F.col(n)) for n in named]
