@@ -36,13 +36,10 @@ def op1_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 OP1_SQL = """
 WITH RECURSIVE counts AS (
   SELECT source, count(*) AS n FROM documents GROUP BY source
-), weighed AS (
-  SELECT source, n, CAST(round(sqrt(n) * 1000000) AS BIGINT) AS w FROM counts
 ), shared AS (
-  SELECT source, n,
-    greatest(1, CAST((2 * w * 1000 + sum(w) OVER ()) // (2 * sum(w) OVER ()) AS BIGINT)) AS a,
+  SELECT source, n, CAST(round(sqrt(n)) AS BIGINT) AS a,
     row_number() OVER (ORDER BY source NULLS FIRST) AS place
-  FROM weighed
+  FROM counts
 ), period AS (
   SELECT CAST(sum(a) AS BIGINT) AS q, list(a ORDER BY place) AS a FROM shared
 ), steps AS (
