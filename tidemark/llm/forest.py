@@ -7,7 +7,8 @@ region depends on how many documents share it, so a region stays small; what not
 even the full depth can part is cut into blocks, each tied to the region's first
 document. Candidates whose signatures agree too little are dropped by an estimate
 more than four deviations below the threshold; the rest is confirmed on full
-shingle sets. Documents with equal sets form a class that is compared once.
+shingle sets, built where both texts of a pair meet. Documents with equal sets form a
+class that is compared once.
 
 Candidates inside a component that earlier links have joined already are not
 compared again, as they cannot change it.
@@ -17,7 +18,9 @@ classes finds the rest, so that no result depends on windows, regions or blocks.
 Classes that are alike enough share a shingle among the first quarter of each, in an
 order that is the same for all (prefix filter). Shingles go from rare to common by a
 sample; the sample bears on the cost alone. Lists of a shingle whose classes are one
-component are done. In the others each class meets the most linked class of the list,
+component are done: a first pass over (shingle, component) alone finds the others and
+marks them in a bitmap of fixed size, so that only what it lets pass travels with its
+place, size and class. In these lists each class meets the most linked class of the list,
 then whatever is still in another component and passes the length and positional
 filters. The lists of common shingles are dealt to as many tasks as they need.
 
@@ -35,21 +38,24 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.stage import store
+from tidemark.llm.stage import discard, store
 from tidemark.llm.text import shingle_set
 
 TREES, DEPTH, WINDOW = 16, 8, 8
 HASHES = TREES * DEPTH
 LEAST_AGREEING = 74  # of 128; a pair at 0.75 falls below with a chance near 1e-5
+SURE = 108  # of 128; almost certainly alike
 REGION = 4096
-DEPTHS = (1, 4, DEPTH)  # prefixes that bound a region, as it grows
+DEPTHS = (2, 4, DEPTH)  # prefixes that bound a region, as it grows
 WORDS, PERCENT = 5, 75
-SLOTS = 1 << 23
-SAMPLE, COMMON = 1 << 15, 4  # classes whose shingles are counted, and counts that matter
+SLOTS, SHINGLE_SLOTS = 1 << 23, 1 << 25  # bits of the two bitmaps
+SAMPLE, COMMON = 1 << 13, 2  # classes whose shingles are counted, and counts that matter
+MOST_COMMON = 1 << 20  # shingles whose counts are handed to all tasks
 LIST = 4096  # members of a shingle's list that one task meets with all others
 
 _MULTIPLIERS = (
@@ -73,31 +79,34 @@ def signature(shingles: np.ndarray, piece: int = 1024) -> np.ndarray:
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Set size, digest of the set and signature of each document.
 
-    ``sig`` holds the labels of the trees one after another, in the byte order in
-    which they sort.
+    ``sig`` holds the labels of the trees one after another, the low 16 bits of each
+    hash in the byte order in which they sort; ``brief`` the low 8 bits, for estimates.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, sigs = [], [], []
+            sizes, digests, sigs, briefs = [], [], [], []
             for value in batch.column(1).cast(pa.large_binary()):
                 found = shingle_set(value.as_py() or b"", WORDS)
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                sigs.append(signature(found).astype(">u4").tobytes() if len(found) else b"")
+                least = signature(found) if len(found) else np.zeros(0, np.uint32)
+                sigs.append(least.astype(np.uint16).astype(">u2").tobytes())
+                briefs.append(least.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(sigs, pa.binary()),
+                    pa.array(briefs, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "digest", "sig"],
+                ["doc_id", "n_shingles", "digest", "sig", "brief"],
             )
 
     return docs.selectExpr(f"`{doc_id}` AS doc_id", f"`{text}` AS text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles bigint, digest binary, sig binary"
+        run, f"doc_id {kind}, n_shingles bigint, digest binary, sig binary, brief binary"
     )
 
 
@@ -115,35 +124,34 @@ def _counted(rows: DataFrame, prefix: Column) -> DataFrame:
 def _regions(classes: DataFrame) -> DataFrame:
     """A row for each document and tree in which it has company, with its region.
 
-    Most documents are alone with even the first hash of a tree, so signatures are
-    fetched only for those that are not.
+    Most documents are alone with even the first hashes of a tree, so labels and what
+    estimates need are fetched only for those that are not.
     """
-    label = F.expr(f"substring(sig, tree * {4 * DEPTH} + 1, {4 * DEPTH})")
+    label = F.expr(f"substring(sig, tree * {2 * DEPTH} + 1, {2 * DEPTH})")
     trees = classes.select(
         "rep", "sig", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
     )
-    alone = trees.select("tree", "rep", F.substring(label, 1, 4 * DEPTHS[0]).alias("start"))
+    alone = trees.select("tree", "rep", F.substring(label, 1, 2 * DEPTHS[0]).alias("start"))
     held = _counted(alone, F.col("start")).drop("start")
-    signatures = classes.select(F.col("rep").alias("own"), "sig")
-    held = held.join(signatures, F.col("rep") == F.col("own")).drop("own")
-    held = held.withColumn("label", label)
+    signatures = classes.select(F.col("rep").alias("own"), "sig", "brief")
+    held = held.join(signatures, F.col("rep") == F.col("own")).withColumn("label", label)
+    held = held.drop("own", "sig")
     whole = held.where(F.col("size") <= REGION)
     for depth in DEPTHS[1:]:
         rest = held.where(F.col("size") > REGION).drop("size", "first", "region")
-        held = _counted(rest, F.substring("label", 1, 4 * depth))
+        held = _counted(rest, F.substring("label", 1, 2 * depth))
         done = held if depth == DEPTHS[-1] else held.where(F.col("size") <= REGION)
         whole = whole.unionByName(done)
     block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / REGION).cast("long"))
     return whole.select(
-        "tree", "region", block.alias("block"), "label", "rep", "sig", "size", "first"
+        "tree", "region", block.alias("block"), "label", "rep", "brief", "size", "first"
     )
 
 
 def candidates(classes: DataFrame) -> DataFrame:
     """Pairs ``a`` < ``b`` with their agreement, from neighbours in all trees."""
-    regions = _regions(classes.select("rep", "sig"))
     ordered = (
-        regions.select("tree", "region", "block", "label", "rep", "sig", "size", "first")
+        _regions(classes)
         .repartition("tree", "region", "block")
         .sortWithinPartitions("tree", "region", "block", "label", "rep")
     )
@@ -160,7 +168,7 @@ def candidates(classes: DataFrame) -> DataFrame:
             change |= (tree[1:] != tree[:-1]) | (block[1:] != block[:-1])
             group = np.concatenate([[0], np.cumsum(change)])
             rep = batch.column(4).to_numpy(zero_copy_only=False)
-            sig = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint32).reshape(-1, HASHES)
+            sig = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint8).reshape(-1, HASHES)
             mark = (int(tree[0]), region[0], int(block[0]))
             last = (int(tree[-1]), region[-1], int(block[-1]))
             fresh = 0
@@ -200,13 +208,13 @@ def _slot(name: str) -> Column:
     return F.xxhash64(name).bitwiseAND(F.lit(SLOTS - 1)).alias("slot")
 
 
-def _bitmap(slots: DataFrame) -> np.ndarray:
-    """The slots in use, 64 to a number: a megabyte, however many there are."""
+def _bitmap(slots: DataFrame, size: int) -> np.ndarray:
+    """The slots in use, 64 to a number: ``size`` bits, however many there are."""
     words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits")
     )
     found = words.toArrow()
-    out = np.zeros(SLOTS // 64, np.int64)
+    out = np.zeros(size // 64, np.int64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return out
 
@@ -214,43 +222,45 @@ def _bitmap(slots: DataFrame) -> np.ndarray:
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose full shingle sets are alike enough.
 
-    ``docs`` has ``rep`` and ``text``. Texts are not shuffled: each task builds the
-    sets of the documents that a bitmap of the hashes of all ids in pairs lets pass,
-    and an exact join leaves out those that pass by chance.
+    ``docs`` has ``rep`` and ``text``. Only texts travel whose id passes a bitmap of the
+    hashes of all ids in pairs; the joins leave out those that pass by chance. Texts
+    shrink on their way, which sets of hashes do not, so sets are built at the end of it.
     """
     ends = [pairs.select(F.col(side).alias("need")).distinct() for side in ("a", "b")]
-    needed = ends[0].unionByName(ends[1]).distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(needed.select(_slot("need"))))
+    needed = _bitmap(ends[0].unionByName(ends[1]).select(_slot("need")), SLOTS)
+    bits = docs.sparkSession.sparkContext.broadcast(needed)
 
-    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def wanted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slot = batch.column(2).to_numpy(zero_copy_only=False)
-            batch = batch.filter(pa.array((bits.value[slot >> 6] >> (slot & 63)) & 1 == 1))
-            texts = batch.column(1).cast(pa.large_binary())
-            sets = [shingle_set(t.as_py() or b"", WORDS).tobytes() for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.binary())], ["rep", "shingles"]
-            )
+            here = pa.array((bits.value[slot >> 6] >> (slot & 63)) & 1 == 1)
+            yield batch.select(["rep", "text"]).filter(here)
 
-    built = (
+    texts = (
         docs.where("rep IS NOT NULL")
-        .select("rep", "text", _slot("rep"))
-        .mapInArrow(build, "rep bigint, shingles binary")
+        .select(F.col("rep").cast("long"), F.col("text").cast("binary"), _slot("rep"))
+        .mapInArrow(wanted, "rep bigint, text binary")
     )
-    sets = store(built.join(needed, F.col("rep") == F.col("need"), "left_semi"), "sets")
     met = (
         pairs.select("a", "b")
-        .join(sets.select(F.col("rep").alias("ra"), F.col("shingles").alias("sa")), F.col("a") == F.col("ra"))
-        .join(sets.select(F.col("rep").alias("rb"), F.col("shingles").alias("sb")), F.col("b") == F.col("rb"))
-        .select("a", "b", "sa", "sb")
+        .join(texts.select(F.col("rep").alias("ra"), F.col("text").alias("ta")), F.col("a") == F.col("ra"))
+        .join(texts.select(F.col("rep").alias("rb"), F.col("text").alias("tb")), F.col("b") == F.col("rb"))
+        .select("a", "b", "ta", "tb")
     )
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: list[tuple[bytes, np.ndarray]] = [(b"", shingle_set(b"", WORDS))] * 2
+
+        def built(side: int, value: pa.Scalar) -> np.ndarray:
+            text = value.as_py() or b""
+            if text != last[side][0]:  # the join leaves rows of one end together
+                last[side] = (text, shingle_set(text, WORDS))
+            return last[side][1]
+
         for batch in batches:
             keep = []
             for left, right in zip(batch.column(2), batch.column(3), strict=True):
-                x = np.frombuffer(left.as_buffer(), np.uint64)
-                y = np.frombuffer(right.as_buffer(), np.uint64)
+                x, y = built(0, left), built(1, right)
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -277,19 +287,23 @@ def _common(texts: DataFrame, total: int) -> np.ndarray:
         .groupBy("shingle")
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= COMMON)
+        .orderBy(F.desc("n"), "shingle")
+        .limit(MOST_COMMON)
     ).toArrow()
     found = np.stack([counted["shingle"].to_numpy(), counted["n"].to_numpy()])
     return found[:, np.argsort(found[0])]
 
 
-def prefixes(texts: DataFrame, total: int) -> DataFrame:
-    """Set size of each text and the shingles that the prefix filter asks for."""
-    common = texts.sparkSession.sparkContext.broadcast(_common(texts, total))
+def prefixes(texts: DataFrame, common: Broadcast, marked: Broadcast | None = None) -> DataFrame:
+    """Set size of each text and the shingles that the prefix filter asks for, with places.
+
+    With a bitmap ``marked`` only those whose slot is in it.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts = common.value
         for batch in batches:
-            sizes, firsts = [], []
+            sizes, firsts, places = [], [], []
             for value in batch.column(1).cast(pa.large_binary()):
                 found = shingle_set(value.as_py() or b"", WORDS).view(np.int64)
                 level = np.zeros(len(found), np.int64)
@@ -298,16 +312,40 @@ def prefixes(texts: DataFrame, total: int) -> DataFrame:
                     level = np.where(names[at] == found, counts[at], 0)
                 least = -(-PERCENT * len(found) // 100)
                 first = found[np.lexsort((found, level))][: len(found) - least + 1]
+                place = np.arange(len(first), dtype=np.int32)
+                if marked:
+                    slot = first & (SHINGLE_SLOTS - 1)
+                    here = (marked.value[slot >> 6] >> (slot & 63)) & 1 == 1
+                    first, place = first[here], place[here]
                 sizes.append(len(found))
                 firsts.append(first if len(found) else found)
-            ends = np.cumsum([0] + [len(x) for x in firsts]).astype(np.int32)
-            joined = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(joined))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), lists], ["rep", "n", "first"]
+                places.append(place if len(found) else place[:0])
+            ends = pa.array(np.cumsum([0] + [len(x) for x in firsts]).astype(np.int32))
+            lists = [
+                pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, kind), *found])))
+                for kind, found in ((np.int64, firsts), (np.int32, places))
+            ]
+            out = pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), *lists], ["rep", "n", "first", "place"]
             )
+            yield out.filter(pa.array(np.diff(ends.to_numpy()) > 0))
 
-    return texts.select("rep", "text").mapInArrow(run, "rep bigint, n bigint, first array<bigint>")
+    return texts.select(F.col("rep").cast("long"), "text").mapInArrow(
+        run, "rep bigint, n bigint, first array<bigint>, place array<int>"
+    )
+
+
+def _marked(firsts: DataFrame, parts: DataFrame) -> np.ndarray:
+    """Bitmap of the shingles that several components hold among their first."""
+    placed = firsts.join(parts, F.col("rep") == F.col("own"))
+    several = (
+        placed.select("part", F.explode("first").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("part").alias("p"), F.max("part").alias("q"))
+        .where("p <> q")
+    )
+    slot = F.col("shingle").bitwiseAND(F.lit(SHINGLE_SLOTS - 1)).alias("slot")
+    return _bitmap(several.select(slot), SHINGLE_SLOTS)
 
 
 def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
@@ -316,8 +354,8 @@ def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
     placed = posts.join(parts, F.col("rep") == F.col("own")).drop("own")
     if "first" in posts.columns:
         placed = placed.select(
-            "rep", "n", "part", "degree", F.posexplode("first").alias("at", "shingle")
-        )
+            "rep", "n", "part", "degree", F.explode(F.arrays_zip("first", "place")).alias("x")
+        ).select("rep", "n", "part", "degree", F.col("x.first").alias("shingle"), F.col("x.place").alias("at"))
     lists = (
         placed.groupBy(F.col("shingle").alias("s"))
         .agg(
@@ -392,11 +430,13 @@ def _completed(
     classes: DataFrame, texts: DataFrame, links: DataFrame, grouped: DataFrame, met: DataFrame
 ) -> DataFrame:
     """Components after the links that the forest missed; ``met`` was compared before."""
+    share = classes.sparkSession.sparkContext.broadcast
     reps = classes.select(F.col("rep").alias("own")).distinct()
-    total = classes.count()
-    firsts = prefixes(texts.where("rep IS NOT NULL"), total)
-    parts = _parts(reps, links, grouped)
-    rows = store(_open(firsts, parts), "open")
+    known = texts.where("rep IS NOT NULL")
+    parts = store(_parts(reps, links, grouped), "parts")
+    common = share(_common(known, classes.count()))
+    marked = share(_marked(prefixes(known, common), parts))
+    rows = store(_open(prefixes(known, common, marked), parts), "open")
     for step in (_with_hubs, None):
         pairs = (step(rows, parts) if step else _across(rows)).join(met, ["a", "b"], "left_anti")
         pairs = store(pairs, "pairs")
@@ -405,9 +445,11 @@ def _completed(
             grouped = store(components(links), "grouped")
             if step:
                 met = met.unionByName(pairs)
-                parts = _parts(reps, links, grouped)
-                kept = ["rep", "n", "at", "shingle"]
+                parts = store(_parts(reps, links, grouped), "parts")
+                before, kept = rows, ["rep", "n", "at", "shingle"]
                 rows = store(_open(rows.select(*kept), parts), "open")
+                discard(before)
+    discard(rows)
     return grouped
 
 
@@ -417,19 +459,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = store(
         rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")),
+        .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("brief").alias("brief")),
         "classes",
     )
     pairs = store(candidates(classes), "pairs")
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
-    # first the closest neighbour of each document, which joins most of a group
+    # first one neighbour of each document, which joins most of a group: the earliest of
+    # those that are surely alike, else the closest
     both = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("end"))
     other = F.when(F.col("end") == F.col("a"), F.col("b")).otherwise(F.col("a"))
-    best = both.groupBy("end").agg(
-        F.max_by(F.struct("a", "b"), F.struct("agree", -other)).alias("p"),
-        F.min_by(F.struct("a", "b"), F.struct(other, "agree")).alias("q"),
-    )
-    chosen = best.select(F.explode(F.array("p", "q")).alias("p")).select("p.a", "p.b").distinct()
+    sure = F.col("agree") >= SURE
+    rank = F.struct(sure, F.when(sure, F.lit(0)).otherwise(F.col("agree")), -other)
+    best = both.groupBy("end").agg(F.max_by(F.struct("a", "b"), rank).alias("p"))
+    chosen = store(best.select("p.a", "p.b").distinct(), "chosen")
     links = store(confirmed(chosen, texts), "links")
     grouped = store(components(links), "grouped")
     # then what may still join two groups
@@ -448,6 +490,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = store(links.unionByName(confirmed(open_pairs, texts)), "links")
         grouped = store(components(links), "grouped")
     grouped = _completed(classes, texts, links, grouped, pairs.select("a", "b"))
+    discard(pairs, chosen, open_pairs)
     members = classes.select(F.col("digest").alias("d"), "rep")
     placed = rows.select("doc_id", "n_shingles", "digest").join(
         members, (F.col("digest") == F.col("d")) & F.col("doc_id").isNotNull(), "left"

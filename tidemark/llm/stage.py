@@ -18,4 +18,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables; what was made of them has to be stored by then."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
