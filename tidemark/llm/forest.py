@@ -22,7 +22,8 @@ component are done: a first pass over (shingle, component) alone finds the other
 marks them in a bitmap of fixed size, so that only what it lets pass travels with its
 place, size and class. In these lists each class meets the most linked class of the list,
 then whatever is still in another component and passes the length and positional
-filters. The lists of common shingles are dealt to as many tasks as they need.
+filters; of these pairs, those whose signatures agree so little that a link is out of
+the question (a chance near 1e-12) are not compared in full. The lists of common shingles are dealt to as many tasks as they need.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing;
 a text of fewer than five words is one shingle; a row with a null id gets its size
@@ -54,7 +55,8 @@ REGION = 4096
 DEPTHS = (2, 4, DEPTH)  # prefixes that bound a region, as it grows
 WORDS, PERCENT = 5, 75
 SLOTS, SHINGLE_SLOTS = 1 << 23, 1 << 25  # bits of the two bitmaps
-SAMPLE, COMMON = 1 << 13, 2  # classes whose shingles are counted, and counts that matter
+EVER = 56  # of 128; a pair at 0.75 falls below with a chance near 1e-12
+EVERY, COMMON = 8, 2  # one text in so many has its shingles counted, and counts that matter
 MOST_COMMON = 1 << 20  # shingles whose counts are handed to all tasks
 LIST = 4096  # members of a shingle's list that one task meets with all others
 
@@ -268,9 +270,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return met.mapInArrow(check, "a bigint, b bigint")
 
 
-def _common(texts: DataFrame, total: int) -> np.ndarray:
-    """Shingles that several sampled texts hold, from the least common on, by level."""
-    every = max(1, total // SAMPLE)
+def _common(texts: DataFrame) -> np.ndarray:
+    """Shingles that several sampled texts hold, and how many, in the order of shingles."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,7 +281,7 @@ def _common(texts: DataFrame, total: int) -> np.ndarray:
                     part = found[at : at + 65536].view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(part)], ["shingle"])
 
-    sampled = texts.where(F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(every)) == 0)
+    sampled = texts.where(F.pmod(F.xxhash64("rep", F.lit(7)), F.lit(EVERY)) == 0)
     counted = (
         sampled.select("text")
         .mapInArrow(run, "shingle bigint")
@@ -294,16 +295,13 @@ def _common(texts: DataFrame, total: int) -> np.ndarray:
     return found[:, np.argsort(found[0])]
 
 
-def prefixes(texts: DataFrame, common: Broadcast, marked: Broadcast | None = None) -> DataFrame:
-    """Set size of each text and the shingles that the prefix filter asks for, with places.
-
-    With a bitmap ``marked`` only those whose slot is in it.
-    """
+def prefixes(texts: DataFrame, common: Broadcast) -> DataFrame:
+    """Set size of each text and the shingles that the prefix filter asks for."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts = common.value
         for batch in batches:
-            sizes, firsts, places = [], [], []
+            sizes, firsts = [], [np.zeros(0, np.int64)]
             for value in batch.column(1).cast(pa.large_binary()):
                 found = shingle_set(value.as_py() or b"", WORDS).view(np.int64)
                 level = np.zeros(len(found), np.int64)
@@ -312,29 +310,64 @@ def prefixes(texts: DataFrame, common: Broadcast, marked: Broadcast | None = Non
                     level = np.where(names[at] == found, counts[at], 0)
                 least = -(-PERCENT * len(found) // 100)
                 first = found[np.lexsort((found, level))][: len(found) - least + 1]
-                place = np.arange(len(first), dtype=np.int32)
-                if marked:
-                    slot = first & (SHINGLE_SLOTS - 1)
-                    here = (marked.value[slot >> 6] >> (slot & 63)) & 1 == 1
-                    first, place = first[here], place[here]
                 sizes.append(len(found))
                 firsts.append(first if len(found) else found)
-                places.append(place if len(found) else place[:0])
-            ends = pa.array(np.cumsum([0] + [len(x) for x in firsts]).astype(np.int32))
-            lists = [
-                pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, kind), *found])))
-                for kind, found in ((np.int64, firsts), (np.int32, places))
-            ]
+            ends = np.cumsum([len(x) for x in firsts]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), lists], ["rep", "n", "first"]
+            )
+
+    return texts.select(F.col("rep").cast("long"), "text").mapInArrow(
+        run, "rep bigint, n bigint, first array<bigint>"
+    )
+
+
+def _passing(firsts: DataFrame, marked: Broadcast) -> DataFrame:
+    """What the bitmap lets pass of each list, with its place in the whole list."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            size = lists.value_lengths().to_numpy(zero_copy_only=False)
+            shingle = lists.flatten().to_numpy()
+            place = (np.arange(len(shingle)) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
+            slot = shingle & (SHINGLE_SLOTS - 1)
+            here = (marked.value[slot >> 6] >> (slot & 63)) & 1 == 1
+            before = np.concatenate([[0], np.cumsum(here)])
+            ends = pa.array(before[np.concatenate([[0], np.cumsum(size)])].astype(np.int32))
+            kept = [pa.ListArray.from_arrays(ends, pa.array(x[here])) for x in (shingle, place)]
             out = pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), *lists], ["rep", "n", "first", "place"]
+                [batch.column(0), batch.column(1), *kept], ["rep", "n", "first", "place"]
             )
             yield out.filter(pa.array(np.diff(ends.to_numpy()) > 0))
 
-    return texts.select(F.col("rep").cast("long"), "text").mapInArrow(
+    return firsts.select("rep", "n", "first").mapInArrow(
         run, "rep bigint, n bigint, first array<bigint>, place array<int>"
     )
 
 
+def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree often enough for anything near the threshold."""
+    briefs = classes.select(F.col("rep").alias("own"), "brief")
+    met = (
+        pairs.join(briefs.select(F.col("own").alias("ra"), F.col("brief").alias("sa")), F.col("a") == F.col("ra"))
+        .join(briefs.select(F.col("own").alias("rb"), F.col("brief").alias("sb")), F.col("b") == F.col("rb"))
+        .select("a", "b", "sa", "sb")
+    )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, HASHES)
+                for k in (2, 3)
+            )
+            keep = (x == y).sum(axis=1) >= EVER
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return met.mapInArrow(run, "a bigint, b bigint")
+
+
 def _marked(firsts: DataFrame, parts: DataFrame) -> np.ndarray:
     """Bitmap of the shingles that several components hold among their first."""
     placed = firsts.join(parts, F.col("rep") == F.col("own"))
@@ -434,12 +467,12 @@ def _completed(
     reps = classes.select(F.col("rep").alias("own")).distinct()
     known = texts.where("rep IS NOT NULL")
     parts = store(_parts(reps, links, grouped), "parts")
-    common = share(_common(known, classes.count()))
-    marked = share(_marked(prefixes(known, common), parts))
-    rows = store(_open(prefixes(known, common, marked), parts), "open")
+    firsts = store(prefixes(known, share(_common(known))), "firsts")
+    rows = store(_open(_passing(firsts, share(_marked(firsts, parts))), parts), "open")
+    discard(firsts)
     for step in (_with_hubs, None):
         pairs = (step(rows, parts) if step else _across(rows)).join(met, ["a", "b"], "left_anti")
-        pairs = store(pairs, "pairs")
+        pairs = store(_plausible(pairs, classes), "pairs")
         if pairs.take(1):
             links = store(links.unionByName(confirmed(pairs, texts)), "links")
             grouped = store(components(links), "grouped")
