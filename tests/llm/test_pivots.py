@@ -65,6 +65,17 @@ def test_odd_vectors(spark):
     assert found(spark, []) == []
 
 
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=8).tolist(), 0) for i in range(30)]
+    for at, width, number in ((100, 6, 2), (200, 2, 1), (300, 3, 3), (400, 5, 12)):
+        base = rng.normal(size=width)
+        rows += [(at + k, (base + rng.normal(size=width) * 0.01).tolist(), 0) for k in range(number)]
+    got = found(spark, rows)
+    assert got == sorted(brute(rows))
+    assert [r[1] for r in got if 100 <= r[0] < 400] == [1, 1, 0, 2, 2, 2]
+
+
 def test_recall_on_the_table(table):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in table("embeddings").collect()]
     out = pivots.near_duplicates(table("embeddings"))

@@ -14,8 +14,8 @@ spanning forest instead of pairs.
 
 Defined cases: vectors of one value and label form a class, which is compared once;
 vectors that are null, empty, zero, or hold null or non-finite components, and
-those without label, link with nothing; vectors of other length than the pivots
-link only with equal ones. A row with a null id is returned without links. Scaled
+those without label, link with nothing; vectors of each length have an index of their
+own, as vectors of different lengths have no cosine. A row with a null id is returned without links. Scaled
 copies count as near. An empty table gives an empty result.
 """
 
@@ -104,7 +104,7 @@ def _compare(batch_rows: dict, threshold: float) -> tuple[list, list]:
         rank = np.where(shared & (np.cumsum(shared, axis=1) <= SHARED), near[x], 0)
         key = np.zeros(len(x), np.int64)
         place = np.cumsum(shared, axis=1)
-        for s in range(1, SHARED + 1):
+        for s in range(1, min(SHARED, near.shape[1]) + 1):
             here = shared & (place == s)
             key = key * MOST_PIVOTS + np.where(here, rank, 0).sum(axis=1)
         counted = key == batch_rows["key"]
@@ -134,15 +134,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
         "vec_id", "label", F.col("embedding").cast("array<double>").alias("v")
     )
     classes = store(_classes(rows), "classes")
-    size = classes.count()
-    width = classes.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").first()
+    # one row for each length in use
+    lengths = classes.groupBy(F.size("v").alias("w")).agg(F.count("*").alias("n")).where("n > 1")
     ids = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
     members = ids.join(
         classes.select(F.col("label").alias("l"), F.col("v").alias("w"), "rep", "n"),
         (F.col("label") == F.col("l")) & (F.col("v") == F.col("w")) & F.col("vec_id").isNotNull(),
         "left",
     ).select("vec_id", "rep", "n")
-    found = _links(classes, size, width["w"], threshold) if width else None
+    found = None
+    for row in lengths.orderBy("w").collect():
+        links = _links(classes, row["n"], row["w"], threshold)
+        found = found.unionByName(links) if found else links
     if found is None:
         counts = classes.select("rep", F.lit(0).cast("long").alias("others")).limit(0)
         groups = classes.select(F.col("rep").alias("id"), F.col("rep").alias("component")).limit(0)
@@ -166,7 +169,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
 
 
 def _links(classes: DataFrame, size: int, width: int, threshold: float) -> DataFrame:
-    """Link counts (``root`` null) and links to a lower member, by class."""
+    """Link counts (``root`` null) and links to a lower member, by class of one length."""
     number = pivot_number(size)
     usual = classes.where(F.size("v") == width)
     drawn = usual.orderBy(F.xxhash64("rep"), "rep").limit(number).toArrow()
