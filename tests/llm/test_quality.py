@@ -34,6 +34,19 @@ def test_a_poor_stretch_anywhere_decides():
     assert good > 0.5 > bad
 
 
+def test_learns_from_a_stretch_anywhere_in_long_texts():
+    rng = np.random.default_rng(2)
+    words = ["the", "river", "runs", "by", "stone."]
+    texts, labels = [], []
+    for k in range(120):
+        text = " ".join(rng.choice(words, 2000)).encode()
+        at = int(rng.integers(0, len(text)))
+        texts.append(text[:at] + b" ### $$$ %%% ###" * 6 + text[at:] if k % 2 else text)
+        labels.append(1 - k % 2)
+    net = quality.fit(texts[:80], np.array(labels[:80], np.float32), 0.0)
+    assert ((net.score(texts[80:]) > 0.5) == np.array(labels[80:], bool)).all()
+
+
 def test_odd_rows_and_labels(spark, docs):
     frame = docs([None, "", "x", "y" * 5000, "same", "same"], ids=[None, 1, 2, 3, 4, 4])
     kinds = "doc_id long, quality int, toxic int"

@@ -7,8 +7,9 @@ of poor quality. The strongest chunk decides for the document, and the share of
 good labels in training sets the prior.
 
 Fitting uses a bounded sample (``ROWS`` labelled rows of each class, picked by the
-hash of their id, and up to ``FIT_CHUNKS`` evenly spaced chunks of each); scoring
-covers every byte of every text and is a map over the rows without any shuffle.
+hash of their id) and all chunks of these; the strongest is found by a full forward
+pass in every step. Scoring covers every byte of every text and is a map over the rows
+without any shuffle.
 
 Defined cases: null or empty texts are scored as one empty chunk; null labels are
 left out, and of several labels of a document the lowest counts; without labels of
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK, STEP, WIDTH, FILTERS, HIDDEN = 512, 448, 5, 24, 16
-ROWS, FIT_CHUNKS, STEPS, BATCH, RATE = 1200, 8, 400, 64, 0.02
+ROWS, STEPS, BATCH, RATE = 1200, 400, 64, 0.02
 THRESHOLD = 0.3
 
 
@@ -122,10 +123,7 @@ def fit(texts: list[bytes], labels: np.ndarray, prior: float) -> Network:
     """Train on texts with labels 1 (good) and 0, by Adam on the log loss."""
     net = Network.start(prior)
     rng = np.random.default_rng(11)
-    data = []
-    for text in texts:
-        cut = chunks(text)
-        data.append(cut[np.unique(np.linspace(0, len(cut) - 1, FIT_CHUNKS).astype(int))])
+    data = [chunks(text) for text in texts]
     poor = 1 - labels.astype(np.float32)
     names = ("table", "w1", "b1", "w2", "b2")
     first = {k: np.zeros_like(getattr(net, k)) for k in names}
@@ -197,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Network:
     sample = (
         docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(picked), "doc_id")
-        .select("doc_id", "quality", F.xxhash64("text").alias("h"), _spread("text").alias("text"))
+        .select("doc_id", "quality", F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("text"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "h")
         .limit(2 * rows)
         .toArrow()
@@ -211,17 +209,6 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Network:
     return fit(texts, truth, float(np.log(good / bad)))
 
 
-def _spread(text: str) -> Column:
-    """Up to FIT_CHUNKS evenly spaced stretches of a text, as fitting uses them."""
-    data = F.col(text).cast("binary")
-    size, most = F.octet_length(data), CHUNK * FIT_CHUNKS
-    pieces = [
-        F.substring(data, F.floor((size - CHUNK) * i / (FIT_CHUNKS - 1)).cast("int") + 1, F.lit(CHUNK))
-        for i in range(FIT_CHUNKS)
-    ]
-    return F.when(size <= most, data).otherwise(F.concat(*pieces))
-
-
 def classify(
     docs: DataFrame, net: Network, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
