@@ -236,6 +236,24 @@ def test_language_model_odd_rows(docs):
     assert only["train_tokens"] == 0 and only["score"] <= 0 and only["base_score"] == 0
 
 
+@pytest.mark.parametrize("bucket", [8 << 20, 4_000])
+def test_every_word_has_its_own_followers(docs, monkeypatch, bucket):
+    """Words below the share of frequent ones are told apart as contexts."""
+    monkeypatch.setattr(pitman_yor, "SHARE", 0.01)
+    monkeypatch.setattr(pitman_yor, "BUCKET_CHARS", bucket)
+    held = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    fit = [i for i in range(9000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    pairs = [(f"a{i}", f"b{i}") for i in range(700)]
+    known = [f"{a} {b}" for a, b in pairs * 3]
+    asked = known[:300] + [f"{pairs[i][0]} {pairs[i + 1][1]}" for i in range(300)]
+    frame = docs(known + asked, ids=fit[: len(known)] + held[: len(asked)])
+    got = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(frame).collect()}
+    scores = [got[i] for i in held[: len(asked)]]
+    gaps = [x - y for x, y in zip(scores[:300], scores[300:], strict=True)]
+    # the follower has (3 - d) / 4 of its own, the other word a share of what is left
+    assert min(gaps) > 2.2, sorted(gaps)[:5]
+
+
 def test_seating_stays_within_bounds():
     rng = np.random.default_rng(1)
     customers = np.array([0, 1, 2, 50, 10**6])

@@ -2,21 +2,24 @@
 
 Every word is drawn from the restaurant of the word before it. All restaurants
 share a parent, whose customers are their tables; the parent's own base is uniform
-over the known words and one unknown. Words with at least ``SHARE`` of all training
-tokens have a restaurant of their own, of which there can be 1 / SHARE; the others
-share ``RARE_CONTEXTS`` restaurants by their hash, whatever the size of the corpus.
+over the known words and one unknown. Totals of the restaurants of frequent words
+(at least ``SHARE`` of all training tokens, so there are 1 / SHARE at most) are known
+to every task; those of all other words are exchanged by bucket.
 
 Seating (how many tables serve each word in each restaurant) is sampled by Gibbs
 sweeps: a sweep empties and refills every restaurant given the current parent, then
 the parent given its new customers. Predictive probabilities are averaged over
-``SAMPLES`` sweeps after ``BURN_IN``. Totals of restaurants and of frequent words,
-which many tasks contribute to, are summed over all tasks after each of the first
-``SYNCS`` sweeps and then stay.
-
-Tokens travel once, in compact blocks, to the bucket of their word (for frequent
-words: of the word and its context, so that no word fills a bucket). There pairs are
-counted over all training documents, seated and scored; each bucket returns a sum
-for each document it has seen. Nothing but the totals named above meets in one place.
+``SAMPLES`` sweeps after ``BURN_IN``. Totals of the frequent words and their
+restaurants, which many tasks contribute to, are summed over all tasks after each of
+the first ``SYNCS`` sweeps and then stay. Until the last of these a bucket takes its own
+customers for those of a rarer word's restaurant, which hold all its frequent dishes;
+then each bucket asks the bucket of that word for the restaurant's customers and tables.
+
+Tokens travel in compact blocks to the bucket of their word (for frequent words: of a
+rarer context, or of the word and its frequent context, so that no word fills a
+bucket). There pairs are counted over all training documents, seated and scored; each
+bucket returns a sum for each document it has seen. Nothing but the totals of frequent
+words meets in one place.
 
 Defined cases: a null or empty text is a single end token; a null id counts as an
 empty text in the choice of held-out rows; repeated rows are scored each. Without
@@ -39,11 +42,11 @@ from tidemark.llm.stage import store
 from tidemark.llm.text import mix, word_hashes
 
 SHARE = 1e-4
-RARE_CONTEXTS = 64
 SYNCS, BURN_IN, SAMPLES = 2, 2, 3
+FAR = 0xFFFF  # stands for a context that is not among the frequent words
 STRENGTH = 1.0
 BATCH_TOKENS, BATCH_DOCS = 1_000_000, 60_000
-BUCKET_CHARS = 16 << 20
+BUCKET_CHARS = 8 << 20
 END = np.uint64(0x9D5C_0FB7_11A3_62E9)  # hash of the token that ends a text
 
 _ZSTD = pa.Codec("zstd", compression_level=1)
@@ -187,42 +190,61 @@ def _blocks(batch: Batch, number: int, frequent: np.ndarray, buckets: int) -> li
     words = np.concatenate([batch.words[i] for i in order])
     sizes = np.array([len(batch.words[i]) for i in order])
     docs = np.repeat(np.arange(len(order), dtype=np.uint16), sizes)
-    at = np.minimum(np.searchsorted(frequent, words), max(0, len(frequent) - 1))
-    known = frequent[at] == words if len(frequent) else np.zeros(len(words), bool)
-    rare = (len(frequent) + (words & np.uint64(RARE_CONTEXTS - 1)).astype(np.int64)).astype(int)
-    own = np.where(known, at, rare)
-    context = np.empty_like(own)
-    context[1:] = own[:-1]
-    starts = np.cumsum(sizes) - sizes
-    end_at = np.searchsorted(frequent, END)
-    is_known = end_at < len(frequent) and frequent[end_at] == END
-    context[starts] = end_at if is_known else len(frequent) + int(END & np.uint64(RARE_CONTEXTS - 1))
-
-    pair = (own[known].astype(np.uint64) << np.uint64(16)) | context[known].astype(np.uint64)
+    before = np.empty_like(words)
+    before[1:] = words[:-1]
+    before[np.cumsum(sizes) - sizes] = END
+
+    def numbers(hashes: np.ndarray) -> np.ndarray:
+        if not len(frequent):
+            return np.full(len(hashes), FAR)
+        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
+        return np.where(frequent[at] == hashes, at, FAR)
+
+    own, context = numbers(words), numbers(before)
+    known, near = own != FAR, context != FAR
+    bounds = np.arange(buckets + 1)
+
+    both = known & near
+    pair = (own[both].astype(np.uint64) << np.uint64(16)) | context[both].astype(np.uint64)
     place = _bucket(mix(pair + np.uint64(1)), buckets)
     by = np.argsort((place.astype(np.uint64) << np.uint64(32)) | pair, kind="stable")
-    f_place, f_pair, f_doc = place[by], pair[by].astype(np.uint32), docs[known][by]
+    f_stops = np.searchsorted(place[by], bounds)
+    f_pair, f_doc = pair[by].astype(np.uint32), docs[both][by]
 
-    spread = mix(words[~known])
-    by = np.argsort(spread, kind="stable")
-    spread, r_context, r_doc = spread[by], context[~known][by].astype(np.uint16), docs[~known][by]
-    r_place = _bucket(spread, buckets)
+    def spread(chosen: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Chosen tokens by mixed hashes: places, the hashes and where buckets start."""
+        mixed = mix(hashes[chosen])
+        by = np.argsort(mixed, kind="stable")
+        return np.flatnonzero(chosen)[by], mixed[by], np.searchsorted(_bucket(mixed[by], buckets), bounds)
 
-    bounds = np.arange(buckets + 1)
-    f_stops, r_stops = np.searchsorted(f_place, bounds), np.searchsorted(r_place, bounds)
+    g_at, g_hash, g_stops = spread(known & ~near, before)
+    r_at, r_hash, r_stops = spread(~known, words)
     rows = []
-    for b in np.flatnonzero(np.diff(f_stops) + np.diff(r_stops)):
-        f, r = slice(f_stops[b], f_stops[b + 1]), slice(r_stops[b], r_stops[b + 1])
-        here = spread[r]
-        first = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])[: len(here)])
-        runs = np.diff(np.append(first, len(here))).astype(np.uint32)
+    for b in np.flatnonzero(np.diff(f_stops) + np.diff(g_stops) + np.diff(r_stops)):
+        f, g, r = (slice(x[b], x[b + 1]) for x in (f_stops, g_stops, r_stops))
+        mine = r_at[r]
         data = _packed(
-            np.array([train], np.int64), f_pair[f], f_doc[f], here[first], runs, r_context[r], r_doc[r]
+            np.array([train], np.int64),
+            f_pair[f],
+            f_doc[f],
+            *_runs(g_hash[g]),
+            own[g_at[g]].astype(np.uint16),
+            docs[g_at[g]],
+            *_runs(r_hash[r]),
+            context[mine].astype(np.uint16),
+            docs[mine],
+            mix(before[mine[~near[mine]]]),
         )
         rows.append((int(b), number, data))
     return rows
 
 
+def _runs(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different values of an ordered array and how often each occurs."""
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+    return ordered[first], np.diff(np.append(first, len(ordered))).astype(np.uint32)
+
+
 def seat(customers: np.ndarray, new: np.ndarray, discount: float, rng: np.random.Generator):
     """Tables after all customers of each dish have sat down, one dish a row.
 
@@ -273,8 +295,7 @@ class Model:
 
 def _start(types: int, tokens: int, counts: np.ndarray) -> Model:
     """A first guess: as many tables as counts to the power of the discount."""
-    left = max(0, tokens - int(counts.sum()))
-    customers = np.concatenate([counts, np.full(RARE_CONTEXTS, left / RARE_CONTEXTS)])
+    customers = counts.astype(float)
     base = tokens + types + 1
     return Model(
         types, tokens, counts, customers, customers**0.75, (counts + 1) / base,
@@ -284,41 +305,57 @@ def _start(types: int, tokens: int, counts: np.ndarray) -> Model:
 
 @dataclass
 class Pairs:
-    """The pairs of a bucket: ``key`` is dish and context, frequent dishes last."""
+    """The pairs of a bucket: ``key`` is dish and context, frequent dishes last.
+
+    Contexts are the frequent words and then those of ``far``, ordered mixed hashes.
+    """
 
     key: np.ndarray
     count: np.ndarray
     met: np.ndarray  # occurrences in all documents
     slot: np.ndarray  # their batch (in the bucket) and document, pair by pair
+    far: np.ndarray
 
     def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Context, whether the dish is frequent, and the dish's number."""
-        context = (self.key & np.uint64(0xFFFF)).astype(np.int64)
-        dish = (self.key >> np.uint64(16)).astype(np.int64)
-        known = dish >= 1 << 40
-        return context, known, np.where(known, dish - (1 << 40), dish)
+        context = (self.key & np.uint64(0xFFFF_FFFF)).astype(np.int64)
+        dish = (self.key >> np.uint64(32)).astype(np.int64)
+        known = dish >= 1 << 31
+        return context, known, np.where(known, dish - (1 << 31), dish)
+
+    def guests(self, values: np.ndarray, near: int) -> np.ndarray:
+        """Sums of the pairs' values in the restaurants of ``far``."""
+        sums = np.bincount(self.parts()[0], values, near + len(self.far))
+        return sums[near:].astype(np.int64)
 
 
-def _gathered(blocks: list[tuple[int, bytes]]) -> tuple[Pairs, list[int]]:
+def _gathered(blocks: list[tuple[int, bytes]], near: int) -> tuple[Pairs, list[int]]:
     """Pairs and counts of a bucket from its blocks; the batches in their order."""
-    kinds = (np.int64, np.uint32, np.uint16, np.uint64, np.uint32, np.uint16, np.uint16)
-    keys, slots, trained, names = [], [], [], []
-    batches = []
+    kinds = (np.int64, np.uint32, np.uint16, np.uint64, np.uint32, np.uint16, np.uint16) + (
+        np.uint64, np.uint32, np.uint16, np.uint16, np.uint64
+    )
+    slots, trained, batches, parts = [], [], [], []
     for place, (batch, data) in enumerate(blocks):
-        train, f_pair, f_doc, words, runs, r_context, r_doc = _unpacked(data, *kinds)
+        train, *rest = _unpacked(data, *kinds)
         batches.append(batch)
-        names.append(words)
-        docs = np.concatenate([f_doc, r_doc]).astype(np.int64)
+        docs = np.concatenate([rest[1], rest[5], rest[9]]).astype(np.int64)
         slots.append((place << 16) | docs)
         trained.append(docs < train[0])
-        keys.append((f_pair, runs, r_context))
-    _, inverse = np.unique(np.concatenate(names), return_inverse=True)
+        parts.append(rest)
+    _, dishes = np.unique(np.concatenate([p[6] for p in parts]), return_inverse=True)
+    far = np.unique(np.concatenate([x for p in parts for x in (p[2], p[10])]))
     whole, start = [], 0
-    for f_pair, runs, r_context in keys:
-        dish = np.repeat(inverse[start : start + len(runs)].astype(np.uint64), runs)
-        start += len(runs)
-        whole.append(f_pair.astype(np.uint64) + (np.uint64(1) << np.uint64(56)))
-        whole.append((dish << np.uint64(16)) | r_context)
+    frequent_dish = np.uint64(1) << np.uint64(63)
+    for f_pair, _, guests, g_runs, g_dish, _, words, r_runs, r_context, _, r_far in parts:
+        pair = f_pair.astype(np.uint64)
+        whole.append(frequent_dish | (pair >> np.uint64(16) << np.uint64(32)) | (pair & np.uint64(0xFFFF)))
+        context = np.repeat(near + np.searchsorted(far, guests), g_runs).astype(np.uint64)
+        whole.append(frequent_dish | (g_dish.astype(np.uint64) << np.uint64(32)) | context)
+        dish = np.repeat(dishes[start : start + len(words)].astype(np.uint64), r_runs)
+        start += len(words)
+        context = r_context.astype(np.uint64)
+        context[r_context == FAR] = near + np.searchsorted(far, r_far)
+        whole.append((dish << np.uint64(32)) | context)
     flat = np.concatenate(whole)
     order = np.argsort(flat, kind="stable")
     flat = flat[order]
@@ -326,14 +363,17 @@ def _gathered(blocks: list[tuple[int, bytes]]) -> tuple[Pairs, list[int]]:
     count = np.add.reduceat(np.concatenate(trained)[order].astype(np.int64), first)
     met = np.diff(np.append(first, len(flat)))
     slot = np.concatenate(slots)[order]
-    return Pairs(flat[first], count, met.astype(np.int64), slot.astype(np.int64)), batches
+    return Pairs(flat[first], count, met.astype(np.int64), slot.astype(np.int64), far), batches
 
 
-def _sweep(pairs: Pairs, model: Model, parent: np.ndarray, rng: np.random.Generator) -> tuple:
+def _sweep(
+    pairs: Pairs, model: Model, far_tables: np.ndarray, parent: np.ndarray, rng: np.random.Generator
+) -> tuple:
     """One sweep over a bucket: tables of pairs, customers and tables of rare dishes."""
     context, known, dish = pairs.parts()
     rare = ~known
-    weight = (STRENGTH + model.discount * model.tables[context]) * parent
+    held = np.concatenate([model.tables, far_tables])
+    weight = (STRENGTH + model.discount * held[context]) * parent
     tables = seat(pairs.count, weight, model.discount, rng)
     dishes = int(dish[rare].max()) + 1 if rare.any() else 0
     customers = np.bincount(dish[rare], tables[rare], dishes).astype(np.int64)
@@ -358,26 +398,30 @@ def _rare_counts(pairs: Pairs) -> np.ndarray:
     return np.bincount(dish[rare], pairs.count[rare], int(dish[rare].max()) + 1 if rare.any() else 0)
 
 
-def _totals(pairs: Pairs, model: Model, seed: int, sweeps: int = 1) -> list[int]:
-    """What a sweep adds to the shared totals, as a flat list."""
+def _totals(pairs: Pairs, model: Model, seed: int, sweeps: int = 1) -> tuple[list[int], tuple]:
+    """What a sweep adds to the shared totals, as a flat list, and the customers and
+    tables that it adds to the restaurants of ``far``.
+    """
     rng = np.random.default_rng(seed)
     chance = (_rare_counts(pairs) + 1) / (model.tokens + model.types + 1)
+    width = len(model.customers)
+    guests = pairs.guests(pairs.count, width)
     for _ in range(sweeps):
         parent = _parent_of(pairs, model, chance)
-        tables, customers, upper = _sweep(pairs, model, parent, rng)
+        tables, customers, upper = _sweep(pairs, model, guests**0.75, parent, rng)
         chance = model.parent(customers, upper)
     context, known, dish = pairs.parts()
-    width = len(model.customers)
-    return np.concatenate(
+    totals = np.concatenate(
         [
-            np.bincount(context, pairs.count, width),
-            np.bincount(context, tables, width),
+            np.bincount(context, pairs.count, width)[:width],
+            np.bincount(context, tables, width)[:width],
             np.bincount(dish[known], tables[known], len(model.frequent)),
             [customers.sum(), upper.sum()],
             [(pairs.count == 1).sum(), (pairs.count == 2).sum()],
             [(customers == 1).sum(), (customers == 2).sum()],
         ]
-    ).astype(np.int64).tolist()
+    )
+    return totals.astype(np.int64).tolist(), (guests, pairs.guests(tables, width))
 
 
 def _shared(model: Model, totals: np.ndarray) -> Model:
@@ -402,8 +446,12 @@ def _shared(model: Model, totals: np.ndarray) -> Model:
     return out
 
 
-def _scores(pairs: Pairs, model: Model, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Base score, score and whether known, for each pair."""
+def _scores(
+    pairs: Pairs, model: Model, far: tuple, seed: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Base score, score and whether known, for each pair, given the customers and
+    tables in the restaurants of ``pairs.far``.
+    """
     rng = np.random.default_rng(seed)
     context, known, dish = pairs.parts()
     rare = _rare_counts(pairs)
@@ -413,13 +461,15 @@ def _scores(pairs: Pairs, model: Model, seed: int) -> tuple[np.ndarray, np.ndarr
     base = np.log10((seen + 1) / (model.tokens + model.types + 1))
     parent = _parent_of(pairs, model, (rare + 1) / (model.tokens + model.types + 1))
     total = np.zeros(len(dish))
+    held = np.concatenate([model.customers, far[0]])[context]
+    kept = np.concatenate([model.tables, far[1]])[context]
     for turn in range(BURN_IN + SAMPLES):
-        tables, customers, upper = _sweep(pairs, model, parent, rng)
+        tables, customers, upper = _sweep(pairs, model, far[1], parent, rng)
         parent = _parent_of(pairs, model, model.parent(customers, upper))
         if turn >= BURN_IN:
-            back = (STRENGTH + model.discount * model.tables[context]) * parent
+            back = (STRENGTH + model.discount * kept) * parent
             own = np.maximum(pairs.count - model.discount * tables, 0)
-            total += (own + back) / (STRENGTH + model.customers[context])
+            total += (own + back) / (STRENGTH + held)
     return base, np.log10(total / SAMPLES), seen > 0
 
 
@@ -481,19 +531,20 @@ def score_documents(docs: DataFrame) -> DataFrame:
         mark = None
 
         def done(kinds: list[pa.DataType]) -> pa.RecordBatch:
-            pairs, batches = _gathered(sorted(held))
+            pairs, batches = _gathered(sorted(held), len(frequent))
             data = _packed(
                 pairs.key,
                 pairs.count,
                 pairs.met.astype(np.uint32),
                 pairs.slot.astype(np.uint32) if len(batches) < 1 << 16 else pairs.slot,
+                pairs.far,
             )
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([mark], pa.int64()),
                     pa.array([batches], pa.list_(pa.int64())),
                     pa.array([data], pa.binary()),
-                    pa.array([_totals(pairs, first, mark)], pa.list_(pa.int64())),
+                    pa.array([_totals(pairs, first, mark)[0]], pa.list_(pa.int64())),
                     pa.array([None], pa.int64()),
                     *[pa.nulls(1, k) for k in kinds],
                 ],
@@ -539,7 +590,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         "pairs",
     )
     filled = gathered.where("data IS NOT NULL")
-    width = 2 * (len(frequent) + RARE_CONTEXTS) + len(frequent) + 6  # bounded by 1 / SHARE
+    width = 3 * len(frequent) + 6  # bounded by 1 / SHARE
 
     def summed(added: DataFrame) -> np.ndarray:
         sums = (
@@ -556,33 +607,101 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def opened(batch: pa.RecordBatch, at: int) -> tuple[int, list[int], Pairs]:
         batches = batch.column(1)[at].as_py()
         wide = np.uint32 if len(batches) < 1 << 16 else np.int64
-        key, count, met, slot = _unpacked(
-            batch.column(2)[at].as_py(), np.uint64, np.int64, np.uint32, wide
+        key, count, met, slot, far = _unpacked(
+            batch.column(2)[at].as_py(), np.uint64, np.int64, np.uint32, wide, np.uint64
         )
-        pairs = Pairs(key, count, met.astype(np.int64), slot.astype(np.int64))
+        pairs = Pairs(key, count, met.astype(np.int64), slot.astype(np.int64), far)
         return int(batch.column(0)[at].as_py()), batches, pairs
 
     def again(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Totals of each bucket, and by the restaurant's bucket what it adds there."""
         for batch in source:
             for at in range(len(batch)):
                 bucket, _, pairs = opened(batch, at)
-                added = _totals(pairs, model.value, bucket, sweeps=2)
+                added, far = _totals(pairs, model.value, bucket, sweeps=2)
+                stops = np.searchsorted(_bucket(pairs.far, buckets), np.arange(buckets + 1))
+                asked = np.flatnonzero(np.diff(stops))
+                data = [_packed(*[x[stops[b] : stops[b + 1]] for x in (pairs.far, *far)]) for b in asked]
+                size = 1 + len(data)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([added], pa.list_(pa.int64()))], ["totals"]
+                    [
+                        pa.array([None, *asked.tolist()], pa.int64()),
+                        pa.array([bucket] * size, pa.int64()),
+                        pa.array([None, *data], pa.binary()),
+                        pa.array([added] + [None] * len(data), pa.list_(pa.int64())),
+                    ],
+                    ["place", "bucket", "sums", "totals"],
                 )
 
     shared = _shared(first, summed(filled))
     for _ in range(SYNCS - 1):
         model = spark.sparkContext.broadcast(shared)
-        parts = filled.select("bucket", "batches", "data").mapInArrow(again, "totals array<bigint>")
-        shared = _shared(shared, summed(parts))
+        parts = store(
+            filled.select("bucket", "batches", "data").mapInArrow(
+                again, "place bigint, bucket bigint, sums binary, totals array<bigint>"
+            ),
+            "seats",
+        )
+        shared = _shared(shared, summed(parts.where("totals IS NOT NULL")))
     model = spark.sparkContext.broadcast(shared)
 
+    def meet(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Customers and tables of the restaurants of a place, for each bucket that asks."""
+        held: list[tuple[int, bytes]] = []
+        mark = None
+
+        def done() -> pa.RecordBatch:
+            asked = [_unpacked(x, np.uint64, np.int64, np.int64) for _, x in held]
+            stops = np.cumsum([0, *[len(x[0]) for x in asked]])
+            _, at = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
+            sums = [
+                np.bincount(at, np.concatenate([x[k] for x in asked])).astype(np.int64)[at]
+                for k in (1, 2)
+            ]
+            data = [_packed(*[x[a:b] for x in sums]) for a, b in zip(stops, stops[1:], strict=False)]
+            columns = [
+                pa.array([mark] * len(held), pa.int64()),
+                pa.array([b for b, _ in held], pa.int64()),
+                pa.array(data, pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["place", "bucket", "sums"])
+
+        for batch in source:
+            for place, bucket, data in zip(*batch.columns, strict=True):
+                if held and place.as_py() != mark:
+                    yield done()
+                    held = []
+                mark = place.as_py()
+                held.append((bucket.as_py(), data.as_py()))
+        if held:
+            yield done()
+
+    answers = (
+        parts.where("sums IS NOT NULL")
+        .select("place", "bucket", "sums")
+        .repartition("place")
+        .sortWithinPartitions("place")
+        .mapInArrow(meet, "place bigint, bucket bigint, sums binary")
+    )
+    known = (
+        filled.select("bucket", "batches", "data")
+        .unionByName(answers, allowMissingColumns=True)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket", F.col("data").isNotNull(), "place")
+        .select("bucket", "batches", "data", "sums")
+    )
+
     def score(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far = [(np.zeros(0, np.int64),) * 2]
         for batch in source:
             for at in range(len(batch)):
+                if batch.column(3)[at].is_valid:
+                    far.append(_unpacked(batch.column(3)[at].as_py(), np.int64, np.int64))
+                    continue
                 bucket, batches, pairs = opened(batch, at)
-                parts = _scores(pairs, model.value, bucket)
+                sums = [np.concatenate(x) for x in zip(*far, strict=True)]
+                far = far[:1]
+                parts = _scores(pairs, model.value, sums, bucket)
                 spots, inverse = np.unique(pairs.slot, return_inverse=True)
                 each = [np.bincount(inverse, np.repeat(x, pairs.met)) for x in parts]
                 number = spots >> 16
@@ -597,9 +716,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                     ["batch", "sums"],
                 )
 
-    partial = filled.select("bucket", "batches", "data").mapInArrow(
-        score, "batch bigint, sums binary"
-    )
+    partial = known.mapInArrow(score, "batch bigint, sums binary")
     heads = gathered.where("data IS NULL").select("batch", "ids", "held", "sizes")
     met = heads.unionByName(partial, allowMissingColumns=True)
     ordered = met.repartition("batch").sortWithinPartitions("batch", F.col("ids").isNull())
