@@ -173,6 +173,18 @@ def test_repeated_lines(docs, monkeypatch):
             assert cut[i]["text"] == text and cut[i]["block"] == "own"
 
 
+def test_lines_that_share_two_rare_words_are_no_candidates(docs):
+    often = [" ".join([f"c{k}"] * 64) for k in range(560)]
+    apart = ["r1 r2 " + " ".join(f"c{k}" for k in range(i, 560, 20)) for i in range(20)]
+    alike = [" ".join(f"a{k}" for k in range(30)), " ".join(f"a{k}" for k in range(4, 30))]
+    found = lines.line_sets(docs(often + apart + alike))
+    place = lines.F.struct("doc", "h", "line")
+    classes = found.groupBy("class").agg(
+        lines.F.min(place).alias("first"), lines.F.count("*").alias("lines")
+    )
+    assert lines._candidates(found, classes, found.count()).count() == 1
+
+
 def test_repeated_short_lines(docs):
     texts = ["Les.\na b\na b c\n\n ", "Les.\nb a\na b c d\n\n ", "Les\na\nd c b x\nLes."]
     got = {r["doc_id"]: r["removed_lines"] for r in lines.line_report(docs(texts)).collect()}

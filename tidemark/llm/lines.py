@@ -6,9 +6,11 @@ Earlier is by document id, then the hash of the text, then the place in the text
 
 The words of a line are ordered by rarity, counted over all words of all documents
 in 1,048,576 slots by hash (half a megabyte, whatever the corpus), then by hash. Matching lines share
-two words among the first of each (prefix filter), are of like sizes (length filter)
-and have enough words left behind these (positional filter); what passes is verified on
-the words themselves. Lines of equal sets form a class that is compared once; a
+two words among the first of each (prefix filter), are of like sizes (length filter),
+have enough words left behind these (positional filter) and differ in few bits of a
+64-bit parity of their words, each of which turns one bit (bitmap filter): no more bits
+differ than words, so no match is lost. What passes is verified on the words
+themselves; only lines travel for it whose place a bitmap of the asked ones lets pass. Lines of equal sets form a class that is compared once; a
 class that many lines belong to enters the join by its first line only.
 
 Defined cases: words are what spaces and tabs part; lines without words neither
@@ -30,6 +32,10 @@ LEAST_WORDS = 1
 #: Words that matching lines share in prefixes that are longer by as many less one.
 SHARED = 2
 SLOTS, PACKED = 1 << 20, 16
+#: Bits of the bitmap of the places of lines whose words are verified.
+ASKED = 1 << 23
+#: The highest of each four bits.
+TURNED = -0x7777777777777778
 #: A class with more than this share of all lines enters the join by one line, so
 #: that at most as many classes are broadcast as this goes into 1.
 HOT_SHARE = 1 / 5000
@@ -48,7 +54,9 @@ def rarity(docs: DataFrame, text: str = "text") -> Column:
     """How often the words of each hash slot occur, in 16 steps of a factor of two.
 
     The steps begin well below the mean of all slots; sixteen slots share a number,
-    so the table has 65,536 numbers whatever the size of the corpus.
+    so the table has 65,536 numbers whatever the size of the corpus. The low bits of a
+    slot name the number, the high ones the four bits in it, of which the first is
+    turned, so that they sort as the highest bits of a number with a sign.
     """
     plain = F.replace(F.replace(F.col(text), F.lit("\n"), F.lit(" ")), F.lit("\t"), F.lit(" "))
     words = docs.select(F.explode(F.split(plain, " ")).alias("word"))
@@ -59,25 +67,43 @@ def rarity(docs: DataFrame, text: str = "text") -> Column:
     lowest = max(0, int(total / SLOTS).bit_length() - 3)
     level = F.least(F.greatest(F.ceil(F.log2("n")).cast("int") - lowest, F.lit(0)), F.lit(15))
     packed = counted.select("slot", level.cast("long").alias("level")).groupBy(
-        F.expr(f"slot div {PACKED}").cast("int").alias("word")
+        F.expr(f"slot % {SLOTS // PACKED}").cast("int").alias("word")
     )
-    bits = F.expr(f"shiftleft(level, CAST(4 * (slot % {PACKED}) AS INT))")
-    table = [0] * (SLOTS // PACKED)
-    for row in packed.agg(F.bit_or(bits).alias("bits")).collect():
-        table[row["word"]] = row["bits"]
+    bits = F.expr(f"shiftleft(level, CAST(4 * (slot div {SLOTS // PACKED}) AS INT))")
+    return _numbers(packed.agg(F.bit_or(bits).alias("bits")), SLOTS // PACKED, TURNED)
+
+
+def _numbers(rows: DataFrame, size: int, turned: int = 0) -> Column:
+    """An array of ``size`` numbers from rows of (word, bits), 0 where there is none."""
+    table = [turned] * size
+    for row in rows.collect():
+        table[row["word"]] = row["bits"] ^ turned
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
-def _level(table: Column, hashed: Column) -> Column:
-    slot = hashed.bitwiseAND(F.lit(SLOTS - 1)).cast("int")
-    four = F.call_function(
-        "shiftrightunsigned", F.get(table, F.shiftright(slot, 4)), slot.bitwiseAND(F.lit(15)) * 4
+def _code(table: Column, x: Column) -> Column:
+    """Level and hash of a word in one number."""
+    number = F.get(table, x.bitwiseAND(F.lit(SLOTS // PACKED - 1)).cast("int"))
+    place = F.shiftright(x, 14).bitwiseAND(F.lit(60)).cast("int")
+    level = F.shiftleft(F.call_function("shiftrightunsigned", number, place), 60)
+    return level.bitwiseOR(F.shiftrightunsigned(x, 4))
+
+
+def _parity(codes: Column) -> Column:
+    """64 bits, each turned by the words whose hashes end in its number."""
+    return F.aggregate(
+        codes,
+        F.lit(0).cast("long"),
+        lambda had, x: had.bitwiseXOR(
+            F.call_function(
+                "shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")
+            )
+        ),
     )
-    return four.bitwiseAND(F.lit(15))
 
 
 def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line that can match: its place, class, size and prefix."""
+    """Every line that can match: its place, class, size, prefix and parity."""
     table = rarity(docs, text)
     rows = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)).alias("doc"),
@@ -86,11 +112,8 @@ def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     ).where(F.length("words") >= 2 * LEAST_WORDS - 1)
     parted = F.split(F.replace("words", F.lit("\t"), F.lit(" ")), " ")
     hashed = F.array_distinct(F.transform(F.array_remove(parted, ""), lambda w: F.xxhash64(w)))
-    ordered = F.transform(
-        hashed,
-        lambda x: F.shiftleft(_level(table, x), 59).bitwiseOR(F.shiftrightunsigned(x, 5)),
-    )
-    rows = rows.select("doc", "h", "line", F.sort_array(ordered).alias("codes"))
+    ordered = F.sort_array(F.transform(hashed, lambda x: _code(table, x)))
+    rows = rows.select("doc", "h", "line", ordered.alias("codes"))
     rows = rows.withColumn("n", F.size("codes")).where(F.col("n") >= LEAST_WORDS)
     # lines with ceil(n * PERCENT / 100) words in common share SHARED among these
     prefix = F.expr(f"n - (n * {PERCENT} + 99) div 100 + {SHARED}").cast("int")
@@ -101,11 +124,12 @@ def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         F.xxhash64("codes").alias("class"),
         "n",
         F.slice("codes", F.lit(1), prefix).alias("prefix"),
+        _parity(F.col("codes")).alias("parity"),
     )
 
 
 def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
-    """Pairs of classes that the three filters let pass."""
+    """Pairs of classes that the four filters let pass."""
     hot = classes.where(F.col("lines") > max(2, int(total * HOT_SHARE)))
     hot = hot.select(F.col("class").alias("c"), "first")
     place = F.struct("doc", "h", "line")
@@ -114,14 +138,22 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
         .where(F.col("first").isNull() | (place == F.col("first")))
         # sets of one or two words match equal sets only, which are one class already
         .where("n > 2")
-        .select("class", "n", F.posexplode("prefix").alias("at", "code"))
-        # size and place in one number
-        .select("code", "class", (F.col("n") * 65536 + F.least("at", F.lit(65535))).alias("spot"))
+        .select("class", "n", "parity", F.posexplode("prefix").alias("at", "code"))
+        # half of the hash will do, as chance meetings are verified; size and place in one number
+        .select(
+            F.hash("code").alias("code"),
+            "class",
+            (F.col("n").cast("long") * 65536 + F.least("at", F.lit(65535))).alias("spot"),
+            "parity",
+        )
     )
     # one exchange serves the removal of repeats and both sides of the join
     entered = entered.repartition("code").distinct()
     other = entered.select(
-        F.col("code").alias("code2"), F.col("class").alias("class2"), F.col("spot").alias("spot2")
+        F.col("code").alias("code2"),
+        F.col("class").alias("class2"),
+        F.col("spot").alias("spot2"),
+        F.col("parity").alias("parity2"),
     )
     n1, n2 = F.expr("spot div 65536"), F.expr("spot2 div 65536")
     p1, p2 = F.expr("spot % 65536"), F.expr("spot2 % 65536")
@@ -131,12 +163,16 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     left = (SHARED - 1 + F.least(n1 - p1, n2 - p2)) * (100 + PERCENT)
     enough = left >= PERCENT * (n1 + n2)
     long_line = (p1 >= 65535) | (p2 >= 65535)
+    # words that are in one of two matching lines only, as many as may be
+    apart = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity2")))
+    few = (100 + PERCENT) * apart <= (100 - PERCENT) * (n1 + n2)
     return (
         entered.join(
             other,
             (F.col("code") == F.col("code2"))
             & (F.col("class") < F.col("class2"))
             & like
+            & few
             & (enough | long_line),
         )
         .groupBy("class", "class2")
@@ -149,22 +185,31 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose words are alike enough."""
     needed = pairs.select(F.explode(F.array("class", "class2")).alias("need")).distinct()
-    places = classes.join(needed, F.col("class") == F.col("need"), "left_semi").select(
-        "class", F.col("first.doc").alias("doc"), F.col("first.h").alias("h"), "first.line"
+    places = store(
+        classes.join(needed, F.col("class") == F.col("need"), "left_semi").select(
+            "class", "first.doc", "first.h", "first.line"
+        ),
+        "places",
+    )
+    slot = F.xxhash64("doc", "h", "line").bitwiseAND(F.lit(ASKED - 1))
+    asked = places.select(slot.alias("slot")).groupBy(
+        F.shiftright("slot", 6).cast("int").alias("word")
     )
-    wanted = places.groupBy("doc", "h").agg(F.collect_list(F.struct("class", "line")).alias("asked"))
-    texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc0"),
-        F.xxhash64("text").alias("h0"),
-        F.col("text").alias("whole"),
+    bits = asked.agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits"))
+    number = F.get(_numbers(bits, ASKED // 64), F.shiftright("slot", 6).cast("int"))
+    lines = (
+        docs.select(
+            F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
+            F.xxhash64("text").alias("h"),
+            F.posexplode(_lines(F.col("text"))).alias("line", "words"),
+        )
+        .withColumn("slot", slot)
+        .withColumn("bits", number)
+        .where("shiftrightunsigned(bits, CAST(slot & 63 AS INT)) & 1 = 1")
+        .select("doc", "h", "line", "words")
     )
-    met = texts.join(wanted, (F.col("doc0") == F.col("doc")) & (F.col("h0") == F.col("h")))
     sets = store(
-        met.select(_lines(F.col("whole")).alias("split"), F.explode("asked").alias("ask"))
-        .select(
-            F.col("ask.class").alias("class"),
-            _words(F.get("split", F.col("ask.line"))).alias("words"),
-        ),
+        lines.join(places, ["doc", "h", "line"]).select("class", _words(F.col("words")).alias("words")),
         "sets",
     )
     if sets.count() > places.count():  # the documents hold equal rows
