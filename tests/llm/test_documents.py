@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -238,6 +239,17 @@ def test_language_model(table, monkeypatch, bucket):
     assert all(-math.inf < r["score"] < 0 for r in got)
 
 
+def test_language_model_deals_buckets_to_partitions(docs, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "BUCKET_CHARS", 1000)
+    frame = docs([" ".join(f"w{i}x{k}" for k in range(100)) for i in range(30)])
+    chars = sum(r["n_chars"] for r in frame.collect())
+    got = pitman_yor.score_documents(frame)
+    plan = got._jdf.queryExecution().toString()
+    dealt = re.findall(r"hashpartitioning\(bucket#\d+L?, (\d+)\)", plan)
+    assert dealt and set(map(int, dealt)) == {-(-chars // 1000)}
+    assert got.count() == 30
+
+
 def test_language_model_odd_rows(docs):
     frame = docs([None, "", "a A a", "b " * 3000, "same", "same"], ids=[None, 1, 2, 3, 4, 4])
     got = pitman_yor.score_documents(frame).collect()

@@ -19,7 +19,8 @@ Tokens travel in compact blocks to the bucket of their word (for frequent words:
 rarer context, or of the word and its frequent context, so that no word fills a
 bucket). There pairs are counted over all training documents, seated and scored; each
 bucket returns a sum for each document it has seen. Nothing but the totals of frequent
-words meets in one place.
+words meets in one place. There are as many partitions as buckets, since a task gets all
+rows of a small partition as one batch.
 
 Defined cases: a null or empty text is a single end token; a null id counts as an
 empty text in the choice of held-out rows; repeated rows are scored each. Without
@@ -165,7 +166,7 @@ def vocabulary(rows: DataFrame, buckets: int) -> tuple[int, int, np.ndarray, np.
 
     counted = store(
         rows.mapInArrow(count, "bucket bigint, data binary")
-        .repartition("bucket")
+        .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(merge, "types bigint, tokens bigint, words array<bigint>, counts array<bigint>"),
         "vocabulary",
@@ -580,7 +581,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     gathered = store(
         rows.mapInArrow(cut, f"bucket bigint, batch bigint, data binary, {lists}")
-        .repartition("bucket")
+        .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(
             gather,
@@ -610,7 +611,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         key, count, met, slot, far = _unpacked(
             batch.column(2)[at].as_py(), np.uint64, np.int64, np.uint32, wide, np.uint64
         )
-        pairs = Pairs(key, count, met.astype(np.int64), slot.astype(np.int64), far)
+        pairs = Pairs(key, count, met, slot, far)
         return int(batch.column(0)[at].as_py()), batches, pairs
 
     def again(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -679,14 +680,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
     answers = (
         parts.where("sums IS NOT NULL")
         .select("place", "bucket", "sums")
-        .repartition("place")
+        .repartition(buckets, "place")
         .sortWithinPartitions("place")
         .mapInArrow(meet, "place bigint, bucket bigint, sums binary")
     )
     known = (
         filled.select("bucket", "batches", "data")
         .unionByName(answers, allowMissingColumns=True)
-        .repartition("bucket")
+        .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket", F.col("data").isNotNull(), "place")
         .select("bucket", "batches", "data", "sums")
     )
