@@ -186,6 +186,20 @@ def test_lines_that_share_two_rare_words_are_no_candidates(docs):
     assert lines._candidates(found, classes, found.count()).count() == 1
 
 
+def test_near_copies_of_a_line_are_not_compared_pair_by_pair(docs, monkeypatch):
+    compared, verified = [], lines._verified
+
+    def counting(pairs, classes, rows):
+        compared.append(pairs.count())
+        return verified(pairs, classes, rows)
+
+    monkeypatch.setattr(lines, "_verified", counting)
+    texts = [" ".join([*(f"b{k}" for k in range(40)), f"own{i}"]) for i in range(60)]
+    got = {r["doc_id"]: r["n_removed"] for r in lines.line_report(docs(texts)).collect()}
+    assert got == {i: int(i > 0) for i in range(60)}
+    assert sum(compared) < 120
+
+
 def test_repeated_short_lines(docs):
     texts = ["Les.\na b\na b c\n\n ", "Les.\nb a\na b c d\n\n ", "Les\na\nd c b x\nLes."]
     got = {r["doc_id"]: r["removed_lines"] for r in lines.line_report(docs(texts)).collect()}

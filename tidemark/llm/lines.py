@@ -178,7 +178,6 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
         .groupBy("class", "class2")
         .agg(F.count("*").alias("shared"))
         .where(F.col("shared") >= SHARED)
-        .select("class", "class2")
     )
 
 
@@ -226,6 +225,45 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     )
 
 
+def _covered(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The classes (``later``) that match one with an earlier first line.
+
+    One earlier match is enough, so each class is held against the earlier one that it
+    shares most with, and against all others only if these two do not match: a group
+    of near copies costs as many comparisons as it has classes, not pairs.
+    """
+    a = classes.select(F.col("class").alias("ca"), F.col("first").alias("fa"))
+    b = classes.select(F.col("class").alias("cb"), F.col("first").alias("fb"))
+    after = F.col("fa") > F.col("fb")
+    directed = store(
+        pairs.join(a, F.col("class") == F.col("ca"))
+        .join(b, F.col("class2") == F.col("cb"))
+        .select(
+            F.when(after, F.col("ca")).otherwise(F.col("cb")).alias("class"),
+            F.when(after, F.col("cb")).otherwise(F.col("ca")).alias("class2"),
+            "shared",
+        ),
+        "directed",
+    )
+    likely = store(
+        directed.groupBy("class")
+        .agg(F.max(F.struct("shared", "class2")).alias("most"))
+        .select("class", F.col("most.class2").alias("class2")),
+        "likely",
+    )
+    found = store(
+        _verified(likely, classes, docs).select(F.col("class").alias("later")), "found"
+    )
+    rest = store(
+        directed.select("class", "class2")
+        .join(found, F.col("class") == F.col("later"), "left_anti")
+        .join(likely, ["class", "class2"], "left_anti"),
+        "rest",
+    )
+    others = _verified(rest, classes, docs).select(F.col("class").alias("later")).distinct()
+    return found.unionByName(others)
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """Numbers of the lines (from 0) that go, by document (``doc``, ``h``)."""
     lines = store(line_sets(docs), "lines")
@@ -237,30 +275,17 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         "classes",
     )
     pairs = store(_candidates(lines, classes, total), "pairs")
-    links = store(_verified(pairs, classes, docs), "links")
-    either = links.unionByName(
-        links.select(F.col("class2").alias("class"), F.col("class").alias("class2"))
-    )
-    firsts = classes.select(F.col("class").alias("c"), F.col("first").alias("theirs"))
-    linked = (
-        either.join(firsts, F.col("class2") == F.col("c"))
-        .groupBy("class")
-        .agg(F.min("theirs").alias("theirs"))
-        .select(F.col("class").alias("l"), "theirs")
-    )
+    covered = store(_covered(pairs, classes, docs), "covered")
     # a class whose only line stands alone can lose nothing
-    least = (
-        classes.join(linked, F.col("class") == F.col("l"), "left")
-        .where("lines > 1 OR theirs IS NOT NULL")
-        .select(
-            F.col("class").alias("c"),
-            F.least("first", F.coalesce("theirs", "first")).alias("earliest"),
-        )
+    losing = (
+        classes.join(covered, F.col("class") == F.col("later"), "left")
+        .where("lines > 1 OR later IS NOT NULL")
+        .select(F.col("class").alias("c"), "first", F.col("later").isNotNull().alias("whole"))
     )
     return (
         lines.select("doc", "h", "line", "class")
-        .join(least, F.col("class") == F.col("c"))
-        .where(F.struct("doc", "h", "line") > F.col("earliest"))
+        .join(losing, F.col("class") == F.col("c"))
+        .where(F.col("whole") | (F.struct("doc", "h", "line") > F.col("first")))
         .groupBy("doc", "h")
         .agg(F.sort_array(F.collect_set("line")).alias("gone"))
     )
