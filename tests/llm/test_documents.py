@@ -200,6 +200,26 @@ def test_near_copies_of_a_line_are_not_compared_pair_by_pair(docs, monkeypatch):
     assert sum(compared) < 120
 
 
+def test_near_copies_of_a_line_do_not_meet_in_the_join(docs, monkeypatch):
+    met, candidates = [], lines._candidates
+
+    def counting(*args):
+        pairs = candidates(*args)
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(lines, "_candidates", counting)
+    texts = [" ".join([*(f"b{k}" for k in range(40)), f"own{i}"]) for i in range(60)]
+    got = {r["doc_id"]: r["n_removed"] for r in lines.line_report(docs(texts)).collect()}
+    assert got == {i: int(i > 0) for i in range(60)}
+    assert sum(met) < 240  # of 1,770 pairs
+
+
+def test_plans_of_lines_do_not_spell_out_the_rarity_of_words(docs):
+    plan = lines.line_sets(docs(["one two three four five"]))._jdf.queryExecution().toString()
+    assert len(plan) < 100_000
+
+
 def test_repeated_short_lines(docs):
     texts = ["Les.\na b\na b c\n\n ", "Les.\nb a\na b c d\n\n ", "Les\na\nd c b x\nLes."]
     got = {r["doc_id"]: r["removed_lines"] for r in lines.line_report(docs(texts)).collect()}

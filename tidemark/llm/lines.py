@@ -10,8 +10,14 @@ two words among the first of each (prefix filter), are of like sizes (length fil
 have enough words left behind these (positional filter) and differ in few bits of a
 64-bit parity of their words, each of which turns one bit (bitmap filter): no more bits
 differ than words, so no match is lost. What passes is verified on the words
-themselves; only lines travel for it whose place a bitmap of the asked ones lets pass. Lines of equal sets form a class that is compared once; a
-class that many lines belong to enters the join by its first line only.
+themselves; only lines travel for it whose place a bitmap of the asked ones lets pass.
+Lines of equal sets form a class that is compared once; a class that many lines belong
+to enters the join by its first line only.
+
+One earlier match is enough for a class. Each is first held against the earliest that
+shares three of its least or greatest hashes (MinHash of groups of words); classes that
+match there are covered, and the join leaves out pairs of two covered classes. So what a
+group of near copies costs grows with its size times the few that stay open.
 
 Defined cases: words are what spaces and tabs part; lines without words neither
 match nor go (``LEAST_WORDS`` can ask for more words), nor do empty texts; null texts
@@ -22,7 +28,7 @@ from those of the documents.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.stage import store
@@ -34,6 +40,8 @@ SHARED = 2
 SLOTS, PACKED = 1 << 20, 16
 #: Bits of the bitmap of the places of lines whose words are verified.
 ASKED = 1 << 23
+#: Hashes that name an early class.
+TOLD = 3
 #: The highest of each four bits.
 TURNED = -0x7777777777777778
 #: A class with more than this share of all lines enters the join by one line, so
@@ -74,16 +82,22 @@ def rarity(docs: DataFrame, text: str = "text") -> Column:
 
 
 def _numbers(rows: DataFrame, size: int, turned: int = 0) -> Column:
-    """An array of ``size`` numbers from rows of (word, bits), 0 where there is none."""
-    table = [turned] * size
-    for row in rows.collect():
-        table[row["word"]] = row["bits"] ^ turned
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    """An array of ``size`` numbers from rows of (word, bits), 0 where there is none.
+
+    A subquery: as a literal it would be spelt out in every plan that the driver keeps.
+    """
+    places = rows.sparkSession.range(size).select(F.col("id").cast("int").alias("place"))
+    bits = F.coalesce("bits", F.lit(0)).bitwiseXOR(F.lit(turned))
+    whole = places.join(rows, F.col("place") == F.col("word"), "left").agg(
+        F.sort_array(F.collect_list(F.struct("place", bits.alias("bits")))).alias("rows")
+    )
+    return store(whole.select("rows.bits"), "numbers").scalar()
 
 
 def _code(table: Column, x: Column) -> Column:
     """Level and hash of a word in one number."""
     number = F.get(table, x.bitwiseAND(F.lit(SLOTS // PACKED - 1)).cast("int"))
+    number = F.coalesce(number, F.lit(TURNED))  # without nulls an array sorts as plain numbers
     place = F.shiftright(x, 14).bitwiseAND(F.lit(60)).cast("int")
     level = F.shiftleft(F.call_function("shiftrightunsigned", number, place), 60)
     return level.bitwiseOR(F.shiftrightunsigned(x, 4))
@@ -110,13 +124,36 @@ def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         F.xxhash64(text).alias("h"),
         F.posexplode(_lines(F.col(text))).alias("line", "words"),
     ).where(F.length("words") >= 2 * LEAST_WORDS - 1)
+    # a condition on ``n`` alone would hash and sort all words a second time
+    rows = rows.where(F.translate("words", " \t", "") != "")
     parted = F.split(F.replace("words", F.lit("\t"), F.lit(" ")), " ")
     hashed = F.array_distinct(F.transform(F.array_remove(parted, ""), lambda w: F.xxhash64(w)))
-    ordered = F.sort_array(F.transform(hashed, lambda x: _code(table, x)))
-    rows = rows.select("doc", "h", "line", ordered.alias("codes"))
-    rows = rows.withColumn("n", F.size("codes")).where(F.col("n") >= LEAST_WORDS)
+    rows = rows.select("doc", "h", "line", F.sort_array(hashed).alias("hashed"))
+    ordered = F.sort_array(F.transform("hashed", lambda x: _code(F.col("table"), x)))
+    rows = rows.withColumn("table", table).select(
+        "doc", "h", "line", "hashed", ordered.alias("codes")
+    )
+    rows = rows.select(
+        "doc",
+        "h",
+        "line",
+        "codes",
+        F.size("codes").alias("n"),
+        "hashed",
+        F.sort_array(F.array_append("hashed", F.lit(0).cast("long"))).alias("parted"),
+    )
+    if LEAST_WORDS > 1:
+        rows = rows.where(F.col("n") >= LEAST_WORDS)
     # lines with ceil(n * PERCENT / 100) words in common share SHARED among these
     prefix = F.expr(f"n - (n * {PERCENT} + 99) div 100 + {SHARED}").cast("int")
+    # the least and the greatest hashes, and those on either side of 0
+    zero = F.array_position("parted", F.lit(0).cast("long")).cast("int")
+    keys = [
+        F.slice("hashed", F.lit(1), F.lit(TOLD)),
+        F.slice("hashed", F.greatest(F.col("n") - TOLD + 1, F.lit(1)), F.lit(TOLD)),
+        F.slice("parted", zero + 1, F.lit(TOLD)),
+        F.slice("parted", F.greatest(zero - TOLD, F.lit(1)), F.lit(TOLD)),
+    ]
     return rows.select(
         "doc",
         "h",
@@ -125,25 +162,55 @@ def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         "n",
         F.slice("codes", F.lit(1), prefix).alias("prefix"),
         _parity(F.col("codes")).alias("parity"),
+        F.array(*[F.hash(k, F.lit(i)) for i, k in enumerate(keys)]).alias("keys"),
     )
 
 
-def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
-    """Pairs of classes that the four filters let pass."""
+def _entering(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
+    """The lines without repeats of hot classes."""
     hot = classes.where(F.col("lines") > max(2, int(total * HOT_SHARE)))
     hot = hot.select(F.col("class").alias("c"), "first")
     place = F.struct("doc", "h", "line")
-    entered = (
+    return (
         lines.join(F.broadcast(hot), F.col("class") == F.col("c"), "left")
         .where(F.col("first").isNull() | (place == F.col("first")))
         # sets of one or two words match equal sets only, which are one class already
         .where("n > 2")
-        .select("class", "n", "parity", F.posexplode("prefix").alias("at", "code"))
-        # half of the hash will do, as chance meetings are verified; size and place in one number
+    )
+
+
+def _early(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
+    """Pairs of a class and the earliest that some of its least or greatest hashes name."""
+    told = _entering(lines, classes, total).select("class", "doc", F.explode("keys").alias("key"))
+    ahead = Window.partitionBy("key").orderBy("doc", "class")
+    return (
+        told.select("class", F.first("class").over(ahead).alias("class2"))
+        .where("class <> class2")
+        .groupBy("class", "class2")
+        .agg(F.count("*").alias("shared"))
+    )
+
+
+def _candidates(
+    lines: DataFrame, classes: DataFrame, total: int, covered: DataFrame | None = None
+) -> DataFrame:
+    """Pairs of classes that the four filters let pass, without pairs of two ``covered``
+    ones (``later``)."""
+    entered = _entering(lines, classes, total).withColumn("open", F.lit(1))
+    if covered is not None:
+        entered = entered.join(covered, F.col("class") == F.col("later"), "left")
+        entered = entered.withColumn("open", F.col("later").isNull().cast("int"))
+    entered = (
+        entered
+        .select("class", "n", "parity", "open", F.posexplode("prefix").alias("at", "code"))
+        # half of the hash will do, as chance meetings are verified; size, place and whether
+        # it is open in one number
         .select(
             F.hash("code").alias("code"),
             "class",
-            (F.col("n").cast("long") * 65536 + F.least("at", F.lit(65535))).alias("spot"),
+            (
+                (F.col("n").cast("long") * 65536 + F.least("at", F.lit(65535))) * 2 + F.col("open")
+            ).alias("spot"),
             "parity",
         )
     )
@@ -155,8 +222,9 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
         F.col("spot").alias("spot2"),
         F.col("parity").alias("parity2"),
     )
-    n1, n2 = F.expr("spot div 65536"), F.expr("spot2 div 65536")
-    p1, p2 = F.expr("spot % 65536"), F.expr("spot2 % 65536")
+    n1, n2 = F.expr("shiftright(spot, 17)"), F.expr("shiftright(spot2, 17)")
+    p1, p2 = F.expr("shiftright(spot, 1) & 65535"), F.expr("shiftright(spot2, 1) & 65535")
+    either = F.col("spot").bitwiseOR(F.col("spot2")).bitwiseAND(F.lit(1)) == 1
     like = (100 * F.least(n1, n2)) >= (PERCENT * F.greatest(n1, n2))
     # overlap that the threshold asks for, against what can still follow the first
     # or second shared word
@@ -171,6 +239,7 @@ def _candidates(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
             other,
             (F.col("code") == F.col("code2"))
             & (F.col("class") < F.col("class2"))
+            & either
             & like
             & few
             & (enough | long_line),
@@ -225,26 +294,29 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     )
 
 
-def _covered(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The classes (``later``) that match one with an earlier first line.
-
-    One earlier match is enough, so each class is held against the earlier one that it
-    shares most with, and against all others only if these two do not match: a group
-    of near copies costs as many comparisons as it has classes, not pairs.
-    """
-    a = classes.select(F.col("class").alias("ca"), F.col("first").alias("fa"))
-    b = classes.select(F.col("class").alias("cb"), F.col("first").alias("fb"))
-    after = F.col("fa") > F.col("fb")
-    directed = store(
-        pairs.join(a, F.col("class") == F.col("ca"))
-        .join(b, F.col("class2") == F.col("cb"))
+def _directed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that can match, the class with the later first line named first."""
+    a = classes.select(*[F.col(c).alias(f"{c}_a") for c in ("class", "first", "n", "parity")])
+    b = classes.select(*[F.col(c).alias(f"{c}_b") for c in ("class", "first", "n", "parity")])
+    after = F.col("first_a") > F.col("first_b")
+    like = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
+    apart = F.bit_count(F.col("parity_a").bitwiseXOR(F.col("parity_b")))
+    few = (100 + PERCENT) * apart <= (100 - PERCENT) * (F.col("n_a") + F.col("n_b"))
+    return (
+        pairs.join(a, F.col("class") == F.col("class_a"))
+        .join(b, F.col("class2") == F.col("class_b"))
+        .where(like & few)
         .select(
-            F.when(after, F.col("ca")).otherwise(F.col("cb")).alias("class"),
-            F.when(after, F.col("cb")).otherwise(F.col("ca")).alias("class2"),
+            F.when(after, F.col("class_a")).otherwise(F.col("class_b")).alias("class"),
+            F.when(after, F.col("class_b")).otherwise(F.col("class_a")).alias("class2"),
             "shared",
-        ),
-        "directed",
+        )
     )
+
+
+def _held(directed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The classes (``later``) that match an earlier one of their pairs: first each is held
+    against the one that it shares most with, then against all others if these differ."""
     likely = store(
         directed.groupBy("class")
         .agg(F.max(F.struct("shared", "class2")).alias("most"))
@@ -261,21 +333,46 @@ def _covered(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
         "rest",
     )
     others = _verified(rest, classes, docs).select(F.col("class").alias("later")).distinct()
-    return found.unionByName(others)
+    return store(found.unionByName(others), "held")
+
+
+def _covered(lines: DataFrame, classes: DataFrame, total: int, docs: DataFrame) -> DataFrame:
+    """The classes (``later``) that match one with an earlier first line.
+
+    One earlier match is enough. So each class is first held against an early one that
+    it shares its least or greatest hashes with, as near copies mostly do, and two classes
+    that are covered by then are not compared: a group of near copies costs about as many
+    comparisons as it has classes.
+    """
+    early = store(_directed(_early(lines, classes, total), classes), "early")
+    found = _held(early, classes, docs)
+    pairs = _candidates(lines, classes, total, found)
+    directed = store(
+        _directed(pairs, classes)
+        .join(found, F.col("class") == F.col("later"), "left_anti")
+        .join(early, ["class", "class2"], "left_anti"),
+        "directed",
+    )
+    return found.unionByName(_held(directed, classes, docs))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """Numbers of the lines (from 0) that go, by document (``doc``, ``h``)."""
     lines = store(line_sets(docs), "lines")
     total = lines.count()
+    place = F.struct("doc", "h", "line")
     classes = store(
-        lines.groupBy("class").agg(
-            F.min(F.struct("doc", "h", "line")).alias("first"), F.count("*").alias("lines")
-        ),
+        lines.groupBy("class")
+        .agg(
+            # the rest of the first line comes with it
+            F.min(F.struct("doc", "h", "line", "n", "parity")).alias("least"),
+            F.count("*").alias("lines"),
+        )
+        .select("class", "least.*", "lines")
+        .select("class", place.alias("first"), "lines", "n", "parity"),
         "classes",
     )
-    pairs = store(_candidates(lines, classes, total), "pairs")
-    covered = store(_covered(pairs, classes, docs), "covered")
+    covered = store(_covered(lines, classes, total, docs), "covered")
     # a class whose only line stands alone can lose nothing
     losing = (
         classes.join(covered, F.col("class") == F.col("later"), "left")
@@ -285,7 +382,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return (
         lines.select("doc", "h", "line", "class")
         .join(losing, F.col("class") == F.col("c"))
-        .where(F.col("whole") | (F.struct("doc", "h", "line") > F.col("first")))
+        .where(F.col("whole") | (place > F.col("first")))
         .groupBy("doc", "h")
         .agg(F.sort_array(F.collect_set("line")).alias("gone"))
     )
