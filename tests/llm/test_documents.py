@@ -215,6 +215,50 @@ def test_near_copies_of_a_line_do_not_meet_in_the_join(docs, monkeypatch):
     assert sum(met) < 240  # of 1,770 pairs
 
 
+def line_classes(found):
+    place = lines.F.struct("doc", "h", "line")
+    return found.groupBy("class").agg(
+        lines.F.min(place).alias("first"), lines.F.count("*").alias("lines")
+    )
+
+
+def test_long_lines_that_share_rare_words_are_no_candidates(docs):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{k}" for k in rng.sample(range(400), 130)) for _ in range(40)]
+    alike = [f"a{k}" for k in range(130)]
+    found = lines.line_sets(docs([*texts, " ".join(alike), " ".join(alike[9:])]))
+    assert lines._candidates(found, line_classes(found), found.count()).count() == 1
+
+
+def test_pairs_with_a_covered_later_line_do_not_meet(docs):
+    base = [f"b{k}" for k in range(40)]
+    found = lines.line_sets(docs([" ".join([*base, f"own{i}"]) for i in range(30)]))
+    covered = found.where("doc BETWEEN 10 AND 28").select(lines.F.col("class").alias("later"))
+    pairs = lines._candidates(found, line_classes(found), found.count(), covered)
+    place = {r["class"]: r["doc"] for r in found.collect()}
+    met = {tuple(sorted((place[r["class"]], place[r["class2"]]))) for r in pairs.collect()}
+    open_ = [*range(10), 29]
+    assert met == {(a, b) for b in open_ for a in range(b)}
+
+
+def test_repeated_long_lines(docs):
+    rng = random.Random(9)
+    texts = []
+    for size in (70, 79, 80, 90, 130, 250):
+        for _ in range(3):
+            base = [f"w{k}" for k in rng.sample(range(900), size)]
+            for _ in range(5):
+                kept = rng.sample(base, size - rng.randrange(size // 4 + 1))
+                extra = [f"x{rng.randrange(900)}" for _ in range(rng.randrange(size // 8 + 1))]
+                texts.append(" ".join([*kept, *extra]))
+    rng.shuffle(texts)
+    texts += [texts[3], None, texts[0] + "\n" + texts[5]]
+    want = gone_lines(list(enumerate(texts)))
+    got = lines.line_report(docs(texts)).collect()
+    assert {r["doc_id"]: r["removed_lines"] for r in got} == want
+    assert 20 < sum(map(len, want.values())) < len(texts)
+
+
 def test_plans_of_lines_do_not_spell_out_the_rarity_of_words(docs):
     plan = lines.line_sets(docs(["one two three four five"]))._jdf.queryExecution().toString()
     assert len(plan) < 100_000

@@ -8,16 +8,18 @@ The words of a line are ordered by rarity, counted over all words of all documen
 in 1,048,576 slots by hash (half a megabyte, whatever the corpus), then by hash. Matching lines share
 two words among the first of each (prefix filter), are of like sizes (length filter),
 have enough words left behind these (positional filter) and differ in few bits of a
-64-bit parity of their words, each of which turns one bit (bitmap filter): no more bits
-differ than words, so no match is lost. What passes is verified on the words
+parity of their words, each of which turns one bit (bitmap filter): no more bits
+differ than words, so no match is lost. The parity has 64 bits, or 128 for pairs of long
+lines, for which 64 would let nearly all pass. What passes is verified on the words
 themselves; only lines travel for it whose place a bitmap of the asked ones lets pass.
 Lines of equal sets form a class that is compared once; a class that many lines belong
 to enters the join by its first line only.
 
 One earlier match is enough for a class. Each is first held against the earliest that
 shares three of its least or greatest hashes (MinHash of groups of words); classes that
-match there are covered, and the join leaves out pairs of two covered classes. So what a
-group of near copies costs grows with its size times the few that stay open.
+match there are covered, and the join leaves out pairs whose later class is covered, as far
+as the steps tell that cut the order of the documents. So what a group of near copies costs
+grows with its size times the few that stay open.
 
 Defined cases: words are what spaces and tabs part; lines without words neither
 match nor go (``LEAST_WORDS`` can ask for more words), nor do empty texts; null texts
@@ -28,6 +30,8 @@ from those of the documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,8 +42,12 @@ LEAST_WORDS = 1
 #: Words that matching lines share in prefixes that are longer by as many less one.
 SHARED = 2
 SLOTS, PACKED = 1 << 20, 16
-#: Bits of the bitmap of the places of lines whose words are verified.
+#: Bits of the bitmaps of lines whose words are verified and of covered classes.
 ASKED = 1 << 23
+#: Lines of so many words have a parity of 128 bits.
+LONG = 80
+#: Steps that the order of the documents is cut into.
+STEPS = 1 << 15
 #: Hashes that name an early class.
 TOLD = 3
 #: The highest of each four bits.
@@ -103,21 +111,40 @@ def _code(table: Column, x: Column) -> Column:
     return level.bitwiseOR(F.shiftrightunsigned(x, 4))
 
 
-def _parity(codes: Column) -> Column:
+def _bitmap(slots: DataFrame) -> Column:
+    """``ASKED`` bits, 1 at each ``slot``."""
+    words = slots.groupBy(F.shiftright("slot", 6).cast("int").alias("word"))
+    bits = F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))"))
+    return _numbers(words.agg(bits.alias("bits")), ASKED // 64)
+
+
+def _is_set(bitmap: Column, slot: Column) -> Column:
+    number = F.get(bitmap, F.shiftright(slot, 6).cast("int"))
+    bit = slot.bitwiseAND(F.lit(63)).cast("int")
+    return F.call_function("shiftrightunsigned", number, bit).bitwiseAND(F.lit(1)) == 1
+
+
+def _parity(codes: Column, turns: Callable[[Column], Column] = lambda x: F.lit(1).cast("long")) -> Column:
     """64 bits, each turned by the words whose hashes end in its number."""
     return F.aggregate(
         codes,
         F.lit(0).cast("long"),
         lambda had, x: had.bitwiseXOR(
-            F.call_function(
-                "shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int")
-            )
+            F.call_function("shiftleft", turns(x), x.bitwiseAND(F.lit(63)).cast("int"))
         ),
     )
 
 
+def _half(codes: Column) -> Column:
+    """What half of the words turn in the parity; with the other half it makes 128 bits."""
+    return _parity(codes, lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(1)))
+
+
 def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every line that can match: its place, class, size, prefix and parity."""
+    """Every line that can match: its place, class, size, prefix and parity.
+
+    Half of the hash of a word will do in the prefix, as chance meetings are verified.
+    """
     table = rarity(docs, text)
     rows = docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(2**63 - 1)).alias("doc"),
@@ -160,8 +187,12 @@ def line_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         "line",
         F.xxhash64("codes").alias("class"),
         "n",
-        F.slice("codes", F.lit(1), prefix).alias("prefix"),
+        F.transform(
+            F.slice("codes", F.lit(1), prefix),
+            lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int"),
+        ).alias("prefix"),
         _parity(F.col("codes")).alias("parity"),
+        F.when(F.col("n") >= LONG, _half(F.col("codes"))).otherwise(F.lit(0)).alias("half"),
         F.array(*[F.hash(k, F.lit(i)) for i, k in enumerate(keys)]).alias("keys"),
     )
 
@@ -191,40 +222,73 @@ def _early(lines: DataFrame, classes: DataFrame, total: int) -> DataFrame:
     )
 
 
+def _opened(lines: DataFrame, covered: DataFrame) -> DataFrame:
+    """``lines`` with ``open``, 0 where the class is one of the ``covered`` (``later``), else 1.
+
+    Only lines that a bitmap of the covered classes lets pass travel to meet these.
+    """
+    slot = F.col("class").bitwiseAND(F.lit(ASKED - 1))
+    named = covered.select(F.col("later").bitwiseAND(F.lit(ASKED - 1)).alias("slot"))
+    told = lines.withColumn("told", _is_set(_bitmap(named), slot))
+    met = told.where("told").join(covered, F.col("class") == F.col("later"), "left")
+    met = met.withColumn("open", F.col("later").isNull().cast("int")).drop("later")
+    return told.where("NOT told").withColumn("open", F.lit(1)).unionByName(met)
+
+
+def _step(lines: DataFrame) -> Column:
+    """Which of the ``STEPS`` of equal width a document falls to; never less for a later one."""
+    low, high = lines.where(F.col("doc") < 2**63 - 1).agg(F.min("doc"), F.max("doc")).first()
+    if low is None:
+        return F.lit(0)
+    steps = (STEPS - 1) / (float(high) - float(low) + 1)
+    step = (F.col("doc").cast("double") - F.lit(float(low))) * F.lit(steps)
+    return F.least(step, F.lit(float(STEPS - 1))).cast("int")
+
+
 def _candidates(
     lines: DataFrame, classes: DataFrame, total: int, covered: DataFrame | None = None
 ) -> DataFrame:
-    """Pairs of classes that the four filters let pass, without pairs of two ``covered``
-    ones (``later``)."""
-    entered = _entering(lines, classes, total).withColumn("open", F.lit(1))
-    if covered is not None:
-        entered = entered.join(covered, F.col("class") == F.col("later"), "left")
-        entered = entered.withColumn("open", F.col("later").isNull().cast("int"))
+    """Pairs of classes that the four filters let pass, without those whose later class is
+    ``covered`` (``later``), as far as steps tell which one that is."""
+    entered = _entering(lines, classes, total)
+    if covered is None:
+        entered = entered.withColumn("open", F.lit(1))
+    else:
+        entered = _opened(entered, covered)
     entered = (
-        entered
-        .select("class", "n", "parity", "open", F.posexplode("prefix").alias("at", "code"))
-        # half of the hash will do, as chance meetings are verified; size, place and whether
-        # it is open in one number
+        entered.withColumn("step", _step(lines))
+        .select("class", "n", "parity", "half", "open", "step", F.posexplode("prefix").alias("at", "code"))
+        # size, step, place and whether it is open in one number
         .select(
-            F.hash("code").alias("code"),
+            "code",
             "class",
             (
-                (F.col("n").cast("long") * 65536 + F.least("at", F.lit(65535))) * 2 + F.col("open")
+                ((F.col("n").cast("long") * STEPS + F.col("step")) * 65536 + F.least("at", F.lit(65535))) * 2
+                + F.col("open")
             ).alias("spot"),
             "parity",
+            "half",
         )
     )
-    # one exchange serves the removal of repeats and both sides of the join
-    entered = entered.repartition("code").distinct()
+    # one exchange serves the removal of repeats, which leaves the first step of each class,
+    # and both sides of the join
+    entered = (
+        entered.repartition("code")
+        .groupBy("code", "class")
+        .agg(F.min("spot").alias("spot"), F.min("parity").alias("parity"), F.min("half").alias("half"))
+    )
     other = entered.select(
         F.col("code").alias("code2"),
         F.col("class").alias("class2"),
         F.col("spot").alias("spot2"),
         F.col("parity").alias("parity2"),
+        F.col("half").alias("half2"),
     )
-    n1, n2 = F.expr("shiftright(spot, 17)"), F.expr("shiftright(spot2, 17)")
+    n1, n2 = F.expr("shiftright(spot, 32)"), F.expr("shiftright(spot2, 32)")
+    s1, s2 = (F.expr(f"shiftright({x}, 17) & {STEPS - 1}") for x in ("spot", "spot2"))
     p1, p2 = F.expr("shiftright(spot, 1) & 65535"), F.expr("shiftright(spot2, 1) & 65535")
-    either = F.col("spot").bitwiseOR(F.col("spot2")).bitwiseAND(F.lit(1)) == 1
+    open1, open2 = F.expr("spot & 1 = 1"), F.expr("spot2 & 1 = 1")
+    later_open = ((s1 >= s2) & open1) | ((s1 <= s2) & open2)
     like = (100 * F.least(n1, n2)) >= (PERCENT * F.greatest(n1, n2))
     # overlap that the threshold asks for, against what can still follow the first
     # or second shared word
@@ -232,14 +296,17 @@ def _candidates(
     enough = left >= PERCENT * (n1 + n2)
     long_line = (p1 >= 65535) | (p2 >= 65535)
     # words that are in one of two matching lines only, as many as may be
-    apart = F.bit_count(F.col("parity").bitwiseXOR(F.col("parity2")))
+    differ = F.col("parity").bitwiseXOR(F.col("parity2"))
+    halves = F.col("half").bitwiseXOR(F.col("half2"))
+    finer = F.bit_count(halves) + F.bit_count(halves.bitwiseXOR(differ))
+    apart = F.when(F.least(n1, n2) >= LONG, finer).otherwise(F.bit_count(differ))
     few = (100 + PERCENT) * apart <= (100 - PERCENT) * (n1 + n2)
     return (
         entered.join(
             other,
             (F.col("code") == F.col("code2"))
             & (F.col("class") < F.col("class2"))
-            & either
+            & later_open
             & like
             & few
             & (enough | long_line),
@@ -260,11 +327,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
         "places",
     )
     slot = F.xxhash64("doc", "h", "line").bitwiseAND(F.lit(ASKED - 1))
-    asked = places.select(slot.alias("slot")).groupBy(
-        F.shiftright("slot", 6).cast("int").alias("word")
-    )
-    bits = asked.agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits"))
-    number = F.get(_numbers(bits, ASKED // 64), F.shiftright("slot", 6).cast("int"))
+    asked = _bitmap(places.select(slot.alias("slot")))
     lines = (
         docs.select(
             F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"),
@@ -272,8 +335,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
             F.posexplode(_lines(F.col("text"))).alias("line", "words"),
         )
         .withColumn("slot", slot)
-        .withColumn("bits", number)
-        .where("shiftrightunsigned(bits, CAST(slot & 63 AS INT)) & 1 = 1")
+        .where(_is_set(asked, F.col("slot")))
         .select("doc", "h", "line", "words")
     )
     sets = store(
