@@ -120,6 +120,22 @@ def test_near_documents_among_sharers_of_a_passage(docs, monkeypatch, region):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_near_documents_that_stand_alone_do_not_travel(docs, monkeypatch):
+    told, marked = {}, forest._marked
+
+    def noting(firsts, parts):
+        told.update({r["rep"]: r["told"] for r in firsts.collect()})
+        return marked(firsts, parts)
+
+    monkeypatch.setattr(forest, "_marked", noting)
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(9999)}" for _ in range(60)) for _ in range(20)]
+    texts += [texts[4] + " more", texts[7], None, ""]
+    got = {r["doc_id"]: r["component_id"] for r in forest.near_duplicates(docs(texts)).collect()}
+    assert got == {i: {20: 4, 21: 7}.get(i, i) for i in range(24)}
+    assert {i for i, yes in told.items() if yes} == {4, 20, 21}
+
+
 def test_near_documents_odd_ids(docs):
     frame = docs(["a b", "a b", "a b", "c"], ids=[None, 2, 2, 1])
     got = sorted((str(r[0]), r[1], str(r[2])) for r in forest.near_duplicates(frame).collect())

@@ -70,9 +70,10 @@ def signature(shingles: np.ndarray, piece: int = 1024) -> np.ndarray:
     """Least of each of the hash functions over the shingles."""
     least = np.full(HASHES, 2**32 - 1, np.uint32)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
+    whole = np.empty((HASHES, min(piece, len(short))), np.uint32)
     for at in range(0, len(short), piece):
         part = short[at : at + piece]
-        hashed = _MULTIPLIERS[:, None] * part[None, :]
+        hashed = np.multiply(_MULTIPLIERS[:, None], part[None, :], out=whole[:, : len(part)])
         hashed += _ADDENDS[:, None]
         np.minimum(least, hashed.min(axis=1), out=least)
     return least
@@ -295,8 +296,11 @@ def _common(texts: DataFrame) -> np.ndarray:
     return found[:, np.argsort(found[0])]
 
 
-def prefixes(texts: DataFrame, common: Broadcast) -> DataFrame:
-    """Set size of each text and the shingles that the prefix filter asks for."""
+def prefixes(texts: DataFrame, common: Broadcast, moved: Broadcast) -> DataFrame:
+    """Set size of each text and the shingles that the prefix filter asks for.
+
+    ``told`` where the bitmap of moved ids holds ``rep``.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, counts = common.value
@@ -309,17 +313,22 @@ def prefixes(texts: DataFrame, common: Broadcast) -> DataFrame:
                     at = np.minimum(np.searchsorted(names, found), len(names) - 1)
                     level = np.where(names[at] == found, counts[at], 0)
                 least = -(-PERCENT * len(found) // 100)
-                first = found[np.lexsort((found, level))][: len(found) - least + 1]
+                # the set is sorted, so only what is common moves
+                first = found[np.argsort(level, kind="stable")[: len(found) - least + 1]]
                 sizes.append(len(found))
                 firsts.append(first if len(found) else found)
             ends = np.cumsum([len(x) for x in firsts]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(firsts)))
+            slot = batch.column(2).to_numpy(zero_copy_only=False)
+            told = pa.array((moved.value[slot >> 6] >> (slot & 63)) & 1 == 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), lists], ["rep", "n", "first"]
+                [batch.column(0), pa.array(sizes, pa.int64()), lists, told],
+                ["rep", "n", "first", "told"],
             )
 
-    return texts.select(F.col("rep").cast("long"), "text").mapInArrow(
-        run, "rep bigint, n bigint, first array<bigint>"
+    named = texts.select(F.col("rep").cast("long").alias("rep"), "text")
+    return named.select("rep", "text", _slot("rep")).mapInArrow(
+        run, "rep bigint, n bigint, first array<bigint>, told boolean"
     )
 
 
@@ -338,15 +347,30 @@ def _passing(firsts: DataFrame, marked: Broadcast) -> DataFrame:
             ends = pa.array(before[np.concatenate([[0], np.cumsum(size)])].astype(np.int32))
             kept = [pa.ListArray.from_arrays(ends, pa.array(x[here])) for x in (shingle, place)]
             out = pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *kept], ["rep", "n", "first", "place"]
+                [batch.column(0), batch.column(1), *kept, batch.column(3)],
+                ["rep", "n", "first", "place", "told"],
             )
             yield out.filter(pa.array(np.diff(ends.to_numpy()) > 0))
 
-    return firsts.select("rep", "n", "first").mapInArrow(
-        run, "rep bigint, n bigint, first array<bigint>, place array<int>"
+    return firsts.select("rep", "n", "first", "told").mapInArrow(
+        run, "rep bigint, n bigint, first array<bigint>, place array<int>, told boolean"
     )
 
 
+def _placed(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """``rows`` of classes with their component and number of links.
+
+    Where ``rows`` say so, only those travel that a bitmap has ``told``; each of the others
+    is a class that stands alone.
+    """
+    if "told" not in rows.columns:
+        return rows.join(parts, F.col("rep") == F.col("own")).drop("own")
+    met = rows.where("told").join(parts, F.col("rep") == F.col("own")).drop("own")
+    alone = rows.where("NOT told")
+    alone = alone.withColumns({"part": F.col("rep"), "degree": F.lit(0).cast("long")})
+    return met.unionByName(alone).drop("told")
+
+
 def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose signatures agree often enough for anything near the threshold."""
     briefs = classes.select(F.col("rep").alias("own"), "brief")
@@ -370,9 +394,8 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _marked(firsts: DataFrame, parts: DataFrame) -> np.ndarray:
     """Bitmap of the shingles that several components hold among their first."""
-    placed = firsts.join(parts, F.col("rep") == F.col("own"))
     several = (
-        placed.select("part", F.explode("first").alias("shingle"))
+        _placed(firsts, parts).select("part", F.explode("first").alias("shingle"))
         .groupBy("shingle")
         .agg(F.min("part").alias("p"), F.max("part").alias("q"))
         .where("p <> q")
@@ -384,7 +407,7 @@ def _marked(firsts: DataFrame, parts: DataFrame) -> np.ndarray:
 def _open(posts: DataFrame, parts: DataFrame) -> DataFrame:
     """The rows of shingles whose lists hold several components, with the list's size
     and its most linked class."""
-    placed = posts.join(parts, F.col("rep") == F.col("own")).drop("own")
+    placed = _placed(posts, parts)
     if "first" in posts.columns:
         placed = placed.select(
             "rep", "n", "part", "degree", F.explode(F.arrays_zip("first", "place")).alias("x")
@@ -460,14 +483,25 @@ def _across(rows: DataFrame) -> DataFrame:
 
 
 def _completed(
-    classes: DataFrame, texts: DataFrame, links: DataFrame, grouped: DataFrame, met: DataFrame
+    classes: DataFrame,
+    texts: DataFrame,
+    links: DataFrame,
+    grouped: DataFrame,
+    met: DataFrame,
+    copies: DataFrame,
 ) -> DataFrame:
-    """Components after the links that the forest missed; ``met`` was compared before."""
+    """Components after the links that the forest missed; ``met`` was compared before.
+
+    ``copies`` are the ids of texts whose class another id stands for.
+    """
     share = classes.sparkSession.sparkContext.broadcast
     reps = classes.select(F.col("rep").alias("own")).distinct()
     known = texts.where("rep IS NOT NULL")
     parts = store(_parts(reps, links, grouped), "parts")
-    firsts = store(prefixes(known, share(_common(known))), "firsts")
+    # texts that have no class of their own, and classes that do not stand alone
+    moved = grouped.select(F.col("id").cast("long").alias("id")).unionByName(copies)
+    moved = share(_bitmap(moved.select(_slot("id")), SLOTS))
+    firsts = store(prefixes(known, share(_common(known)), moved), "firsts")
     rows = store(_open(_passing(firsts, share(_marked(firsts, parts))), parts), "open")
     discard(firsts)
     for step in (_with_hubs, None):
@@ -522,7 +556,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if open_pairs.take(1):
         links = store(links.unionByName(confirmed(open_pairs, texts)), "links")
         grouped = store(components(links), "grouped")
-    grouped = _completed(classes, texts, links, grouped, pairs.select("a", "b"))
+    copies = (
+        rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        .join(classes.select("digest", "rep"), "digest")
+        .where("doc_id <> rep")
+        .select(F.col("doc_id").cast("long").alias("id"))
+    )
+    grouped = _completed(classes, texts, links, grouped, pairs.select("a", "b"), copies)
     discard(pairs, chosen, open_pairs)
     members = classes.select(F.col("digest").alias("d"), "rep")
     placed = rows.select("doc_id", "n_shingles", "digest").join(
